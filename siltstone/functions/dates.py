@@ -59,22 +59,23 @@ def month_number(name: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.lower(name))
 
 
-def _assemble(day: Column, month_name: Column, year: Column) -> Column:
-    text = F.concat_ws("-", year, month_number(month_name).cast("string"), day)
-    return F.when(month_number(month_name).isNotNull(), F.try_to_date(text, "yyyy-M-d"))
+def _date_by(text: Column, pattern: str) -> Column:
+    """Date from a pattern with groups day, month name and year; NULL for no match or an impossible date.
+
+    An unknown month leaves `year-day`, which does not parse.
+    """
+    day, name, year = (F.regexp_extract(text, pattern, group) for group in (1, 2, 3))
+    return F.try_to_date(F.concat_ws("-", year, month_number(name).cast("string"), day), "yyyy-M-d")
 
 
 def indonesian_date(text: Column) -> Column:
     """A date whose whole text is `13 Januari 2025`; anything else, or an impossible date, is NULL."""
-    parts = F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")
-    whole = text.rlike(r"^\s*\d{1,2}\s+[A-Za-z]+\s+\d{4}\s*$")
-    return F.when(whole, _assemble(F.get(parts, F.lit(0)), F.get(parts, F.lit(1)), F.get(parts, F.lit(2))))
+    return _date_by(text, r"^\s*(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})\s*$")
 
 
 def indonesian_date_within(text: Column) -> Column:
     """The first `dd month yyyy` found inside a longer text, e.g. `44 tahun/10 Januari 1980`."""
-    pattern = r"(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})"
-    return _assemble(*(F.regexp_extract(text, pattern, g) for g in (1, 2, 3)))
+    return _date_by(text, r"(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})")
 
 
 def add_months(day: dt.date, months: int) -> dt.date:

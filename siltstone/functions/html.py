@@ -96,10 +96,13 @@ def table_cells(html: Column) -> Column:
     return all_groups(html, r"(?is)<td\b[^>]*>(.*?)</td>")
 
 
-def cell_after(cells: Column, labels: Column, label: str) -> Column:
-    """Text of the cell following the first cell whose whole text is `label`; NULL without one."""
+def text_after(texts: str, labels: str, label: str) -> Column:
+    """The cell text following the first cell labelled `label`; NULL without one.
+
+    `texts` and `labels` name array columns with the text of every cell, as it is and stripped.
+    """
     position = F.array_position(labels, label)
-    return F.when(position > 0, inner_text(F.get(cells, position.cast("int"))))
+    return F.when(position > 0, F.get(texts, position.cast("int")))
 
 
 def party_name(html: Column) -> Column:

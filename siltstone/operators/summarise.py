@@ -1,104 +1,133 @@
-"""Extractive summaries: continuous LexRank (Erkan and Radev, 2004) on DataFrames.
+"""Extractive summaries: continuous LexRank (Erkan and Radev, 2004).
 
 A sentence's score is the stationary probability of a walk over the document's sentences, where a step
 goes to a sentence in proportion to its cosine similarity. With A the sentence-by-term matrix of
 unit-length tf-idf rows, the similarity matrix is A A', so a step is A (A' q): one sum per term and one
 per sentence. The pairs of sentences are never formed, and the cost is linear in the text.
 
-All sums are window sums within a document. The text is hash partitioned by document once; every window
-and aggregate after that is clustered by (document, ...) and needs no further exchange.
+Spark splits the texts, counts terms and gathers the counts per document; the text is hash partitioned by
+document once and the aggregates need no further exchange. Only the fixed-point iteration
+runs in Python, on Arrow batches that hold many documents at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse_whitespace
+from ..functions.text import strip
 
 DAMPING = 0.85
-ITERATIONS = 10
+ITERATIONS = 20
 
 # A summary sentence is kept if it mentions one of these.
 LEGAL_KEYWORDS = ("putusan", "terdakwa", "hukuman", "pidana", "perdata", "amar")
 
-_TERM = r"[\p{L}\p{N}]+"
+_NO_TERM = r"[^\p{L}\p{N}]+"
+_CUT = "\u0001"
 
 
 def sentences_of(text: Column) -> Column:
     """Array of sentences: cut after `.`, `!` or `?` followed by whitespace, and at blank lines."""
-    marked = F.regexp_replace(text, r"([.!?])\s+", "$1\n\n")
-    pieces = F.transform(F.split(marked, r"\n\s*\n"), collapse_whitespace)
-    return F.filter(pieces, lambda s: s != "")
+    cut = F.regexp_replace(strip(text), r"([.!?])\s+|\s*\n\s*\n\s*", f"$1{_CUT}")
+    return F.array_remove(F.split(F.regexp_replace(cut, r"\s+", " "), _CUT), "")
+
+
+def _by_document(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Sentences per document, hash partitioned by document.
+
+    The number of partitions is stated, so that AQE does not merge them by their size in bytes: the work
+    per byte is far above that of an ordinary exchange.
+    """
+    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = documents.select(doc_id, text).repartition(partitions, doc_id)
+    return spread.select(doc_id, sentences_of(F.col(text)).alias("sentences"))
+
+
+def document_terms(split: DataFrame, doc_id: str) -> DataFrame:
+    """(doc_id, n, entries): the number of sentences and the list of (position, word, tf)."""
+    # Outer generators: for the plain ones Catalyst infers a filter on the array's size, pushes it below the
+    # exchange, and so splits every text twice.
+    each = split.select(
+        doc_id, F.size("sentences").alias("n"), F.posexplode_outer("sentences").alias("position", "sentence")
+    ).where(F.col("position").isNotNull())
+    words = each.select(doc_id, "n", "position", F.explode_outer(F.split(F.lower("sentence"), _NO_TERM)).alias("word"))
+    # The empty word stays with frequency 0, so that a sentence without any term is not lost.
+    counted = words.groupBy(doc_id, "n", "position", "word").agg(F.count(F.when(F.col("word") != "", 1)).alias("tf"))
+    return counted.groupBy(doc_id, "n").agg(F.collect_list(F.struct("position", "word", "tf")).alias("entries"))
+
+
+def walk(iterations: int, damping: float):
+    """Function from (sentences per document, entries) to the scores per document, for an Arrow batch.
+
+    It is built here, inside another function, so that it travels to the executors by value: they need
+    numpy and pyarrow, but not this package.
+    """
+
+    def scores(counts: pa.Array, entries: pa.Array) -> pa.Array:
+        n = np.asarray(counts)
+        first = np.concatenate(([0], np.cumsum(n)))
+        document = np.repeat(np.arange(len(n)), np.asarray(pc.list_value_length(entries)))
+        flat = entries.flatten()
+        sentence = first[document] + np.asarray(flat.field("position"))
+        words = pc.dictionary_encode(flat.field("word"))
+        size = max(len(words.dictionary), 1)
+        terms, term = np.unique(document * size + np.asarray(words.indices), return_inverse=True)
+        frequency = np.bincount(term)
+        weight = np.asarray(flat.field("tf")) * np.log(n[terms // size] / frequency)[term]
+        length = np.sqrt(np.bincount(sentence, weight * weight, first[-1]))
+        a = weight / np.where(length > 0, length, 1.0)[sentence]
+
+        def similar(values: np.ndarray) -> np.ndarray:
+            toward_terms = np.bincount(term, a * values[sentence], len(frequency))
+            return np.bincount(sentence, a * toward_terms[term], first[-1])
+
+        per_sentence = np.repeat(n, n).astype(float)
+        degree = similar(np.ones(first[-1]))
+        out = np.where(degree > 0, 1.0 / np.where(degree > 0, degree, 1.0), 0.0)
+        p = 1.0 / per_sentence
+        for _ in range(iterations):
+            p = (1.0 - damping) / per_sentence + damping * similar(p * out)
+        return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(p))
+
+    return scores
 
 
 def sentence_scores(
     documents: DataFrame, doc_id: str, text: str, iterations: int = ITERATIONS, damping: float = DAMPING
 ) -> DataFrame:
-    """(doc_id, position, score) of every sentence of every document."""
-    split = _by_document(documents, doc_id, text)
-    each = split.select(doc_id, F.size("sentences").alias("n"), F.posexplode("sentences").alias("position", "sentence"))
-    # explode_outer keeps sentences without a single term; their row has a NULL term and weight 0.
-    terms = each.select(
-        doc_id,
-        "n",
-        "position",
-        F.explode_outer(F.regexp_extract_all(F.lower("sentence"), F.lit(_TERM), F.lit(0))).alias("term"),
-    )
-    counted = terms.groupBy(doc_id, "n", "position", "term").agg(F.count("term").alias("tf"))
-
-    per_term = Window.partitionBy(doc_id, "term")
-    per_sentence = Window.partitionBy(doc_id, "position")
-    weighted = counted.withColumn("w", F.col("tf") * F.ln(F.col("n") / F.count(F.lit(1)).over(per_term)))
-    normal = weighted.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(per_sentence)))
-    a = normal.select(
-        doc_id, "n", "position", "term", F.when(F.col("norm") > 0, F.col("w") / F.col("norm")).otherwise(0.0).alias("a")
-    )
-
-    def step(df: DataFrame, through: Column, name: str) -> DataFrame:
-        toward_terms = df.withColumn("t", F.sum(F.col("a") * through).over(per_term))
-        return toward_terms.withColumn(name, F.sum(F.col("a") * F.col("t")).over(per_sentence)).drop("t")
-
-    walk = step(a, F.lit(1.0), "degree").withColumn("p", 1.0 / F.col("n"))
-    teleport = (1.0 - damping) / F.col("n")
-    for _ in range(iterations):
-        outflow = F.when(F.col("degree") > 0, F.col("p") / F.col("degree")).otherwise(0.0)
-        walk = step(walk, outflow, "p").withColumn("p", teleport + damping * F.col("p"))
-    return walk.groupBy(doc_id, "position").agg(F.max("p").alias("score"))
-
-
-def _by_document(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return documents.select(doc_id, text).repartition(doc_id).select(doc_id, sentences_of(F.col(text)).alias("sentences"))
+    """(doc_id, scores): the score of every sentence, by position."""
+    terms = document_terms(_by_document(documents, doc_id, text), doc_id)
+    scores = F.arrow_udf(walk(iterations, damping), "array<double>")
+    return terms.select(doc_id, scores("n", "entries").alias("scores"))
 
 
 def top_sentences(
     documents: DataFrame, doc_id: str, text: str, n_sentences: int, iterations: int = ITERATIONS
 ) -> DataFrame:
-    """(doc_id, position, sentence) of the n most central sentences per document.
+    """(doc_id, chosen): the n most central sentences per document as (position, sentence), in text order.
 
     Scores are compared after rounding to 10 digits and then by position, so that equal sentences do not
     trade places when sums are added in another order.
     """
     scores = sentence_scores(documents, doc_id, text, iterations)
-    best_first = Window.partitionBy(doc_id).orderBy(F.round("score", 10).desc(), F.col("position"))
-    top = scores.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= n_sentences)
-    # Scores carry no text; the chosen sentences are looked up in the same partitioning of the documents.
+    ranked = F.array_sort(F.transform("scores", lambda s, i: F.struct((-F.round(s, 10)).alias("rank"), i.alias("position"))))
+    best = F.array_sort(F.transform(F.slice(ranked, 1, n_sentences), lambda r: r["position"]))
+    # The sentences are looked up in the documents again, whose exchange is the one used above.
     split = _by_document(documents, doc_id, text)
-    return top.join(split, doc_id).select(
-        doc_id, "position", F.get("sentences", F.col("position")).alias("sentence")
-    )
+    chosen = F.transform("best", lambda i: F.struct(i.alias("position"), F.get("sentences", i).alias("sentence")))
+    return scores.select(doc_id, best.alias("best")).join(split, doc_id).select(doc_id, chosen.alias("chosen"))
 
 
 def summaries(
     documents: DataFrame, doc_id: str, text: str, n_sentences: int, iterations: int = ITERATIONS
 ) -> DataFrame:
-    """(doc_id, summary): the n most central sentences in document order, joined by a space."""
-    ordered = F.sort_array(F.collect_list(F.struct("position", "sentence")))
-    return (
-        top_sentences(documents, doc_id, text, n_sentences, iterations)
-        .groupBy(doc_id)
-        .agg(F.array_join(F.transform(ordered, lambda s: s["sentence"]), " ").alias("summary"))
-    )
+    """(doc_id, summary): the n most central sentences in text order, joined by a space."""
+    top = top_sentences(documents, doc_id, text, n_sentences, iterations)
+    return top.select(doc_id, F.array_join(F.transform("chosen", lambda c: c["sentence"]), " ").alias("summary"))
 
 
 def keyword_sentences(summary: Column, keywords: tuple[str, ...] = LEGAL_KEYWORDS) -> Column:

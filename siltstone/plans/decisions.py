@@ -86,28 +86,29 @@ def _replace(text: Column, *pairs: tuple[str, str]) -> Column:
 
 
 def detail_fields(pages: DataFrame) -> DataFrame:
-    """The labelled cells of detail pages as columns; an unreadable or missing cell is NULL."""
-    cells = pages.select("page_id", "url", "html", h.table_cells(F.col("html")).alias("cells"))
-    labelled = cells.withColumn("labels", F.transform("cells", lambda c: strip(h.inner_text(c))))
-
-    def cell(label: str) -> Column:
-        return h.cell_after(F.col("cells"), F.col("labels"), label)
-
-    text_fields = [
-        _replace(strip(cell(label)), ("\n", ""), ("  ", " "), (";", ";\n")).alias(name)
-        for label, name in DETAIL_TEXT_FIELDS.items()
-    ]
-    classification = strip(_replace(cell("Klasifikasi"), (" \n ", " - "), ("  ", " - ")))
-    date_fields = [indonesian_date(cell(label)).alias(name) for label, name in DETAIL_DATE_FIELDS.items()]
-    return labelled.select(
+    """The labelled cells of detail pages as columns; an unreadable or missing cell is NULL.
+
+    Each stage below is a projection of its own, so that what several columns need is computed once.
+    """
+    cells = pages.select(
+        "page_id", "url", "html", F.transform(h.table_cells(F.col("html")), lambda c: h.inner_text(c)).alias("texts")
+    )
+    labelled = cells.withColumn("labels", F.transform("texts", lambda t: strip(t)))
+    wanted = [*DETAIL_TEXT_FIELDS.items(), *DETAIL_DATE_FIELDS.items(), ("Klasifikasi", "klasifikasi"), ("Tahun", "tahun")]
+    found = labelled.select(
         "page_id",
         F.col("url").alias("link_page_putusan"),
         h.party_name(F.col("html")).alias("nama_terdakwa"),
         h.pdf_link(F.col("html")).alias("link_pdf_putusan"),
-        *text_fields,
-        classification.alias("klasifikasi"),
-        strip(cell("Tahun")).try_cast("bigint").alias("tahun"),
-        *date_fields,
+        *[h.text_after("texts", "labels", label).alias(name) for label, name in wanted],
+    )
+    return found.withColumns(
+        {
+            **{c: _replace(strip(F.col(c)), ("\n", ""), ("  ", " "), (";", ";\n")) for c in DETAIL_TEXT_FIELDS.values()},
+            **{c: indonesian_date(F.col(c)) for c in DETAIL_DATE_FIELDS.values()},
+            "klasifikasi": strip(_replace(F.col("klasifikasi"), (" \n ", " - "), ("  ", " - "))),
+            "tahun": strip(F.col("tahun")).try_cast("bigint"),
+        }
     )
 
 
@@ -148,13 +149,17 @@ BIODATA_COLUMNS = {
 
 def biodata(cleaned: DataFrame, text: str = "clean_text", word_boundaries: bool = False) -> DataFrame:
     """Append the defendant's personal data found at the start of the text."""
-    entries = cleaned.withColumn("_tagged", d.tagged_biodata(F.col(text))).withColumn(
-        "_entries", d.biodata_entries(F.col("_tagged"), word_boundaries)
+    entries = cleaned.withColumn("_pieces", d.biodata_pieces(F.col(text))).withColumn(
+        "_entries", d.biodata_entries("_pieces", word_boundaries)
     )
-    values = {name: d.last_value(F.col("_entries"), label) for label, name in BIODATA_COLUMNS.items()}
-    values["nama_terdakwa"] = title_case(d.last_value(F.col("_entries"), "nama_lengkap"))
-    values["tanggal_lahir_terdakwa"] = indonesian_date_within(d.last_value(F.col("_entries"), "umur/tanggal_lahir"))
-    return entries.withColumns(values).drop("_tagged", "_entries")
+    labels = BIODATA_COLUMNS | {"nama_lengkap": "nama_terdakwa", "umur/tanggal_lahir": "tanggal_lahir_terdakwa"}
+    values = entries.withColumns({name: d.last_value(F.col("_entries"), label) for label, name in labels.items()})
+    return values.withColumns(
+        {
+            "nama_terdakwa": title_case(F.col("nama_terdakwa")),
+            "tanggal_lahir_terdakwa": indonesian_date_within(F.col("tanggal_lahir_terdakwa")),
+        }
+    ).drop("_pieces", "_entries")
 
 
 def extract_fields(cleaned: DataFrame, text: str = "clean_text") -> DataFrame:

@@ -314,9 +314,9 @@ _LABEL = "case dayofweek(d) when 5 then 'Friday' when 6 then 'Saturday' when 0 t
 _relation(
     "trip_days",
     """
-    select cast(unnest(generate_series(date_trunc('day', min(pickup_datetime)),
-                                       make_timestamp(year(max(pickup_datetime)), 12, 31, 0, 0, 0), interval 1 day)) as date) as d
-    from fact_taxi_trip""",
+    select cast(unnest(generate_series(date_trunc('day', min(l_shipdate)),
+                                       make_timestamp(year(max(l_shipdate)), 12, 31, 0, 0, 0), interval 1 day)) as date) as d
+    from lineitem""",
 )
 _relation(
     "dim_holiday",
@@ -340,13 +340,13 @@ _relation("zone_flow", _flow("fact_taxi_trip"))
 _WEIGHTED = """
     cast(sum(total_trip) as bigint) as total_trip, sum(total_revenue) as total_revenue,
     cast(sum(total_revenue) as double) / cast(sum(total_trip) as double) as avg_total_amount,
-    cast(sum(cast(avg_distance as decimal(20,8)) * total_trip) as double) / cast(sum(total_trip) as double) as avg_distance"""
+    cast(sum(cast(avg_distance * total_trip as decimal(28,6))) as double) / cast(sum(total_trip) as double) as avg_distance"""
 _relation("holiday_daily", f"select trip_date, {_WEIGHTED}, date '{RUN_DATE}' as run_date_bq from zone_flow group by trip_date")
 
 
 def _summary(labels: str) -> str:
     return f"""
-    select year(trip_date) as year, month(trip_date) as month, holiday_type, {_WEIGHTED.replace("as total_revenue,", "as total_revenue,", 1)},
+    select year(trip_date) as year, month(trip_date) as month, holiday_type, {_WEIGHTED},
            count(distinct trip_date) as holiday_days, date '{RUN_DATE}' as run_date_bq
     from holiday_daily left join ({labels}) l on trip_date = l.date group by 1, 2, 3"""
 
@@ -530,7 +530,7 @@ _relation(
            birth as tanggal_lahir_terdakwa, lower(gender) as jenis_kelamin_terdakwa, 'indonesia' as kebangsaan_terdakwa,
            lower(address) as tempat_tinggal_terdakwa, lower(religion) as agama_terdakwa, lower(job) as pekerjaan_terdakwa,
            evidence || '; dan satu lembar surat;' as barang_bukti,
-           'Pasal ' || article || ' ayat (1) KUHP, Undang-Undang Nomor ' || law || ' Tahun 2009, jo. Undang-Undang Nomor '
+           'Pasal ' || article || ' ayat (1), Undang-Undang Nomor ' || law || ' Tahun 2009, jo. Undang-Undang Nomor '
              || law || ' Tahun 2009' as rujukan_hukum,
            'Menjatuhkan pidana kepada ' || person || '.' as amar_putusan
     from decisions""",
@@ -623,7 +623,7 @@ def _lexrank(prefix: str, source: str, iterations: int, n_sentences: int) -> Non
     )
 
 
-LEXRANK_ITERATIONS = 10
+LEXRANK_ITERATIONS = 20
 _lexrank("prose", "documents", LEXRANK_ITERATIONS, 2)
 _lexrank("ruling", "decision_texts", LEXRANK_ITERATIONS, 2)
 

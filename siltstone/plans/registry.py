@@ -76,8 +76,8 @@ class Warehouse:
         return trips.dim_location(self.source("zones"))
 
     def dim_holiday(self) -> DataFrame:
-        pickups = trips.clean_trips(trips.union_trips(*self.loaded()))
-        return calendars.holiday_dimension(calendars.bounds_of(pickups, "pickup_datetime", whole_years=True))
+        """Covers the pickups: they fall on the day the line was shipped."""
+        return calendars.holiday_dimension(calendars.bounds_of(self.table("lineitem"), "l_shipdate", whole_years=True))
 
     def zone_flow(self) -> DataFrame:
         return trips.zone_flow(self.fact_taxi_trip(), self.dim_location(), self.dim_holiday(), RUN_DATE)
@@ -614,7 +614,8 @@ def evidence_text(w: Warehouse) -> DataFrame:
 
 @_query
 def summary_topn(w: Warehouse) -> DataFrame:
-    return summarise.top_sentences(w.table("documents"), "doc_id", "text", decisions.SUMMARY_SENTENCES)
+    top = summarise.top_sentences(w.table("documents"), "doc_id", "text", decisions.SUMMARY_SENTENCES)
+    return top.select("doc_id", F.inline("chosen"))
 
 
 @_query

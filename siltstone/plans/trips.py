@@ -212,7 +212,7 @@ ZONE_FLOW_KEY = ["trip_date", "trip_hour", "pickup_zone", "dropoff_zone"]
 
 def _weighted() -> list[Column]:
     trips = F.sum("total_trip")
-    distance = exact_sum(F.col("avg_distance").cast("decimal(20,8)") * F.col("total_trip"), 8).cast("double")
+    distance = exact_sum(F.col("avg_distance") * F.col("total_trip"), 6).cast("double")
     revenue = F.sum("total_revenue")
     return [
         trips.alias("total_trip"),

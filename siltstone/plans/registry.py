@@ -196,7 +196,8 @@ def merge_upsert_composite(w: Warehouse) -> DataFrame:
     """The zone flow up to the cut merged with the whole recomputed flow, on its four key columns."""
     flow = w.zone_flow()
     target = flow.where(F.col("trip_date") < F.lit(CUT.date()))
-    return merge.merge_upsert(target, flow, trips.ZONE_FLOW_KEY)
+    # The flow is grouped by its key, so that it is unique needs no check.
+    return merge.merge_upsert(target, flow, trips.ZONE_FLOW_KEY, check_unique=False)
 
 
 @_query

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,6 +145,23 @@ def delete_rows(spark: SparkSession, table: str, root: str, condition: str, part
     replace_table(delete_where(spark.table(table), condition), table, root, partition_by)
 
 
+def _touched_partitions(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Target rows of the partitions that occur in the source.
+
+    The span of each partition column goes into the plan as literals, which prune partitions before the
+    scan; the semi join then leaves out untouched partitions inside the span.
+    """
+    spans = source.agg(*[f(c).alias(f"{c}_{f.__name__}") for c in partition_by for f in (F.min, F.max)]).first()
+    within = target
+    for c in partition_by:
+        span = F.col(c).between(F.lit(spans[f"{c}_min"]), F.lit(spans[f"{c}_max"]))
+        within = within.where(span | F.col(c).isNull())
+    touched = source.select(*[F.col(c).alias(f"_{c}") for c in partition_by]).distinct()
+    # Null-safe: rows without a partition value share a partition that is rewritten like any other.
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by]
+    return within.join(touched, reduce(lambda a, b: a & b, same), "left_semi")
+
+
 def materialize(
     df: DataFrame,
     table: str,
@@ -167,10 +185,7 @@ def materialize(
     source = staged(df, root)
     target = spark.table(table)
     if key_fixes_partition and partition_by:
-        # A semi join on the partition columns prunes the scan to the touched partitions at run time.
-        touched = source.select(*partition_by).distinct()
-        affected = target.join(touched, list(partition_by), "left_semi")
-        merged = merge_upsert(affected.select(*target.columns), source, keys)
+        merged = merge_upsert(_touched_partitions(target, source, partition_by), source, keys)
         overwrite_partitions(clustered(merged, partition_by, cluster_by), table)
         spark.catalog.refreshTable(table)
     else:

@@ -70,13 +70,22 @@ def playback_alerts(events: DataFrame, instant: Column | None = None) -> DataFra
     return alerts.withColumn("run_date", run_date(instant))
 
 
+def _watermarked(alerts: DataFrame, time_column: str, delay: str) -> DataFrame:
+    """Alerts with a watermark on `_event_time`, the time column as an instant: a watermark cannot be put on
+    a TIMESTAMP_NTZ. The session zone is UTC, so windows start at the same wall-clock times."""
+    return alerts.withColumn("_event_time", F.col(time_column).cast("timestamp")).withWatermark("_event_time", delay)
+
+
 def alert_windows(alerts: DataFrame, time_column: str = "event_timestamp", delay: str | None = None) -> DataFrame:
     """Number of alerts per non-empty tumbling window; set `delay` (the watermark) on a stream."""
-    rows = alerts if delay is None else alerts.withWatermark(time_column, delay)
-    return (
-        rows.groupBy(F.window(time_column, ALERT_WINDOW).alias("w"))
-        .agg(F.count(F.lit(1)).alias("n_alerts"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_alerts")
+    if delay is None:
+        windows = alerts.groupBy(F.window(time_column, ALERT_WINDOW).alias("w"))
+    else:
+        windows = _watermarked(alerts, time_column, delay).groupBy(F.window("_event_time", ALERT_WINDOW).alias("w"))
+    return windows.agg(F.count(F.lit(1)).alias("n_alerts")).select(
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        "n_alerts",
     )
 
 
@@ -144,17 +153,17 @@ def streaming_digest(
     With `shards` above 1 a window gives up to that many messages, each from alerts picked by hash, which
     spreads a busy window's list over as many state rows.
     """
-    rows = alerts.withWatermark(time_column, delay).select(
-        time_column,
+    rows = _watermarked(alerts, time_column, delay).select(
+        "_event_time",
         F.pmod(F.xxhash64("event_id", time_column), F.lit(shards).cast("bigint")).alias("shard"),
         F.struct(F.col(time_column).alias("at"), "event_id", _line().alias("line")).alias("entry"),
     )
-    grouped = rows.groupBy(F.window(time_column, ALERT_WINDOW).alias("w"), "shard").agg(
+    grouped = rows.groupBy(F.window("_event_time", ALERT_WINDOW).alias("w"), "shard").agg(
         F.sort_array(F.collect_list("entry")).alias("entries")
     )
     body = F.array_join(F.transform("entries", lambda x: x["line"]), "")
     return grouped.select(
-        F.col("w.start").alias("window_start"),
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         (F.col("shard") + 1).alias("part"),
         F.concat(_headline(F.col("w.end"), F.size("entries"), F.lit("")), body).alias("message"),
     )

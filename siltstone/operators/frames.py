@@ -101,3 +101,14 @@ def cast_dates_and_integers(df: DataFrame, schema: T.StructType) -> DataFrame:
     """As `align_to_schema`, but only for DATE and integer fields."""
     wanted = [f for f in schema if isinstance(f.dataType, (T.DateType, T.IntegralType))]
     return align_to_schema(df, T.StructType(wanted))
+
+
+def computed_once(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The same rows, with the columns other than `keep` handed through a generator.
+
+    Catalyst pushes a filter on a computed column below the projection by repeating the expression. For a
+    chain of regular expressions or a JSON parse that doubles the work, or worse inside lambdas. A filter
+    on a generated column stays above its generator.
+    """
+    others = [c for c in df.columns if c not in keep]
+    return df.select(*keep, F.inline_outer(F.array(F.struct(*others))))

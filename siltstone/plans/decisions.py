@@ -11,6 +11,7 @@ from ..functions import decisions as d
 from ..functions import html as h
 from ..functions.dates import MONTH_NUMBERS, indonesian_date, indonesian_date_within
 from ..functions.text import path_safe, strip, title_case
+from ..operators.frames import computed_once
 from ..operators.summarise import keyword_sentences, summaries
 
 MERGE_KEY = ["no_putusan"]
@@ -35,7 +36,10 @@ def listing_records(pages: DataFrame, month: dt.date | None = None) -> DataFrame
         h.listing_number(block).alias("no_putusan"),
         h.listing_date(block).alias("tgl_putusan"),
         h.listing_link(block).alias("link_page_putusan"),
-    ).where((F.col("no_putusan") != "") & F.col("tgl_putusan").isNotNull() & (F.col("link_page_putusan") != ""))
+    )
+    records = computed_once(records, ["page_id", "position"]).where(
+        (F.col("no_putusan") != "") & F.col("tgl_putusan").isNotNull() & (F.col("link_page_putusan") != "")
+    )
     if month is None:
         return records
     return records.where(F.trunc("tgl_putusan", "MM") == F.lit(month.replace(day=1)))
@@ -197,7 +201,7 @@ def document_extracts(
     """One extraction record per document, with `is_valid` telling usable records from quarantined ones
     (no decision number or no defendant)."""
     cleaned = clean_documents(documents, doc_id, text)
-    fields = extract_fields(cleaned).drop("clean_text")
+    fields = computed_once(extract_fields(cleaned).drop("clean_text"), [doc_id])
     short = summaries(cleaned, doc_id, "clean_text", n_sentences).select(
         doc_id, keyword_sentences(F.col("summary")).alias("summary_extractive_short")
     )

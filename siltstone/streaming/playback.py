@@ -41,13 +41,14 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     type, or a missing required field. The raw message is kept in `value`."""
     text = F.col("value").cast("string")
     options = {"timestampNTZFormat": TIMESTAMP_PATTERN, "mode": "PERMISSIVE"}
-    parsed = messages.select(text.alias("value"), F.from_json(text, _WIRE_SCHEMA, options).alias("e"))
-    complete = F.lit(True)
-    for name in REQUIRED:
-        complete = complete & F.col(f"e.{name}").isNotNull()
-    return parsed.select("value", "e.*", (F.col("e._corrupt_record").isNull() & complete).alias("is_valid")).drop(
-        "_corrupt_record"
+    # A generator, so that the filters on validity do not repeat the parse (see `operators.frames`).
+    parsed = messages.select(text.alias("value")).select(
+        "value", F.inline_outer(F.array(F.from_json("value", _WIRE_SCHEMA, options)))
     )
+    valid = F.col("_corrupt_record").isNull()
+    for name in REQUIRED:
+        valid = valid & F.col(name).isNotNull()
+    return parsed.withColumn("is_valid", valid).drop("_corrupt_record")
 
 
 def valid_events(parsed: DataFrame) -> DataFrame:

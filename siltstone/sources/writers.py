@@ -59,11 +59,14 @@ def staged(df: DataFrame, root: str) -> DataFrame:
     """Write rows once to a staging folder and read them back.
 
     A merge uses its source several times (uniqueness, matching, union); this computes it once and cuts
-    its lineage with files that outlive any executor.
+    its lineage with files that outlive any executor. They go to the shared folder the session names in
+    `spark.checkpoint.dir`, or beside the table where it names none.
     """
-    location = f"{root}/staging_{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or root
+    location = f"{shared}/staging_{uuid.uuid4().hex}"
     df.write.parquet(location)
-    return df.sparkSession.read.schema(df.schema).parquet(location)
+    return spark.read.schema(df.schema).parquet(location)
 
 
 def exists(spark: SparkSession, table: str) -> bool:

@@ -189,3 +189,15 @@ def test_materialize_keeps_rows_without_partition_value(spark, tmp_path, name):
     writers.materialize(spark.createDataFrame([("x", 1, None), ("y", 2, dt.date(2024, 1, 1))], schema), name, root, ["k"], **options)
     writers.materialize(spark.createDataFrame([("z", 3, None)], schema), name, root, ["k"], **options)
     assert values(spark.table(name).select("k", "v")) == [("x", 1), ("y", 2), ("z", 3)]
+
+
+def test_staging_folder_follows_the_session(spark, tmp_path):
+    rows = spark.createDataFrame([(1,)], "id long")
+    shared, root = tmp_path / "shared", tmp_path / "root"
+    assert values(writers.staged(rows, str(root))) == [(1,)]
+    spark.conf.set("spark.checkpoint.dir", str(shared))
+    try:
+        assert values(writers.staged(rows, str(root))) == [(1,)]
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+    assert len(list(root.iterdir())) == len(list(shared.iterdir())) == 1

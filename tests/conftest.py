@@ -12,12 +12,13 @@ from siltstone.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    warehouse = tmp_path_factory.mktemp("warehouse")
+    warehouse, shared = tmp_path_factory.mktemp("warehouse"), tmp_path_factory.mktemp("shared")
     session = build_session(
         "tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__sql__warehouse__dir=str(warehouse),
+        spark__checkpoint__dir=str(shared),
         spark__driver__memory="4g",
         spark__ui__showConsoleProgress="false",
     )

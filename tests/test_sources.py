@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+from pathlib import Path
 
 import pytest
 from conftest import values
@@ -191,13 +192,10 @@ def test_materialize_keeps_rows_without_partition_value(spark, tmp_path, name):
     assert values(spark.table(name).select("k", "v")) == [("x", 1), ("y", 2), ("z", 3)]
 
 
-def test_staging_folder_follows_the_session(spark, tmp_path):
+def test_staging_folder_is_the_sessions(spark, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
     rows = spark.createDataFrame([(1,)], "id long")
-    shared, root = tmp_path / "shared", tmp_path / "root"
-    assert values(writers.staged(rows, str(root))) == [(1,)]
-    spark.conf.set("spark.checkpoint.dir", str(shared))
-    try:
-        assert values(writers.staged(rows, str(root))) == [(1,)]
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert len(list(root.iterdir())) == len(list(shared.iterdir())) == 1
+    assert values(writers.staged(rows, str(tmp_path / "root"))) == [(1,)]
+    assert len(set(shared.iterdir()) - before) == 1
+    assert not (tmp_path / "root").exists()

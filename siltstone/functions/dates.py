@@ -36,12 +36,14 @@ def month_start(date: Column) -> Column:
     return F.trunc(date, "MM")
 
 
-def month_tag(date: Column) -> Column:
-    return F.date_format(date, "yyyyMM")
+def day_tag(date: Column) -> Column:
+    """`yyyyMMdd`, from the date's text form: no zone and no formatter per row."""
+    return F.replace(date.cast("string"), F.lit("-"), F.lit(""))
 
 
-def day_tag(date: Column) -> Column:
-    return F.date_format(date, "yyyyMMdd")
+def month_tag(date: Column) -> Column:
+    """`yyyyMM`."""
+    return F.substring(day_tag(date), 1, 6)
 
 
 def whole_minutes(start: Column, end: Column) -> Column:

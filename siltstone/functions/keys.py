@@ -22,7 +22,9 @@ def canonical_text(column: Column, data_type: T.DataType) -> Column:
         plain = F.regexp_replace(F.regexp_replace(exact, "0+$", ""), r"\.$", ".0")
         text = F.when(short.contains("E"), F.coalesce(plain, short)).otherwise(short)
     elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+        # The cast prints in this form, with a fraction only if there is one; unlike date_format it does not
+        # take a TIMESTAMP_NTZ through the session zone.
+        text = F.substring(column.cast("string"), 1, 19)
     else:
         text = column.cast("string")
     return F.coalesce(text, F.lit(""))

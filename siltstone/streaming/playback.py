@@ -105,7 +105,8 @@ def _line() -> Column:
 
 
 def _headline(window_end: Column, total: Column, suffix: Column) -> Column:
-    sent = F.date_format(F.from_utc_timestamp(window_end.cast("timestamp"), RUN_ZONE), TIMESTAMP_PATTERN)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(RUN_ZONE), window_end.cast("timestamp_ntz"))
+    sent = F.substring(local.cast("string"), 1, 19)
     return F.concat(F.lit("⚠️ "), sent, F.lit(" - "), total.cast("string"), F.lit(" alerts"), suffix, F.lit("\n"))
 
 

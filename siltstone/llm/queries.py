@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, warc
+from . import decontaminate, packing, rules, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,10 +37,30 @@ def warc_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rules_query(spark: SparkSession, folder: str) -> DataFrame:
+    entries = rules.apply_policy(rules.ledger(rules.measure(table(spark, folder, "documents"))), "2025-1")
+    base = rules.failed(F.col("bits"), "base").alias("base_failed")
+    return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base, "kept", "bits")
+
+
+def decontaminate_query(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op5_quality_rules": rules_query,
         "op7_packing": packing_query,
         "op8_warc": warc_query,
+        "op9_decontamination": decontaminate_query,
     }
 
 
@@ -55,5 +75,43 @@ FROM d LEFT JOIN h ON d.payload_digest = h.payload_digest AND payload_bytes >= 1
 """
 
 
+RULES_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                  [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM documents),
+g AS (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS gram FROM d, unnest(range(1, len(words) - 6)) AS u(i)),
+twice AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM twice, unnest(range(i, i + 8)) AS v(p) GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+             (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(hit.n, 0)::BIGINT AS n_repeat_words,
+             length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals, len(lines)::BIGINT AS n_lines,
+             len([i FOR i IN range(2, len(words) + 1) IF words[i] = words[i - 1]])::BIGINT AS n_stutter
+      FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id),
+f AS (SELECT *, n_words < 20 AS f0, 100 * n_repeat_words > 30 * n_words AS f1, 100 * n_symbols > 5 * word_chars AS f2,
+             100 * n_capitals > 50 * word_chars AS f3, 100 * n_stutter > 20 * n_words AS f4, 100 * n_dup_lines > 60 * n_lines AS f5,
+             word_chars < 2 * n_words AS f6, word_chars > 25 * n_words AS f7 FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f0 OR f1 AS base_failed,
+       NOT (f0 OR f1 OR f2 OR f3 OR f4) AS kept,
+       (f0::BIGINT + 2 * f1::BIGINT + 4 * f2::BIGINT + 8 * f3::BIGINT + 16 * f4::BIGINT + 32 * f5::BIGINT + 64 * f6::BIGINT
+        + 128 * f7::BIGINT)::BIGINT AS bits FROM f
+"""
+
+DECONTAMINATE_SQL = r"""
+WITH fold AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+w AS (SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[i:i + least(len(words), 10) - 1], ' ') AS win
+      FROM b, unnest(range(1, greatest(len(words) - 8, 2))) AS u(i) WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT n FROM w),
+g AS (SELECT doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') AS win FROM fold, sizes, unnest(range(1, len(words) - n + 2)) AS u(i)),
+hit AS (SELECT doc_id, item_id, i, g.n FROM g JOIN w ON w.n = g.n AND w.win = g.win),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(range(i, i + n)) AS v(p) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT fold.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM fold LEFT JOIN places ON places.doc_id = fold.doc_id LEFT JOIN items ON items.doc_id = fold.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc": WARC_SQL}
+    return {"op5_quality_rules": RULES_SQL, "op8_warc": WARC_SQL, "op9_decontamination": DECONTAMINATE_SQL}

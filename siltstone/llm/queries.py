@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, rules, warc
+from . import classifier, decontaminate, packing, rules, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,12 +55,24 @@ def decontaminate_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def toxicity_query(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def classifier_query(spark: SparkSession, folder: str) -> DataFrame:
+    found = classifier.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op3_toxicity": toxicity_query,
         "op5_quality_rules": rules_query,
         "op7_packing": packing_query,
         "op8_warc": warc_query,
         "op9_decontamination": decontaminate_query,
+        "op10_quality_classifier": classifier_query,
     }
 
 

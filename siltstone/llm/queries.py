@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, packing, rules, toxicity, warc
+from . import classifier, decontaminate, ngram_join, packing, rules, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,8 +65,13 @@ def classifier_query(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def ngram_join_query(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, folder, "documents")).drop("class_key")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_jaccard": ngram_join_query,
         "op3_toxicity": toxicity_query,
         "op5_quality_rules": rules_query,
         "op7_packing": packing_query,

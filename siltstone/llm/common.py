@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,7 +113,7 @@ class WordHashes(dict):
 
 # --- packed exchange -------------------------------------------------------------------------------
 # One row holds what one batch of documents sends to one bucket: document keys (uint64), per document a
-# uint32 of its own and the number of its entries, and the entries (uint64) in document order. Spark
+# uint32 of its own and the number of its entries, and the entries (uint64, with an extra number each) in document order. Spark
 # shuffles the rows by bucket; a task sorts its bucket in numpy. A bucket's share of the hash space is
 # fixed by the caller's count of buckets, which grows with the text.
 
@@ -147,7 +149,7 @@ def pack(
             "info": info[docs].astype(np.uint32).tobytes(),
             "counts": np.diff(np.r_[starts, hi - lo]).astype(np.uint32).tobytes(),
             "entries": entries[lo:hi].astype(np.uint64).tobytes(),
-            "extra": extra[lo:hi].astype(np.uint32).tobytes() if extra is not None else b"",
+            "extra": extra[lo:hi].tobytes() if extra is not None else b"",
         }
 
 
@@ -155,7 +157,7 @@ def packed_batch(rows: list[dict], schema: pa.Schema = PACKED_ARROW) -> pa.Recor
     return pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def unpacked(batches: list[pa.RecordBatch]) -> dict[int, tuple[np.ndarray, ...]]:
+def unpacked(batches: list[pa.RecordBatch], extra_type: type = np.uint32) -> dict[int, tuple[np.ndarray, ...]]:
     """Per bucket: document key, info, entry and extra of every entry."""
     parts: dict[int, list] = {}
     for batch in batches:
@@ -169,7 +171,31 @@ def unpacked(batches: list[pa.RecordBatch]) -> dict[int, tuple[np.ndarray, ...]]
                     np.repeat(np.frombuffer(docs, np.uint64), n),
                     np.repeat(np.frombuffer(info, np.uint32), n),
                     np.frombuffer(entries, np.uint64),
-                    np.frombuffer(extra, np.uint32),
+                    np.frombuffer(extra, extra_type),
                 )
             )
     return {b: tuple(np.concatenate(x) for x in zip(*p, strict=True)) for b, p in parts.items()}
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], pa.RecordBatch]]:
+    """(rows of one bucket, rows that are not packed) from rows sorted by bucket: one bucket is held at a time."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    empty = None
+    for batch in batches:
+        kind = batch.column(batch.schema.get_field_index("entries")).is_null()
+        others = batch.filter(kind)
+        packed = batch.filter(pc.invert(kind))
+        empty = others.slice(0, 0)
+        if others.num_rows:
+            yield [], others
+        which = packed.column(0).to_numpy(zero_copy_only=False)
+        cuts = np.r_[0, np.flatnonzero(np.diff(which)) + 1, len(which)] if len(which) else []
+        for lo, hi in itertools.pairwise(cuts):
+            if now is not None and which[lo] != now and held:
+                yield held, empty
+                held = []
+            now = which[lo]
+            held.append(packed.slice(lo, hi - lo))
+    if held:
+        yield held, empty

@@ -28,11 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX, PACKED, PACKED_ARROW, WordHashes, buckets_for, mixed, pack, remove_folder, shared_folder, unpacked, utf8, written
+from .common import MIX, PACKED, PACKED_ARROW, WordHashes, buckets_for, by_bucket, mixed, pack, remove_folder, shared_folder, unpacked, utf8, written
 from .components import components
 
 SHINGLE = 4
@@ -108,35 +107,11 @@ def _send(buckets: int, width: int):
     return run
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], pa.RecordBatch]]:
-    """(rows of one bucket, document rows) from rows sorted by bucket: one bucket is held at a time."""
-    held: list[pa.RecordBatch] = []
-    now = None
-    empty = None
-    for batch in batches:
-        kind = batch.column(batch.schema.get_field_index("entries")).is_null()
-        docs = batch.filter(kind)
-        packed = batch.filter(pc.invert(kind))
-        empty = docs.slice(0, 0)
-        if docs.num_rows:
-            yield [], docs
-        which = packed.column(0).to_numpy(zero_copy_only=False)
-        cuts = np.r_[0, np.flatnonzero(np.diff(which)) + 1, len(which)] if len(which) else []
-        for lo, hi in itertools.pairwise(cuts):
-            if now is not None and which[lo] != now and held:
-                yield held, empty
-                held = []
-            now = which[lo]
-            held.append(packed.slice(lo, hi - lo))
-    if held:
-        yield held, empty
-
-
 def _shared(buckets: int):
     """Of one bucket of shingles: those in two sets or more, back to their sets with the number of sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held, docs in _by_bucket(batches):
+        for held, docs in by_bucket(batches):
             if docs.num_rows:
                 yield docs
             if not held:
@@ -155,7 +130,7 @@ def _shared(buckets: int):
                 keys, n, tokens, df = keys[kept], n[kept], tokens[kept], df[kept]
                 own, first, number = np.unique(keys, return_index=True, return_inverse=True)
                 where = (own % np.uint64(buckets)).astype(np.int64)[number]
-                rows = pack(buckets, where, number, own, n[first], tokens, np.minimum(df, 0xFFFFFFFF))
+                rows = pack(buckets, where, number, own, n[first], tokens, np.minimum(df, 0xFFFFFFFF).astype(np.uint32))
                 yield pa.RecordBatch.from_pylist(list(rows), schema=_SENT)
 
     return run
@@ -169,7 +144,7 @@ def _post(percent: int):
     """Of one bucket of sets: the postings of each set's prefix, and the shared shingles of sets that have some."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held, docs in _by_bucket(batches):
+        for held, docs in by_bucket(batches):
             if docs.num_rows:
                 none = pa.nulls(docs.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([*(docs.column(docs.schema.get_field_index(c)) for c in _DOC.names), none, none, pa.nulls(docs.num_rows, pa.binary())], schema=_POSTED_ARROW)

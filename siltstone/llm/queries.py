@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, ngram_join, packing, rules, toxicity, warc
+from . import classifier, decontaminate, ngram_join, packing, rules, suffix_dedup, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,11 +69,16 @@ def ngram_join_query(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, folder, "documents")).drop("class_key")
 
 
+def suffix_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"), keep_text=False)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard": ngram_join_query,
         "op3_toxicity": toxicity_query,
         "op5_quality_rules": rules_query,
+        "op6_suffix_dedup": suffix_dedup_query,
         "op7_packing": packing_query,
         "op8_warc": warc_query,
         "op9_decontamination": decontaminate_query,

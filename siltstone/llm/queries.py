@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, ngram_join, packing, rules, suffix_dedup, toxicity, warc
+from . import classifier, decontaminate, language_model, ngram_join, packing, rules, suffix_dedup, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,10 +73,16 @@ def suffix_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents"), keep_text=False)
 
 
+def language_model_query(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").filter("quality = 1")
+    return language_model.cross_entropy_difference(table(spark, folder, "documents"), good)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard": ngram_join_query,
         "op3_toxicity": toxicity_query,
+        "op4_lm_scoring": language_model_query,
         "op5_quality_rules": rules_query,
         "op6_suffix_dedup": suffix_dedup_query,
         "op7_packing": packing_query,

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, language_model, ngram_join, packing, rules, suffix_dedup, toxicity, warc
+from . import classifier, decontaminate, language_model, licenses, ngram_join, packing, rules, suffix_dedup, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,9 +78,22 @@ def language_model_query(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.cross_entropy_difference(table(spark, folder, "documents"), good)
 
 
+def tree_path() -> Column:
+    """Documents laid out as a source tree: source, language, and up to two levels that follow from the id."""
+    digest = F.md5(F.col("doc_id").cast("string").cast("binary"))
+    depth = F.instr(F.lit("0123456789abcdef"), F.substring(digest, 3, 1)) % 3
+    levels = F.when(depth == 0, F.lit("")).when(depth == 1, F.concat(F.substring(digest, 1, 1), F.lit("/"))).otherwise(F.concat(F.substring(digest, 1, 1), F.lit("/"), F.substring(digest, 2, 1), F.lit("/")))
+    return F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"), levels, F.col("doc_id").cast("string"), F.lit(".txt"))
+
+
+def licenses_query(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents").withColumn("path", tree_path()))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard": ngram_join_query,
+        "op2_license_scan": licenses_query,
         "op3_toxicity": toxicity_query,
         "op4_lm_scoring": language_model_query,
         "op5_quality_rules": rules_query,
@@ -103,6 +116,52 @@ FROM d LEFT JOIN h ON d.payload_digest = h.payload_digest AND payload_bytes >= 1
 """
 
 
+LICENSES_SQL = (
+    r"""
+WITH t(template, licence, text) AS (VALUES """
+    + ", ".join(f"({k}, '{licence}', '{text}')" for k, (licence, text) in enumerate(licenses.TEMPLATES))
+    + r"""),
+tw AS (SELECT template, licence, term, count(*) AS tf
+       FROM (SELECT template, licence, unnest([x FOR x IN string_split_regex(lower(text), '[^a-z0-9]+') IF x <> '']) AS term FROM t)
+       GROUP BY ALL),
+v AS (SELECT DISTINCT term FROM tw),
+f AS (SELECT doc_id, coalesce(text, '') AS text, md5(doc_id::VARCHAR) AS h, strpos('0123456789abcdef', substr(md5(doc_id::VARCHAR), 3, 1)) % 3 AS depth,
+             source || '/' || lang AS top FROM documents),
+d AS (SELECT doc_id, text, CASE depth WHEN 0 THEN top WHEN 1 THEN top || '/' || substr(h, 1, 1)
+                                      ELSE top || '/' || substr(h, 1, 1) || '/' || substr(h, 2, 1) END AS dir FROM f),
+units AS (SELECT doc_id, 0 AS line, text AS content FROM d
+          UNION ALL SELECT doc_id, i AS line, string_split(text, chr(10))[i] FROM d, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS u(i)),
+uw AS (SELECT doc_id, line, [x FOR x IN string_split_regex(lower(content), '[^a-z0-9]+') IF x <> ''] AS words FROM units),
+ut AS (SELECT doc_id, line, n, term, count(*) AS tf FROM (SELECT doc_id, line, len(words) AS n, unnest(words) AS term FROM uw)
+       WHERE term IN (SELECT term FROM v) GROUP BY ALL),
+total AS (SELECT count(*) AS n FROM d),
+idf AS (SELECT v.term, ln((1.0 + total.n) / (1 + count(doc_id))) + 1 AS idf
+        FROM v CROSS JOIN total LEFT JOIN ut ON ut.term = v.term AND line = 0 GROUP BY v.term, total.n),
+tl AS (SELECT template, sqrt(sum((tf * idf) ** 2)) AS length FROM tw JOIN idf USING (term) GROUP BY template),
+ul AS (SELECT doc_id, line, sqrt(sum((tf * idf) ** 2) + (ut.n - sum(tf)) * (ln(1.0 + total.n) + 1) ** 2) AS length
+       FROM ut JOIN idf USING (term) CROSS JOIN total GROUP BY doc_id, line, ut.n, total.n),
+dot AS (SELECT doc_id, line, template, licence, sum(ut.tf * idf * tw.tf * idf) AS dot
+        FROM ut JOIN idf USING (term) JOIN tw USING (term) GROUP BY ALL),
+c AS (SELECT doc_id, line, licence, round(max(dot / ul.length / tl.length), 6) AS cosine
+      FROM dot JOIN ul USING (doc_id, line) JOIN tl USING (template) GROUP BY ALL),
+whole AS (SELECT doc_id, licence, cosine FROM c WHERE line = 0 AND cosine >= 0.25
+          QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, licence) = 1),
+header AS (SELECT doc_id, licence, cosine FROM c WHERE line > 0 AND cosine >= 0.6
+           QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, line, licence) = 1),
+speaker AS (SELECT dir, licence, cosine FROM whole JOIN d USING (doc_id)
+            QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, licence) = 1),
+above AS (SELECT d.doc_id, s.licence, s.cosine, len(string_split(d.dir, '/')) - len(string_split(s.dir, '/')) AS distance
+          FROM d JOIN speaker s ON d.dir = s.dir OR starts_with(d.dir, s.dir || '/')
+          QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY distance) = 1)
+SELECT d.doc_id, d.dir || '/' || d.doc_id || '.txt' AS path, coalesce(whole.licence, header.licence, above.licence) AS licence,
+       CASE WHEN whole.doc_id IS NOT NULL THEN 'file' WHEN header.doc_id IS NOT NULL THEN 'header'
+            WHEN above.doc_id IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       coalesce(whole.cosine, header.cosine, above.cosine) AS cosine,
+       CASE WHEN whole.doc_id IS NULL AND header.doc_id IS NULL THEN above.distance END::BIGINT AS distance
+FROM d LEFT JOIN whole ON whole.doc_id = d.doc_id LEFT JOIN header ON header.doc_id = d.doc_id LEFT JOIN above ON above.doc_id = d.doc_id
+"""
+)
+
 RULES_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
                   [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM documents),
@@ -142,4 +201,4 @@ FROM fold LEFT JOIN places ON places.doc_id = fold.doc_id LEFT JOIN items ON ite
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": RULES_SQL, "op8_warc": WARC_SQL, "op9_decontamination": DECONTAMINATE_SQL}
+    return {"op2_license_scan": LICENSES_SQL, "op5_quality_rules": RULES_SQL, "op8_warc": WARC_SQL, "op9_decontamination": DECONTAMINATE_SQL}

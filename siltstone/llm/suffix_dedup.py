@@ -231,31 +231,35 @@ def covered(starts: np.ndarray, size: int) -> np.ndarray:
     return np.c_[starts[np.r_[0, breaks + 1]], starts[np.r_[breaks, len(starts) - 1]] + SPAN]
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(as_text: bool = False):
+    """What is left of every text; as text, the odd bytes of cut characters go too."""
     import hashlib
 
-    roller = Roller()
-    for batch in batches:
-        out = []
-        for key, text, copies, facts, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            facts, more = (np.frombuffer(x or b"", np.uint64) for x in (facts, more))
-            starts = []
-            if copies > 1:
-                starts = [np.arange(max(0, len(text) - SPAN + 1))]
-            elif len(facts):
-                for p in parses(text, roller):
-                    whole = _of_kind(p, facts, _WHOLE)
-                    each = p.starts(_of_kind(p, facts, _SORT) & ~whole)
-                    starts.append(p.at + np.sort(np.r_[p.starts(whole), each[np.isin(p.suffixes(each), more)]]).astype(np.int64))
-            runs = covered(np.concatenate(starts) if starts else np.empty(0, np.int64), len(text))
-            kept, at = [], 0
-            for lo, hi in runs.tolist():
-                kept.append(text[at:lo])
-                at = hi
-            kept.append(text[at:])
-            left = b"".join(kept)
-            out.append({"key": key, "n_bytes": len(text), "n_removed": len(text) - len(left), "n_spans": len(runs), "kept_sha256": hashlib.sha256(left).hexdigest(), "spans": runs.ravel().tolist(), "kept": left})
-        yield pa.RecordBatch.from_pylist(out, schema=_CUT_ARROW)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roller = Roller()
+        for batch in batches:
+            out = []
+            for key, text, copies, facts, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                facts, more = (np.frombuffer(x or b"", np.uint64) for x in (facts, more))
+                starts = []
+                if copies > 1:
+                    starts = [np.arange(max(0, len(text) - SPAN + 1))]
+                elif len(facts):
+                    for p in parses(text, roller):
+                        whole = _of_kind(p, facts, _WHOLE)
+                        each = p.starts(_of_kind(p, facts, _SORT) & ~whole)
+                        starts.append(p.at + np.sort(np.r_[p.starts(whole), each[np.isin(p.suffixes(each), more)]]).astype(np.int64))
+                runs = covered(np.concatenate(starts) if starts else np.empty(0, np.int64), len(text))
+                kept, at = [], 0
+                for lo, hi in runs.tolist():
+                    kept.append(text[at:lo])
+                    at = hi
+                kept.append(text[at:])
+                left = b"".join(kept)
+                out.append({"key": key, "n_bytes": len(text), "n_removed": len(text) - len(left), "n_spans": len(runs), "kept_sha256": hashlib.sha256(left).hexdigest(), "spans": runs.ravel().tolist(), "kept": left.decode("utf-8", "ignore").encode() if as_text else left})
+            yield pa.RecordBatch.from_pylist(out, schema=_CUT_ARROW)
+
+    return run
 
 
 _CUT = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>, kept binary"
@@ -264,30 +268,56 @@ _CUT_ARROW = pa.schema(
 )
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (first and stop in turn) and the kept bytes of every document."""
-    spark = docs.sparkSession
-    folder = shared_folder(spark)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("key"))
-    buckets = buckets_for(rows)
-
-    # Distinct texts, bucketed by key: later joins on the key leave them in place.
+def _texts(rows: DataFrame, folder: str) -> str:
+    """Name of a table of the distinct texts, bucketed by key: joins on the key leave them in place."""
     name = f"siltstone_texts_{uuid.uuid4().hex}"
     distinct = rows.groupBy("key").agg(F.first("text").cast("binary").alias("text"), F.count("*").alias("copies"))
-    distinct.write.bucketBy(partitions(spark), "key").option("path", f"{folder}/texts").format("parquet").saveAsTable(name)
-    texts = spark.table(name)
+    writer = distinct.write.bucketBy(partitions(rows.sparkSession), "key").option("path", f"{folder}/texts").option("compression", "zstd")
+    writer.format("parquet").saveAsTable(name)
+    return name
 
+
+def _known(rows: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
+    """key, text, copies and both kinds of facts of every distinct text."""
+    buckets = buckets_for(rows)
     phrases = texts.select("key", "text").mapInArrow(_send(buckets, _phrases, ("key", "text")), PACKED)
     facts = written(_facts(phrases, buckets, _several), folder, "phrases")
     rims = texts.select("key", "text").join(facts.hint("shuffle_hash"), "key").select("key", "text", "facts")
     rims = rims.mapInArrow(_send(buckets, _suffixes, ("key", "text", "facts")), PACKED)
     more = written(_facts(rims, buckets, _repeated), folder, "suffixes").withColumnRenamed("facts", "more")
-
     both = facts.join(more, "key", "left")
-    known = texts.join(both.hint("shuffle_hash"), "key", "left").select("key", "text", "copies", "facts", "more")
-    cut = known.mapInArrow(_cut, _CUT)
+    return texts.join(both.hint("shuffle_hash"), "key", "left").select("key", "text", "copies", "facts", "more")
+
+
+def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.withColumns({"siltstone_text": text, "siltstone_key": F.xxhash64(text)})
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (first and stop in turn) and the kept bytes of every document."""
+    spark = docs.sparkSession
+    folder = shared_folder(spark)
+    rows = _keyed(docs, text_col).select(F.col(id_col).alias("doc_id"), F.col("siltstone_text").alias("text"), F.col("siltstone_key").alias("key"))
+    name = _texts(rows, folder)
+    cut = _known(rows, spark.table(name), folder).mapInArrow(_cut(), _CUT)
     cut = written(cut if keep_text else cut.drop("spans", "kept"))
     spark.sql(f"DROP TABLE {name}")
     remove_folder(spark, folder)
     return rows.select("doc_id", "key").join(cut, "key").drop("key")
+
+
+def cleaned(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents with all their columns, the text without its repeats. Odd bytes of cut characters go too.
+
+    The folder with the texts goes when the application ends: the result reads it.
+    """
+    spark = docs.sparkSession
+    folder = shared_folder(spark)
+    rows = _keyed(docs, text_col)
+    parts = rows.select(F.col("siltstone_text").alias("text"), F.col("siltstone_key").alias("key"))
+    texts = spark.table(_texts(parts, folder))
+    cut = _known(parts, texts, folder).mapInArrow(_cut(as_text=True), _CUT)
+    kept = cut.select(F.col("key").alias("siltstone_key"), F.col("kept").cast("string").alias(text_col))
+    others = rows.drop("siltstone_text", text_col)
+    return others.join(kept, "siltstone_key").select(*docs.columns)

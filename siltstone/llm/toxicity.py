@@ -340,6 +340,19 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     return picked.mapInArrow(run, "doc_id long, score double, " + ", ".join(f"{n} double" for n in FEATURES))
 
 
+def clean_rows(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that score below the threshold; rows are filtered where they are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = Hits(model.lexicon)
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array([features((t or b"").split(), hits) for t in utf8(batch, text_col)])
+                yield batch.filter(pa.array(model.score(x) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted and features."""
     scored = score_documents(docs, train_model(docs, labels))

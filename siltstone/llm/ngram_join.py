@@ -211,7 +211,7 @@ def _subsets(percent: int):
                     left_out = len(tokens) - c
                     if left_out < 0:
                         continue
-                    combos = np.array(list(itertools.combinations(range(len(tokens)), left_out)), dtype=np.int64).reshape(-1, left_out)
+                    combos = np.array(list(itertools.combinations(range(len(tokens)), left_out)), dtype=np.int64).reshape(math.comb(len(tokens), left_out), left_out)
                     sums = whole[:, None] - marks[:, combos].sum(axis=2)
                     for column, value in zip(out, (np.full(len(combos), key), np.full(len(combos), n), np.full(len(combos), c), sums[0].view(np.int64), sums[1].view(np.int64)), strict=True):
                         column.append(value)

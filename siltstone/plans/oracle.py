@@ -772,9 +772,10 @@ def statements() -> dict[str, str]:
         "alert_windows": "select time_bucket(interval 2 minute, event_timestamp) as window_start, "
         "time_bucket(interval 2 minute, event_timestamp) + interval 2 minute as window_end, count(*) as n_alerts "
         f"from playback where {_ALERT} group by 1, 2",
-        "alert_digest": "select w as window_start, cast(1 as bigint) as part, '⚠️ ' || strftime(w + interval 2 minute + interval 7 hour, "
+        "alert_digest": "select w as window_start, part, '⚠️ ' || strftime(w + interval 2 minute + interval 7 hour, "
         "'%Y-%m-%d %H:%M:%S') || ' - ' || count(*) || ' alerts' || chr(10) || string_agg(line, '' order by event_timestamp, event_id) as message "
-        f"from (select *, time_bucket(interval 2 minute, event_timestamp) as w, {_LINE} as line from playback where {_ALERT}) group by w",
+        f"from (select *, time_bucket(interval 2 minute, event_timestamp) as w, cast(event_id % 8 + 1 as bigint) as part, {_LINE} as line "
+        f"from playback where {_ALERT}) group by w, part",
         # text and pages
         "page_links": "select page_id, url, cast(position - 1 as int) as position, href from (select page_id, url, unnest(links) as href, "
         "generate_subscripts(links, 1) as position from (select page_id, url, regexp_extract_all(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1) "

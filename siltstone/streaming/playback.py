@@ -16,6 +16,8 @@ from ..functions.dates import RUN_ZONE, run_date
 ERROR_EVENT = "error"
 BUFFER_LIMIT_MS = 4000
 ALERT_WINDOW = "2 minutes"
+# Messages a window's alerts are dealt to.
+DIGEST_PARTS = 8
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 REQUIRED = ("session_id", "user_id", "movie_id", "event_type", "event_timestamp")
@@ -78,7 +80,10 @@ def _watermarked(alerts: DataFrame, time_column: str, delay: str) -> DataFrame:
 
 
 def alert_windows(alerts: DataFrame, time_column: str = "event_timestamp", delay: str | None = None) -> DataFrame:
-    """Number of alerts per non-empty tumbling window; set `delay` (the watermark) on a stream."""
+    """Number of alerts per non-empty tumbling window; set `delay` (the watermark) on a stream.
+
+    On a stream the counts are those of a window when it closes; the digests, not these counts, carry late alerts.
+    """
     if delay is None:
         windows = alerts.groupBy(F.window(time_column, ALERT_WINDOW).alias("w"))
     else:
@@ -90,84 +95,52 @@ def alert_windows(alerts: DataFrame, time_column: str = "event_timestamp", delay
     )
 
 
+# The text of a digest's lines and headline.
 def _line() -> Column:
+    def shown(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit("None"))
+
     return F.concat(
         F.lit("- User "),
-        F.col("user_id").cast("string"),
+        shown("user_id"),
         F.lit(" Movie "),
-        F.col("movie_id").cast("string"),
+        shown("movie_id"),
         F.lit(" Event "),
-        F.col("event_type"),
+        shown("event_type"),
         F.lit(" Buffer "),
         F.coalesce(F.col("buffer_duration_ms"), F.lit(0)).cast("string"),
         F.lit("ms\n"),
     )
 
 
-def _headline(window_end: Column, total: Column, suffix: Column) -> Column:
+def _headline(window_end: Column, total: Column) -> Column:
     local = F.convert_timezone(F.lit("UTC"), F.lit(RUN_ZONE), window_end.cast("timestamp_ntz"))
     sent = F.substring(local.cast("string"), 1, 19)
-    return F.concat(F.lit("⚠️ "), sent, F.lit(" - "), total.cast("string"), F.lit(" alerts"), suffix, F.lit("\n"))
+    return F.concat(F.lit("⚠️ "), sent, F.lit(" - "), total.cast("string"), F.lit(" alerts\n"))
 
 
-def alert_digest(alerts: DataFrame, time_column: str = "event_timestamp", part_size: int = 1000) -> DataFrame:
-    """One message per non-empty window listing all its alerts in order of time; a window with more than
-    `part_size` alerts is sent as several messages, so that no group grows with the window.
+def alert_digest(alerts: DataFrame, time_column: str = "event_timestamp", parts: int = DIGEST_PARTS) -> DataFrame:
+    """Messages per non-empty window that list its alerts in order of time.
 
-    Equal lines are counted before they are shuffled, a count above `part_size` is cut into pieces, and the
-    pieces are dealt to the window's parts by hash. All steps are deterministic, so a repeated task gives
-    the same parts.
+    Alerts are dealt to `parts` messages by their event number, the same way in every window, whatever its size; a
+    part without alerts gives no message, and each headline counts its own message's alerts. Equal lines are
+    counted before they are shuffled.
     """
-    size = F.lit(part_size).cast("bigint")
     lines = alerts.select(
-        F.window(time_column, ALERT_WINDOW).alias("w"), F.col(time_column).alias("at"), "event_id", _line().alias("line")
-    )
-    counted = lines.groupBy("w", "at", "event_id", "line").agg(F.count(F.lit(1)).alias("n"))
-    # The totals are summed from the counted lines, so both sides share one exchange of the alerts.
-    totals = counted.groupBy("w").agg(F.sum("n").alias("total"))
-    last_piece = F.ceil(F.col("n") / size).cast("bigint")
-    pieces = counted.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), last_piece)).alias("piece")).withColumn(
-        "copies", F.least(size, F.col("n") - (F.col("piece") - 1) * size)
+        F.window(time_column, ALERT_WINDOW).alias("w"),
+        F.pmod(F.coalesce(F.col("event_id"), F.lit(0)).cast("bigint"), F.lit(parts).cast("bigint")).alias("part"),
+        F.col(time_column).alias("at"),
+        "event_id",
+        _line().alias("line"),
     )
-    n_parts = F.ceil(F.col("total") / size).cast("bigint")
-    dealt = pieces.join(totals, "w").withColumn(
-        "part", F.pmod(F.xxhash64("at", "event_id", "line", "piece"), n_parts) + 1
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("at", "event_id", "line", "piece", "copies")))
-    body = F.array_join(F.transform(ordered, lambda x: F.repeat(x["line"], x["copies"].cast("int"))), "")
-    grouped = dealt.groupBy("w", "total", "part").agg(body.alias("body"))
-    numbered = F.when(
-        F.col("total") > size,
-        F.concat(F.lit(" (part "), F.col("part").cast("string"), F.lit(" of "), n_parts.cast("string"), F.lit(")")),
-    ).otherwise("")
+    counted = lines.groupBy("w", "part", "at", "event_id", "line").agg(F.count(F.lit(1)).alias("n"))
+    ordered = F.sort_array(F.collect_list(F.struct("at", "event_id", "line", "n")))
+    body = F.array_join(F.transform(ordered, lambda x: F.repeat(x["line"], x["n"].cast("int"))), "")
+    grouped = counted.groupBy("w", "part").agg(F.sum("n").alias("total"), body.alias("body"))
     return grouped.select(
         F.col("w.start").alias("window_start"),
-        "part",
-        F.concat(_headline(F.col("w.end"), F.col("total"), numbered), F.col("body")).alias("message"),
-    )
-
-
-def streaming_digest(
-    alerts: DataFrame, delay: str = "0 seconds", time_column: str = "event_timestamp", shards: int = 1
-) -> DataFrame:
-    """The digest on a stream, emitted when the watermark passes the end of a window.
-
-    With `shards` above 1 a window gives up to that many messages, each from alerts picked by hash, which
-    spreads a busy window's list over as many state rows.
-    """
-    rows = _watermarked(alerts, time_column, delay).select(
-        "_event_time",
-        F.pmod(F.xxhash64("event_id", time_column), F.lit(shards).cast("bigint")).alias("shard"),
-        F.struct(F.col(time_column).alias("at"), "event_id", _line().alias("line")).alias("entry"),
-    )
-    grouped = rows.groupBy(F.window("_event_time", ALERT_WINDOW).alias("w"), "shard").agg(
-        F.sort_array(F.collect_list("entry")).alias("entries")
-    )
-    body = F.array_join(F.transform("entries", lambda x: x["line"]), "")
-    return grouped.select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        (F.col("shard") + 1).alias("part"),
-        F.concat(_headline(F.col("w.end"), F.size("entries"), F.lit("")), body).alias("message"),
+        (F.col("part") + 1).alias("part"),
+        F.concat(_headline(F.col("w.end"), F.col("total")), F.col("body")).alias("message"),
     )
 
 
@@ -223,24 +196,27 @@ def start_digests(
     messages: DataFrame,
     path: str,
     checkpoint: str,
-    delay: str = "0 seconds",
-    shards: int = 1,
+    parts: int = DIGEST_PARTS,
+    every: str = ALERT_WINDOW,
     drain: bool = False,
 ) -> StreamingQuery:
-    """Write each closed window's digest once.
+    """Write the digests of what arrived `every` so often, grouped by the window in which it happened.
 
-    A batch that is run again overwrites its own folder, so a digest is not written twice.
+    Every alert is in one digest: there is no watermark, so an alert that comes late goes into a further digest of
+    its window, and the newest window does not wait for a later event. No state is kept between batches. A
+    batch that is run again overwrites its own folder, so a digest is not written twice.
     """
-    digests = streaming_digest(playback_alerts(valid_events(parse_messages(messages))), delay, shards=shards)
+    alerts = playback_alerts(valid_events(parse_messages(messages)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            batch.withColumn("batch_id", F.lit(batch_id))
+            alert_digest(batch, parts=parts)
+            .withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
             .parquet(path)
         )
 
-    writer = digests.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
-    return (writer.trigger(availableNow=True) if drain else writer).start()
+    writer = alerts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=every)).start()

@@ -57,45 +57,45 @@ def test_parse_sorts_out_malformed(spark):
     assert values(playback.malformed_messages(parsed)) == sorted([(x,) for x in lines[1:]], key=repr)
 
 
-def digest_by_hand(events: list[dict]) -> dict:
+def line_by_hand(e: dict) -> str:
+    shown = (e.get(k) if e.get(k) is not None else "None" for k in ("user_id", "movie_id", "event_type"))
+    return "- User {} Movie {} Event {} Buffer {}ms\n".format(*shown, e["buffer_duration_ms"] or 0)
+
+
+def digest_by_hand(events: list[dict], parts: int = playback.DIGEST_PARTS) -> dict:
     windows = defaultdict(list)
     for e in events:
         at = dt.datetime.fromisoformat(e["event_timestamp"])
-        windows[at - dt.timedelta(seconds=(at - START).total_seconds() % 120)].append((at, e))
+        windows[at - dt.timedelta(seconds=(at - START).total_seconds() % 120), e["event_id"] % parts + 1].append((at, e))
     out = {}
-    for start, rows in windows.items():
+    for (start, part), rows in windows.items():
         sent = start + dt.timedelta(minutes=2, hours=7)
-        lines = [
-            f"- User {e['user_id']} Movie {e['movie_id']} Event {e['event_type']} Buffer {e['buffer_duration_ms'] or 0}ms\n"
-            for _, e in sorted(rows, key=lambda r: (r[0], r[1]["event_id"]))
-        ]
-        out[start] = f"⚠️ {sent} - {len(rows)} alerts\n" + "".join(lines)
+        lines = [line_by_hand(e) for _, e in sorted(rows, key=lambda r: (r[0], r[1]["event_id"]))]
+        out[start, part] = f"⚠️ {sent} - {len(rows)} alerts\n" + "".join(lines)
     return out
 
 
+def lines_of(messages) -> list[str]:
+    return sorted(line for m in messages for line in m.splitlines()[1:])
+
+
 def frame(spark, events):
     return playback.valid_events(
         playback.parse_messages(spark.createDataFrame([(json.dumps(e),) for e in events], "value string"))
     )
 
 
-def test_digest_matches_brute_force(spark):
-    events = [event(n, 17 * n) for n in range(60)] + [event(7, 17 * 7)]
-    got = {r["window_start"]: r["message"] for r in playback.alert_digest(frame(spark, events)).collect()}
-    assert got == digest_by_hand(events)
+@pytest.mark.parametrize("parts", [1, 3, playback.DIGEST_PARTS])
+def test_digest_matches_brute_force(spark, parts):
+    events = [event(n, 17 * n) for n in range(60)] + [event(7, 17 * 7)] + [event(n, n % 100) for n in range(100, 2000)]
+    got = {(r["window_start"], r["part"]): r["message"] for r in playback.alert_digest(frame(spark, events), parts=parts).collect()}
+    assert got == digest_by_hand(events, parts)
 
 
-def test_digest_splits_a_hot_window_without_losing_lines(spark):
-    """Half of the alerts are copies of one event in one window."""
-    events = [event(n, n % 100) for n in range(200)] + [event(999, 5)] * 200 + [event(1, 500)]
-    rows = playback.alert_digest(frame(spark, events), part_size=20).collect()
-    lines = sorted(line for r in rows for line in r["message"].splitlines()[1:])
-    whole = digest_by_hand(events)
-    assert lines == sorted(line for message in whole.values() for line in message.splitlines()[1:])
-    hot = [r for r in rows if r["window_start"] == START]
-    assert len(hot) > 10
-    assert max(r["message"].count("\n") for r in hot) < 80
-    assert all(" - 400 alerts (part " in r["message"] for r in hot)
+def test_digest_lists_alerts_with_missing_fields(spark):
+    rows = frame(spark, [event(1, 0)]).withColumns({"user_id": F.lit(None).cast("long"), "event_type": F.lit(None).cast("string")})
+    message = playback.alert_digest(rows).first()["message"]
+    assert message.endswith(" - 1 alerts\n- User None Movie 5 Event None Buffer 10ms\n")
 
 
 def test_alert_table_stream_and_quarantine(spark, tmp_path):
@@ -121,33 +121,38 @@ def test_alert_table_stream_and_quarantine(spark, tmp_path):
 
 
 def test_digest_stream_equals_batch(spark, tmp_path):
+    """A drain emits every window, the newest one included."""
     source = tmp_path / "in"
     events = [event(n, 13 * n) for n in range(50)]
     write_messages(source, "a.json", events)
-    # The last window closes once a later event has moved the watermark past its end.
-    write_messages(source, "b.json", [event(1000, 10_000)])
     stream = playback.read_message_files(spark, str(source))
     out = str(tmp_path / "out")
     playback.start_digests(stream, out, str(tmp_path / "c"), drain=True).awaitTermination(120)
-    got = {r["window_start"]: r["message"] for r in spark.read.parquet(out).collect()}
+    got = {(r["window_start"], r["part"]): r["message"] for r in spark.read.parquet(out).collect()}
     assert got == digest_by_hand(events)
 
 
-def test_late_events_are_dropped_after_the_delay(spark, tmp_path):
+def test_every_alert_is_in_one_digest(spark, tmp_path):
+    """Shuffled, late and last events, over several batches and two runs."""
     source = tmp_path / "in"
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
 
-    def run(delay):
-        stream = playback.read_message_files(spark, str(source))
-        playback.start_digests(stream, out, checkpoint, delay=delay, drain=True).awaitTermination(120)
-
-    write_messages(source, "a.json", [event(1, 0), event(2, 1000)])
-    run("0 seconds")
-    write_messages(source, "b.json", [event(3, 10), event(4, 2000)])
-    run("0 seconds")
-    lines = "".join(r["message"] for r in spark.read.parquet(out).collect())
-    assert "User 1 " in lines and "User 2 " in lines
-    assert "User 3 " not in lines
+    def run():
+        stream = playback.read_message_files(spark, str(source), max_files=1)
+        playback.start_digests(stream, out, checkpoint, drain=True).awaitTermination(120)
+
+    events = [event(n, (n * 37) % 900) for n in range(80)]
+    write_messages(source, "a.json", events[:30])
+    write_messages(source, "b.json", events[30:60])
+    run()
+    assert lines_of(r["message"] for r in spark.read.parquet(out).collect()) == sorted(line_by_hand(e).rstrip() for e in events[:60])
+    late = [event(1001, 5), event(1002, 100_000), event(1003, 6)]
+    write_messages(source, "c.json", events[60:] + late)
+    run()
+    rows = spark.read.parquet(out).collect()
+    assert lines_of(r["message"] for r in rows) == sorted(line_by_hand(e).rstrip() for e in events + late)
+    # The late alerts stand in a further digest of their own window.
+    assert any(r["window_start"] == START and "User 0 " in r["message"] for r in rows)
 
 
 def test_window_counts_on_a_stream(spark, tmp_path):

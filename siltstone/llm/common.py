@@ -94,7 +94,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash per word, kept between calls up to `most` words; a full table is emptied."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 

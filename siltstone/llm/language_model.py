@@ -164,14 +164,19 @@ def _losses(buckets: int, bits: int, sent):
             if not held:
                 continue
             for keys, target, entries, _ in unpacked(held).values():
-                counts = (entries >> _ID_BITS).astype(np.int64)
-                unique, number = np.unique(entries & _PAIR, return_inverse=True)
-                n_all = np.bincount(number, weights=counts)
-                n_target = np.bincount(number, weights=counts * target)
-                first, second = (unique >> np.uint64(bits)).astype(np.int64), (unique & mask).astype(np.int64)
-                loss = loss_difference(first, second, n_target, n_all, unigrams)[number] * counts
+                held.clear()
                 own, place = np.unique(keys, return_inverse=True)
-                sums = np.bincount(place, weights=loss)
+                del keys
+                sums, slot = np.zeros(len(own)), mixed(entries & _PAIR) >> np.uint64(61)
+                for part in range(8):  # a bigram has all its entries in one part; the parts bound what is held at once
+                    chosen = np.flatnonzero(slot == part)
+                    counts = (entries[chosen] >> _ID_BITS).astype(np.int64)
+                    unique, number = np.unique(entries[chosen] & _PAIR, return_inverse=True)
+                    n_all = np.bincount(number, weights=counts, minlength=len(unique))
+                    n_target = np.bincount(number, weights=counts * target[chosen], minlength=len(unique))
+                    first, second = (unique >> np.uint64(bits)).astype(np.int64), (unique & mask).astype(np.int64)
+                    loss = loss_difference(first, second, n_target, n_all, unigrams)[number] * counts
+                    sums += np.bincount(place[chosen], weights=loss, minlength=len(own))
                 where = (own % np.uint64(buckets)).astype(np.int64)
                 rows = pack(buckets, where, np.arange(len(own)), own, np.zeros(len(own)), sums.view(np.uint64))
                 yield pa.RecordBatch.from_pylist(list(rows), schema=_SENT)

@@ -2,8 +2,8 @@
 
 Every line and every whole text is compared with the templates. Terms are lower-case ASCII words and digits; idf counts the
 documents with the term, over all documents. A word that no template has counts as a term of its own per occurrence,
-with the greatest idf. By Cauchy-Schwarz a text that shares only light terms with a template stays below the threshold: only
-documents with a heavy term of some template are compared, which loses nothing.
+with the greatest idf. By Cauchy-Schwarz two bounds leave out nearly everything and lose nothing: a line that shares only light terms with a
+template stays below the threshold, and so does a text whose own template terms are a small part of its length.
 
 A file whose whole text matches is a licence file and speaks for its directory. Another file takes the licence of its
 best line. What has neither inherits from the nearest directory above it (its own first) with a licence file; directories
@@ -76,7 +76,10 @@ def _literal(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
 
 
 def _cosines(units: DataFrame, keys: list[str], idf: dict[str, float], rarest: float, templates: tuple[tuple[str, str], ...]) -> DataFrame:
-    """keys, licence and cosine of each unit (keys, words) and template that share a term; one row per licence."""
+    """keys, licence and cosine of each unit and template that share a term; one row per licence.
+
+    A unit has its keys, `n` words, and as `terms` those of its words that some template has, with repetitions.
+    """
     spark = units.sparkSession
     weights = []
     for number, (licence, text) in enumerate(templates):
@@ -86,9 +89,8 @@ def _cosines(units: DataFrame, keys: list[str], idf: dict[str, float], rarest: f
         weights += [(t, number, licence, w / length) for t, w in each.items()]
     known = _literal(spark, [(t, float(v)) for t, v in idf.items()], "term", "idf")
     sides = _literal(spark, weights, "term", "template", "licence", "weight")
-    counts = units.select(*keys, F.size("words").alias("n"), F.explode("words").alias("term")).join(known, "term")
+    counts = units.select(*keys, "n", F.explode("terms").alias("term")).join(known, "term")
     counts = counts.groupBy(*keys, "n", "term", "idf").agg(F.count("*").alias("tf"))
-    # Integers and few terms: the sums' order cannot reach the digits kept.
     per_unit = counts.groupBy(*keys, "n").agg(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).alias("square"), F.sum("tf").alias("inside"))
     length = F.sqrt(F.col("square") + (F.col("n") - F.col("inside")) * rarest**2)
     dots = counts.join(sides, "term").groupBy(*keys, "template", "licence").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
@@ -96,6 +98,17 @@ def _cosines(units: DataFrame, keys: list[str], idf: dict[str, float], rarest: f
     return both.groupBy(*keys, "licence").agg(F.round(F.max(F.col("dot") / F.col("length")), 6).alias("cosine"))
 
 
+def _square(terms: Column, idf: dict[str, float]) -> Column:
+    """Squared length of the part of a text's vector that lies in the templates' terms."""
+    of = F.create_map(*(F.lit(x) for pair in idf.items() for x in pair))
+
+    def added(total: Column, term: Column) -> Column:
+        tf = F.size(F.filter(terms, lambda x: x == term))
+        return total + F.pow(tf * F.element_at(of, term), F.lit(2.0))
+
+    return F.aggregate(F.array_distinct(terms), F.lit(0.0), added)
+
+
 def _best(rows: DataFrame, key: str, *order: Column) -> DataFrame:
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
     return ranked.filter("rank = 1").drop("rank")
@@ -137,20 +150,25 @@ def scan(
     df = dict(held.groupBy("term").count().collect())  # at most the templates' terms
     n = rows.count()
     idf, rarest = {t: idf_of(n, df.get(t, 0)) for t in vocabulary}, idf_of(n, 0)
-    heavy = heavy_terms(idf, templates, min(line_least, file_least))
-
-    # `contains` finds the terms inside longer words too; the cosines decide.
-    lower = F.lower("text")
-    likely = F.lit(False)
-    for term in heavy:
-        likely = likely | F.contains(lower, F.lit(term))
-    near = rows.filter(likely).select(F.xxhash64("doc_id", "path", "text").alias("key"), "doc_id", "path", "text").dropDuplicates(["key"])
-    near = written(near, folder, "near")
-    near_words = near.select("key", words(F.col("text")).alias("words"))
-    whole = _cosines(near_words, ["key"], idf, rarest, templates).filter(F.col("cosine") >= file_least)
+    heavy = heavy_terms(idf, templates, line_least)
+
+    def known(column: Column) -> Column:
+        return F.filter(column, lambda w: w.isin(vocabulary))
+
+    # No term runs over a line's end, so the words of the lines are those of the text.
+    near = rows.select("doc_id", "path", "text", F.transform(F.split("text", "\n"), lambda x: words(x)).alias("lines"))
+    near = near.select(F.xxhash64("doc_id", "path", "text").alias("key"), "path", "lines", F.flatten("lines").alias("words"))
+    near = near.select("key", "path", "lines", F.size("words").alias("n"), known(F.col("words")).alias("terms"))
+    marked = F.transform("lines", lambda x, i: F.struct(i.alias("line"), F.size(x).alias("n"), known(x).alias("terms")))
+    has_heavy = F.arrays_overlap("terms", F.array(*map(F.lit, heavy)))
+    near = near.select("key", "path", "n", "terms", F.when(has_heavy, F.filter(marked, lambda x: F.exists(x.getField("terms"), lambda t: t.isin(heavy)))).alias("lines"))
+    near = near.withColumn("square", F.when(F.size("terms") > 0, _square(F.col("terms"), idf)))
+    whole_bound = F.col("square") >= (file_least * (1 - 1e-9)) ** 2 * (F.col("square") + (F.col("n") - F.size("terms")) * rarest**2)
+    near = near.withColumn("whole", F.coalesce(whole_bound, F.lit(False))).filter("whole OR size(lines) > 0")
+    near = written(near.drop("square"), folder, "near").dropDuplicates(["key"])
+    whole = _cosines(near.filter("whole").select("key", "n", "terms"), ["key"], idf, rarest, templates).filter(F.col("cosine") >= file_least)
     whole = _best(whole, "key", F.desc("cosine"), F.col("licence")).select("key", "licence", "cosine", F.lit("file").alias("origin"))
-    lines = near.select("key", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    lines = lines.select("key", "line", words(F.col("content")).alias("words")).filter(F.arrays_overlap("words", F.array(*map(F.lit, heavy))))
+    lines = near.select("key", F.inline("lines"))
     headers = _cosines(lines, ["key", "line"], idf, rarest, templates).filter(F.col("cosine") >= line_least)
     headers = _best(headers, "key", F.desc("cosine"), F.col("line"), F.col("licence")).select("key", "licence", "cosine", F.lit("header").alias("origin"))
     own = whole.union(headers.join(whole, "key", "left_anti"))

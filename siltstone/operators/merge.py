@@ -72,23 +72,13 @@ def merge_upsert(
         incoming = incoming.alias("s").join(
             stale.select(*keys).alias("t"), _key_match("s", "t", keys, null_safe), "left_anti"
         )
-    untouched = target.alias("t").join(
+    # Rows whose key has a NULL match nothing: they need not meet in one partition of the join.
+    matchable = target if null_safe else target.where(_complete_keys(keys))
+    untouched = matchable.alias("t").join(
         incoming.select(*keys).alias("s"), _key_match("t", "s", keys, null_safe), "left_anti"
     )
-    return untouched.unionByName(incoming)
-
-
-def merge_statement(target: str, source: str, columns: Sequence[str], keys: Sequence[str]) -> str:
-    """The same upsert as a MERGE statement, for catalogs whose tables support it."""
-    match = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    updates = ", ".join(f"t.{c} = s.{c}" for c in columns if c not in keys)
-    names = ", ".join(columns)
-    values = ", ".join(f"s.{c}" for c in columns)
-    return (
-        f"MERGE INTO {target} t USING {source} s ON {match} "
-        f"WHEN MATCHED THEN UPDATE SET {updates} "
-        f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
-    )
+    kept = untouched if null_safe else untouched.unionByName(target.where(~_complete_keys(keys)))
+    return kept.unionByName(incoming)
 
 
 def insert_strict(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -734,6 +734,7 @@ def statements() -> dict[str, str]:
         "trips_by_payment_type": f"select payment_type, {_pick('payment_type', 'Flex Fare trip', 'Credit card', 'Cash', 'No charge', 'Dispute', 'Unknown', 'Voided trip')} "
         f"as payment_desc, count(*) as total_trip, cast({_sum('total_amount')} as double) as total_revenue from fact_taxi_trip group by payment_type",
         "merge_upsert_composite": f"select {_DOUBLE_REVENUE} from zone_flow",
+        "zone_flow_merge_fixed": f"select {_DOUBLE_REVENUE} from zone_flow",
         # subscription video
         **{name: f"select * from {name}" for name in ("prep_users", "prep_movies", "prep_ratings", "prep_subscriptions", "prep_watch_sessions")},
         "prep_payments": f"select {money} from prep_payments",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,11 @@ class Warehouse:
         self.spark = spark
         self.folder = folder
 
+    @staticmethod
+    def kept(df: DataFrame) -> DataFrame:
+        """The frame, computed once where a query uses it several times; a lost block is computed again."""
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+
     def source(self, name: str) -> DataFrame:
         return getattr(inputs, name)(self.spark, self.folder)
 
@@ -194,12 +200,22 @@ def merge_upsert(w: Warehouse) -> DataFrame:
 @_query
 def merge_upsert_composite(w: Warehouse) -> DataFrame:
     """The zone flow up to the cut merged with the whole recomputed flow, on its four key columns."""
-    flow = w.zone_flow()
+    flow = w.kept(w.zone_flow())
     target = flow.where(F.col("trip_date") < F.lit(CUT.date()))
     # The flow is grouped by its key, so that it is unique needs no check.
     return merge.merge_upsert(target, flow, trips.ZONE_FLOW_KEY, check_unique=False)
 
 
+@_query
+def zone_flow_merge_fixed(w: Warehouse) -> DataFrame:
+    """The whole flow merged twice into its part up to the cut: NULL zones match, so no run adds rows."""
+    flow = w.kept(w.zone_flow())
+    target = flow.where(F.col("trip_date") < F.lit(CUT.date()))
+    for _ in range(2):
+        target = merge.merge_upsert(target, flow, trips.ZONE_FLOW_KEY, null_safe=True, check_unique=False)
+    return target
+
+
 @_query
 def insert_ignore(w: Warehouse) -> DataFrame:
     payments = w.source("payments")

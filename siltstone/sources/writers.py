@@ -3,14 +3,15 @@
 A table is a catalog table over Parquet. A job never overwrites files it is still reading: a whole-table
 rewrite goes to a new version folder and the table is then pointed at it; a partition rewrite is staged by
 Spark's dynamic partition overwrite. A lost executor only repeats tasks, and a failed job leaves the old
-version in place.
+version in place: a new definition is complete before it takes the table's name.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,18 +56,25 @@ def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[s
     return grouped.sortWithinPartitions(*order) if order else grouped
 
 
-def staged(df: DataFrame, root: str) -> DataFrame:
-    """Write rows once to a staging folder and read them back.
+def _remove(spark: SparkSession, location: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staged(df: DataFrame, root: str) -> Iterator[DataFrame]:
+    """The rows, written once to a staging folder under the table's root and read back; the folder goes at the end.
 
     A merge uses its source several times (uniqueness, matching, union); this computes it once and cuts
-    its lineage with files that outlive any executor. They go to the shared folder the session names in
-    `spark.checkpoint.dir`, or beside the table where it names none.
+    its lineage with files that outlive any executor, in the store that holds the table.
     """
     spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or root
-    location = f"{shared}/staging_{uuid.uuid4().hex}"
-    df.write.parquet(location)
-    return spark.read.schema(df.schema).parquet(location)
+    location = f"{root}/staging_{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(location)
+        yield spark.read.schema(df.schema).parquet(location)
+    finally:
+        _remove(spark, location)
 
 
 def exists(spark: SparkSession, table: str) -> bool:
@@ -77,10 +85,17 @@ def _quoted(schema: T.StructType) -> str:
     parts = []
     for f in schema:
         comment = f.metadata.get("comment", "").replace("'", "\\'")
-        parts.append(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else ""))
+        required = "" if f.nullable else " NOT NULL"
+        parts.append(f"`{f.name}` {f.dataType.simpleString()}{required}" + (f" COMMENT '{comment}'" if comment else ""))
     return ", ".join(parts)
 
 
+def _define(spark: SparkSession, table: str, schema: T.StructType, location: str | None, partition_by: Sequence[str], absent: bool = False) -> None:
+    layout = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE {'IF NOT EXISTS ' if absent else ''}{table} ({_quoted(schema)}) USING parquet{layout}{place}")
+
+
 def create_table(
     spark: SparkSession,
     table: str,
@@ -92,9 +107,7 @@ def create_table(
     """Create the table if absent, adding the run date column. With `root`, its files live there."""
     if run_date_column and run_date_column not in schema.names:
         schema = T.StructType([*schema.fields, T.StructField(run_date_column, T.DateType(), False)])
-    layout = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    place = f" LOCATION '{root}/{_version()}'" if root else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_quoted(schema)}) USING parquet{layout}{place}")
+    _define(spark, table, schema, f"{root}/{_version()}" if root else None, partition_by, absent=True)
 
 
 def _version() -> str:
@@ -108,27 +121,42 @@ def append_rows(df: DataFrame, table: str, run_date: dt.date | None = None, run_
     rows.select(*columns).write.mode("append").insertInto(table)
 
 
+def _kept_definition(spark: SparkSession, table: str, schema: T.StructType) -> T.StructType:
+    """The frame's fields, with nullability and comments of equally named and typed fields of the table."""
+    if not exists(spark, table):
+        return schema
+    declared = {f.name: f for f in spark.table(table).schema}
+    return T.StructType([declared[f.name] if f.name in declared and declared[f.name].dataType == f.dataType else f for f in schema])
+
+
 def replace_table(
     df: DataFrame, table: str, root: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
 ) -> None:
     """Write a new version of the table and point the catalog at it.
 
-    The previous version's folder stays until housekeeping removes it, so running readers are not cut off.
+    The new version is defined with the frame's own types under a name of its own and then takes the table's
+    name. The previous version's folder stays until housekeeping removes it, so running readers are not cut off.
     """
     spark = df.sparkSession
     location = f"{root}/{_version()}"
     rows = clustered(df, partition_by, cluster_by)
     (rows.write.partitionBy(*partition_by) if partition_by else rows.write).parquet(location)
+    new, old = (f"{table}_{kind}_{uuid.uuid4().hex[:8]}" for kind in ("new", "old"))
+    fields = [f for f in _kept_definition(spark, table, df.schema) if f.name not in partition_by]
+    fields += [df.schema[c] for c in partition_by]
+    _define(spark, new, T.StructType(fields), location, partition_by)
+    if partition_by:
+        spark.catalog.recoverPartitions(new)
     if not exists(spark, table):
-        spark.catalog.createTable(table, path=location, source="parquet")
-    elif partition_by or spark.table(table).schema != rows.schema:
-        # The catalog of a partitioned table also lists partition folders: define it anew.
-        spark.sql(f"DROP TABLE {table}")
-        spark.catalog.createTable(table, path=location, source="parquet")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
     else:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-    if partition_by:
-        spark.catalog.recoverPartitions(table)
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+            raise
+        spark.sql(f"DROP TABLE {old}")
     spark.catalog.refreshTable(table)
 
 
@@ -174,25 +202,28 @@ def materialize(
     cluster_by: Sequence[str] = (),
     full_refresh: bool = False,
     key_fixes_partition: bool = False,
+    null_safe: bool = False,
+    newer_by: str | None = None,
 ) -> None:
     """Persist a model.
 
     Without `keys`, on the first run, or with `full_refresh`, the table is replaced. Otherwise `df` is
-    merged on `keys`. `key_fixes_partition` promises that a key never moves to another partition (a key
+    merged on `keys`; see `merge_upsert` for `null_safe` and `newer_by`. `key_fixes_partition` promises that a key never moves to another partition (a key
     that contains the event time); then only partitions present in `df` are read and rewritten.
     """
     spark = df.sparkSession
     if full_refresh or not keys or not exists(spark, table):
         replace_table(df, table, root, partition_by, cluster_by)
         return
-    source = staged(df, root)
-    target = spark.table(table)
-    if key_fixes_partition and partition_by:
-        merged = merge_upsert(_touched_partitions(target, source, partition_by), source, keys)
-        overwrite_partitions(clustered(merged, partition_by, cluster_by), table)
-        spark.catalog.refreshTable(table)
-    else:
-        replace_table(merge_upsert(target, source, keys), table, root, partition_by, cluster_by)
+    with staged(df, root) as source:
+        target = spark.table(table)
+        options = {"null_safe": null_safe, "newer_by": newer_by}
+        if key_fixes_partition and partition_by:
+            merged = merge_upsert(_touched_partitions(target, source, partition_by), source, keys, **options)
+            overwrite_partitions(clustered(merged, partition_by, cluster_by), table)
+            spark.catalog.refreshTable(table)
+        else:
+            replace_table(merge_upsert(target, source, keys, **options), table, root, partition_by, cluster_by)
 
 
 def write_relational(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 10_000) -> None:

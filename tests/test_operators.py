@@ -125,14 +125,6 @@ def test_merge_newer_by(spark):
     ]
 
 
-def test_merge_statement():
-    sql = merge.merge_statement("t1", "s1", ["k", "v", "w"], ["k"])
-    assert sql == (
-        "MERGE INTO t1 t USING s1 s ON t.k = s.k WHEN MATCHED THEN UPDATE SET t.v = s.v, t.w = s.w "
-        "WHEN NOT MATCHED THEN INSERT (k, v, w) VALUES (s.k, s.v, s.w)"
-    )
-
-
 def test_insert_modes(spark, target, source):
     with pytest.raises(merge.DuplicateKeyError):
         merge.insert_strict(target, source, ["k"])

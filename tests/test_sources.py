@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
-from pathlib import Path
 
 import pytest
 from conftest import values
@@ -192,10 +191,62 @@ def test_materialize_keeps_rows_without_partition_value(spark, tmp_path, name):
     assert values(spark.table(name).select("k", "v")) == [("x", 1), ("y", 2), ("z", 3)]
 
 
-def test_staging_folder_is_the_sessions(spark, tmp_path):
-    shared = Path(spark.conf.get("spark.checkpoint.dir"))
-    before = set(shared.iterdir())
-    rows = spark.createDataFrame([(1,)], "id long")
-    assert values(writers.staged(rows, str(tmp_path / "root"))) == [(1,)]
-    assert len(set(shared.iterdir()) - before) == 1
-    assert not (tmp_path / "root").exists()
+def test_staging_folder_goes_after_the_merge(spark, tmp_path, name):
+    root = tmp_path / name
+    rows = spark.createDataFrame([(1, "a")], "id long, v string")
+    for _ in range(3):
+        writers.materialize(rows, name, str(root), ["id"])
+    assert not list(root.glob("staging_*"))
+    with pytest.raises(merge.DuplicateKeyError):
+        writers.materialize(rows.union(rows), name, str(root), ["id"])
+    assert not list(root.glob("staging_*"))
+    assert values(spark.table(name)) == [(1, "a")]
+
+
+def test_partition_values_keep_their_type(spark, tmp_path, name):
+    root = str(tmp_path / name)
+    rows = spark.createDataFrame([("007", 1), ("012", 2), (None, 3)], "code string, v long")
+    for _ in range(2):
+        writers.replace_table(rows, name, root, ["code"])
+        assert values(spark.table(name).select("code", "v")) == [("007", 1), ("012", 2), (None, 3)]
+    writers.materialize(spark.createDataFrame([("007", 1, "x")], "code string, v long, w string"), name, root, ["v"], ["code"], full_refresh=True)
+    assert spark.table(name).schema["code"].dataType == T.StringType()
+
+
+def test_replacement_keeps_declared_comments(spark, tmp_path, name):
+    root = str(tmp_path / name)
+    writers.create_table(spark, name, T.StructType([schemas.field("id", "INTEGER", True, "the id"), schemas.field("v", "STRING")]), root, run_date_column=None)
+    writers.replace_table(spark.createDataFrame([(1, "a")], "id long, v string"), name, root)
+    assert spark.table(name).schema["id"].metadata["comment"] == "the id"
+    assert values(spark.table(name)) == [(1, "a")]
+
+
+def test_crash_before_the_swap_leaves_the_old_version(spark, tmp_path, name, monkeypatch):
+    root = str(tmp_path / name)
+    writers.replace_table(spark.createDataFrame([(1, "a")], "id long, m string"), name, root, ["m"])
+    changed = spark.createDataFrame([(2, "b")], "id long, m string")
+
+    def broken(*_args, **_kwargs):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(writers, "_define", broken)
+        with pytest.raises(OSError):
+            writers.replace_table(changed, name, root, ["m"])
+    assert values(spark.table(name)) == [(1, "a")]
+    writers.replace_table(changed, name, root, ["m"])
+    assert values(spark.table(name)) == [(2, "b")]
+
+
+def test_null_safe_and_newer_rows_through_materialize(spark, tmp_path, name):
+    root = str(tmp_path / name)
+    rows = spark.createDataFrame([("a", None, 5), (None, None, 5), ("b", "c", 5)], "k string, j string, v long")
+    for _ in range(3):
+        writers.materialize(rows, name, root, ["k", "j"], null_safe=True)
+    assert values(spark.table(name)) == values(rows)
+    mixed = spark.createDataFrame([("a", None, 4), ("b", "c", 6)], "k string, j string, v long")
+    writers.materialize(mixed, name, root, ["k", "j"], null_safe=True, newer_by="v")
+    assert values(spark.table(name)) == sorted([("a", None, 5), (None, None, 5), ("b", "c", 6)], key=repr)
+    # The default matches no NULL: such rows are inserted again.
+    writers.materialize(rows, name, root, ["k", "j"])
+    assert spark.table(name).count() == 5

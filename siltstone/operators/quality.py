@@ -33,10 +33,24 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     return _counted(df, table, "not_null", {c: F.col(c).isNull() for c in columns})
 
 
-def unique(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Number of non-NULL values that occur more than once."""
-    repeated = df.where(F.col(column).isNotNull()).groupBy(column).count().where("count > 1")
-    return _one(repeated.agg(F.count(F.lit(1)).alias("violations")), table, "unique", column)
+def unique(df: DataFrame, table: str, columns: str | Sequence[str]) -> DataFrame:
+    """Number of non-NULL values that occur more than once, for all columns in one pass over the table.
+
+    Values are counted per column and value; text is exact for comparing the values of one column.
+    """
+    names = [columns] if isinstance(columns, str) else list(columns)
+    if len(names) == 1:
+        values = df.select(F.lit(names[0]).alias("column"), F.col(names[0]).alias("value"))
+    else:
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in names])
+        values = df.select(F.inline(pairs))
+    counts = values.where(F.col("value").isNotNull()).groupBy("column", "value").count()
+    repeated = counts.groupBy("column").agg(F.count(F.when(F.col("count") > 1, 1)).alias("violations"))
+    # The declared columns are few: a map from the small result keeps those without any value.
+    found = repeated.agg(F.map_from_entries(F.collect_list(F.struct("column", "violations"))).alias("found"))
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.try_element_at("found", F.lit(c)), F.lit(0)).cast("bigint").alias("violations")) for c in names])
+    rows = found.select(F.inline(each))
+    return rows.select(F.lit(table).alias("table"), F.lit("unique").alias("check"), "column", "violations")
 
 
 def relationships(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

@@ -111,9 +111,7 @@ def not_null_report(model: Lookup, declared: Mapping[str, list[str]] = NOT_NULL)
 
 
 def unique_report(model: Lookup, declared: Mapping[str, list[str]] = UNIQUE) -> DataFrame:
-    return quality.report(
-        *[quality.unique(model(name), name, column) for name, columns in declared.items() for column in columns]
-    )
+    return quality.report(*[quality.unique(model(name), name, columns) for name, columns in declared.items()])
 
 
 def relationship_report(model: Lookup, declared=RELATIONSHIPS) -> DataFrame:

@@ -149,8 +149,13 @@ def dim_users(users: DataFrame, subscriptions: DataFrame) -> DataFrame:
 # ---- facts -----------------------------------------------------------------------------------------
 
 
-def fact_user_activity(sessions: DataFrame, threshold: float = COMPLETION_THRESHOLD) -> DataFrame:
-    latest = keep_latest(sessions, ["session_id"], "created_at")
+def _one_per_key(rows: DataFrame, key: str, unique: bool) -> DataFrame:
+    """The newest row of each key; `unique` says that the rows, like a preparation model's, have one already."""
+    return rows if unique else keep_latest(rows, [key], "created_at")
+
+
+def fact_user_activity(sessions: DataFrame, threshold: float = COMPLETION_THRESHOLD, unique: bool = False) -> DataFrame:
+    latest = _one_per_key(sessions, "session_id", unique)
     return latest.select(
         "session_id",
         "user_id",
@@ -165,8 +170,8 @@ def fact_user_activity(sessions: DataFrame, threshold: float = COMPLETION_THRESH
     )
 
 
-def fact_payments(payments: DataFrame) -> DataFrame:
-    latest = keep_latest(payments, ["payment_id"], "created_at")
+def fact_payments(payments: DataFrame, unique: bool = False) -> DataFrame:
+    latest = _one_per_key(payments, "payment_id", unique)
     return latest.select(
         "payment_id",
         "user_id",
@@ -180,8 +185,8 @@ def fact_payments(payments: DataFrame) -> DataFrame:
     )
 
 
-def fact_ratings(ratings: DataFrame) -> DataFrame:
-    latest = keep_latest(ratings, ["rating_id"], "created_at")
+def fact_ratings(ratings: DataFrame, unique: bool = False) -> DataFrame:
+    latest = _one_per_key(ratings, "rating_id", unique)
     return latest.select(
         "rating_id",
         "user_id",
@@ -340,13 +345,12 @@ def subscription_cohorts(revenue: DataFrame) -> DataFrame:
     )
 
 
-def mart_subscription_revenue(payments: DataFrame) -> DataFrame:
-    """Revenue rows with the month's cohort figures.
+def mart_subscription_revenue(revenue: DataFrame) -> DataFrame:
+    """Revenue rows (of `subscription_revenue`, which is read twice) with the month's cohort figures.
 
     The cohort side has one row per calendar month: even the whole DATE range (9999 years) is under
     120 000 rows of about 40 bytes, so broadcasting it is bounded whatever the number of payments.
     """
-    revenue = subscription_revenue(payments)
     return revenue.join(F.broadcast(subscription_cohorts(revenue)), "month_key", "left")
 
 

@@ -27,38 +27,54 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Warehouse:
-    """The models over one folder of test tables, each derived from its source tables on demand."""
+    """The models over one folder of test tables, each derived from its source tables on demand.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    A model is built once per warehouse. With `shared`, preparation models are also computed once: a query that
+    reads many models (the quality suite) then reads each source table and removes its duplicates once.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, shared: bool = False):
         self.spark = spark
         self.folder = folder
+        self.shared = shared
+        self._built: dict[str, DataFrame] = {}
 
     @staticmethod
     def kept(df: DataFrame) -> DataFrame:
         """The frame, computed once where a query uses it several times; a lost block is computed again."""
         return df.persist(StorageLevel.MEMORY_AND_DISK)
 
+    def _once(self, name: str, build: Callable[[], DataFrame], share: bool = False) -> DataFrame:
+        if name not in self._built:
+            built = build()
+            self._built[name] = self.kept(built) if share and self.shared else built
+        return self._built[name]
+
     def source(self, name: str) -> DataFrame:
-        return getattr(inputs, name)(self.spark, self.folder)
+        return self._once(f"source_{name}", lambda: getattr(inputs, name)(self.spark, self.folder))
 
     def table(self, name: str) -> DataFrame:
         return inputs.table(self.spark, self.folder, name)
 
     # subscription video
     def prep(self, name: str) -> DataFrame:
-        return getattr(movies, f"prep_{name}")(self.source(name))
+        return self._once(f"prep_{name}", lambda: getattr(movies, f"prep_{name}")(self.source(name)), share=True)
 
+    # A preparation model has one row per key: its facts need not look for duplicates again.
     def fact_user_activity(self) -> DataFrame:
-        return movies.fact_user_activity(self.prep("watch_sessions"))
+        return self._once("fact_user_activity", lambda: movies.fact_user_activity(self.prep("watch_sessions"), unique=True))
 
     def fact_payments(self) -> DataFrame:
-        return movies.fact_payments(self.prep("payments"))
+        return self._once("fact_payments", lambda: movies.fact_payments(self.prep("payments"), unique=True))
 
     def fact_ratings(self) -> DataFrame:
-        return movies.fact_ratings(self.prep("ratings"))
+        return self._once("fact_ratings", lambda: movies.fact_ratings(self.prep("ratings"), unique=True))
 
     def fact_movie_popularity(self) -> DataFrame:
-        return movies.fact_movie_popularity(self.fact_user_activity())
+        return self._once("fact_movie_popularity", lambda: movies.fact_movie_popularity(self.fact_user_activity()), share=True)
+
+    def subscription_revenue(self) -> DataFrame:
+        return self._once("subscription_revenue", lambda: self.kept(movies.subscription_revenue(self.fact_payments())))
 
     def dim_date(self) -> DataFrame:
         stamps = self.table("lineitem").select(F.col("l_shipdate").alias("ts"))
@@ -73,23 +89,30 @@ class Warehouse:
         )
 
     def prep_taxi_trip(self) -> DataFrame:
-        return trips.prep_taxi_trip(*self.loaded(), RUN_DATE)
+        return self._once("prep_taxi_trip", lambda: trips.prep_taxi_trip(*self.loaded(), RUN_DATE), share=True)
 
     def fact_taxi_trip(self) -> DataFrame:
-        return trips.fact_taxi_trip(self.prep_taxi_trip(), RUN_DATE)
+        return self._once("fact_taxi_trip", lambda: trips.fact_taxi_trip(self.prep_taxi_trip(), RUN_DATE))
 
     def dim_location(self) -> DataFrame:
-        return trips.dim_location(self.source("zones"))
+        return self._once("dim_location", lambda: trips.dim_location(self.source("zones")))
 
     def dim_holiday(self) -> DataFrame:
         """Covers the pickups: they fall on the day the line was shipped."""
-        return calendars.holiday_dimension(calendars.bounds_of(self.table("lineitem"), "l_shipdate", whole_years=True))
+        bounds = calendars.bounds_of
+        return self._once(
+            "dim_holiday", lambda: calendars.holiday_dimension(bounds(self.table("lineitem"), "l_shipdate", whole_years=True)), share=True
+        )
 
     def zone_flow(self) -> DataFrame:
-        return trips.zone_flow(self.fact_taxi_trip(), self.dim_location(), self.dim_holiday(), RUN_DATE)
+        return self._once(
+            "zone_flow",
+            lambda: trips.zone_flow(self.fact_taxi_trip(), self.dim_location(), self.dim_holiday(), RUN_DATE),
+            share=True,
+        )
 
     def holiday_daily(self) -> DataFrame:
-        return trips.holiday_daily(self.zone_flow(), RUN_DATE)
+        return self._once("holiday_daily", lambda: trips.holiday_daily(self.zone_flow(), RUN_DATE))
 
     # decisions
     def cleaned_decisions(self) -> DataFrame:
@@ -106,12 +129,12 @@ class Warehouse:
             "mart_movie_popularity_monthly": lambda: movies.mart_movie_popularity(self.fact_movie_popularity()),
             "mart_movie_rating_monthly": lambda: movies.mart_movie_rating(self.fact_ratings()),
             "mart_user_activity_monthly": lambda: movies.mart_user_activity(self.fact_user_activity()),
-            "mart_subscription_revenue_monthly": lambda: movies.mart_subscription_revenue(self.fact_payments()),
+            "mart_subscription_revenue_monthly": lambda: movies.mart_subscription_revenue(self.subscription_revenue()),
             "mart_taxi_trip_holiday_zone_flow": self.zone_flow,
             "mart_taxi_trip_holiday_daily": self.holiday_daily,
             "mart_taxi_trip_holiday_summary": lambda: trips.holiday_summary(self.holiday_daily(), self.dim_holiday(), RUN_DATE),
         }
-        return (builders.get(name) or getattr(self, name))()
+        return self._once(f"model_{name}", builders.get(name) or getattr(self, name))
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -129,6 +152,12 @@ def _query(function: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse],
     return function
 
 
+def _suite_query(function: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
+    """A query over many models."""
+    _QUERIES[function.__name__] = lambda spark, folder: function(Warehouse(spark, folder, shared=True))
+    return function
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
@@ -446,7 +475,7 @@ def mart_movie_popularity_fixed(w: Warehouse) -> DataFrame:
 
 @_query
 def subscription_cohorts(w: Warehouse) -> DataFrame:
-    return movies.subscription_cohorts(movies.subscription_revenue(w.fact_payments()))
+    return movies.subscription_cohorts(w.subscription_revenue())
 
 
 @_query
@@ -484,17 +513,17 @@ def incremental_trailing_window(w: Warehouse) -> DataFrame:
 # ---- quality ---------------------------------------------------------------------------------------
 
 
-@_query
+@_suite_query
 def dq_not_null(w: Warehouse) -> DataFrame:
     return checks.not_null_report(w.model)
 
 
-@_query
+@_suite_query
 def dq_unique(w: Warehouse) -> DataFrame:
     return checks.unique_report(w.model)
 
 
-@_query
+@_suite_query
 def dq_relationships(w: Warehouse) -> DataFrame:
     return checks.relationship_report(w.model)
 

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from decimal import Decimal
 
+import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
 from siltstone.operators import calendars, incremental, merge
-from siltstone.plans import checks, loans, movies, trips
+from siltstone.plans import checks, loans, movies, registry, trips
 
 D, T = dt.date, dt.datetime
 RUN = D(2024, 5, 1)
@@ -39,7 +41,7 @@ def test_subscription_months(spark):
     )
     facts = movies.fact_payments(movies.prep_payments(raw))
     assert facts.count() == 5
-    mart = movies.mart_subscription_revenue(facts)
+    mart = movies.mart_subscription_revenue(movies.subscription_revenue(facts))
     rows = {(r["subscription_id"], r["month_key"].month): r for r in mart.collect()}
     january = rows[(7, 1)]
     assert (january["total_amount"], january["total_payments"]) == (Decimal("20.00"), 2)
@@ -243,3 +245,19 @@ def test_suite_size():
     assert sum(map(len, checks.NOT_NULL.values())) == 92
     assert sum(map(len, checks.UNIQUE.values())) == 25
     assert len(checks.RELATIONSHIPS) == 10
+
+
+@pytest.mark.parametrize("name", ["dq_unique", "dq_relationships"])
+def test_quality_suite_removes_duplicates_once_per_source(spark, name):
+    """Every key's window in the plan is one and the same, however many models read it."""
+    df = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    windows = set(re.findall(r"Window \[row_number\(\) windowspecdefinition\((\w+)#(\d+)", plan))
+    assert windows
+    assert len({key for key, _ in windows}) == len(windows)
+    spark.catalog.clearCache()
+
+
+def test_facts_of_unique_rows_have_no_window(spark):
+    df = registry.queries()["mart_user_activity"](spark, "/root/testdata/sf0.001")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Window [row_number") == 1

@@ -11,7 +11,7 @@ found between distinct sets; documents of one set are one class.
    set of a group links to the group's smallest one.
 4. Large sets scan the inverted lists. First rounds compare each set with one centre per list and merge what
    links, so a list of near copies costs its length, not its square. Then every pair of a list whose sets are not yet
-   connected is compared, after the size and position bounds. No candidate is dropped otherwise.
+   connected is compared, after bounds on size, place and difference. No candidate is dropped otherwise.
 
 Sets and shingles are known by 64-bit hashes; overlaps are counted on those.
 
@@ -95,7 +95,7 @@ def _send(buckets: int, width: int):
                 rows.append({"bucket": turn % buckets, "doc_id": doc_id, "key": signed, "n": len(own)})
                 if key is None or key in sent:
                     continue
-                if len(sent) < 1_000_000:
+                if len(sent) < 300_000:
                     sent.add(key)
                 keys.append(key), sizes.append(len(own)), parts.append(own)
                 held += len(own)
@@ -116,18 +116,22 @@ def _shared(buckets: int):
                 yield docs
             if not held:
                 continue
-            for keys, n, tokens, _ in unpacked(held).values():
-                order = np.lexsort((keys, tokens))
-                keys, n, tokens = keys[order], n[order], tokens[order]
-                fresh = np.r_[True, (np.diff(tokens) != 0) | (np.diff(keys) != 0)]
-                keys, n, tokens = keys[fresh], n[fresh], tokens[fresh]
-                starts = np.flatnonzero(np.r_[True, np.diff(tokens) != 0])
-                df = np.diff(np.r_[starts, len(tokens)])
-                df = np.repeat(df, df)
-                kept = df > 1
-                if not kept.any():
+            for entries in unpacked(held).values():
+                held.clear()
+                slot, parts = entries[2] >> np.uint64(61), []
+                for part in range(8):  # a shingle has all its entries in one part; the parts bound what is held at once
+                    keys, n, tokens = (x[slot == part] for x in entries[:3])
+                    order = np.lexsort((keys, tokens))
+                    keys, n, tokens = keys[order], n[order], tokens[order]
+                    fresh = np.r_[True, (np.diff(tokens) != 0) | (np.diff(keys) != 0)][: len(tokens)]
+                    keys, n, tokens = keys[fresh], n[fresh], tokens[fresh]
+                    starts = np.flatnonzero(np.r_[True, np.diff(tokens) != 0][: len(tokens)])
+                    df = np.diff(np.r_[starts, len(tokens)])
+                    df = np.repeat(df, df)
+                    parts.append([x[df > 1] for x in (keys, n, tokens, df)])
+                keys, n, tokens, df = (np.concatenate(x) for x in zip(*parts, strict=True))
+                if not len(keys):
                     continue
-                keys, n, tokens, df = keys[kept], n[kept], tokens[kept], df[kept]
                 own, first, number = np.unique(keys, return_index=True, return_inverse=True)
                 where = (own % np.uint64(buckets)).astype(np.int64)[number]
                 rows = pack(buckets, where, number, own, n[first], tokens, np.minimum(df, 0xFFFFFFFF).astype(np.uint32))
@@ -136,8 +140,23 @@ def _shared(buckets: int):
     return run
 
 
-_POSTED = "doc_id long, key long, n long, token long, place long, tokens binary"
-_POSTED_ARROW = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("token", pa.int64()), ("place", pa.int64()), ("tokens", pa.binary())])
+# Parity of a set's shared shingles in 256 hash classes, as four numbers: where two sets differ in parity, they differ.
+_PARITY = ("p0", "p1", "p2", "p3")
+_LONGS = ("doc_id", "key", "n", "token", "place", "own", *_PARITY)
+_POSTED = ", ".join(f"{c} long" for c in _LONGS) + ", tokens binary"
+_POSTED_ARROW = pa.schema([*((c, pa.int64()) for c in _LONGS), ("tokens", pa.binary())])
+
+
+def _posted(size: int, **columns: pa.Array) -> pa.RecordBatch:
+    none = pa.nulls(size, pa.int64())
+    return pa.RecordBatch.from_arrays([*(columns.get(c, none) for c in _LONGS), columns.get("tokens", pa.nulls(size, pa.binary()))], schema=_POSTED_ARROW)
+
+
+def parities(number: np.ndarray, sets: int, tokens: np.ndarray) -> np.ndarray:
+    """(4, sets) parity words of the sets that entries belong to by number."""
+    place = (mixed(tokens + MIX[0]) >> np.uint64(56)).astype(np.int64)
+    odd = np.bincount(number * 256 + place, minlength=256 * sets).reshape(sets, 256).astype(np.uint8) & 1
+    return np.packbits(odd, axis=1, bitorder="little").view(np.int64).T.copy()
 
 
 def _post(percent: int):
@@ -146,8 +165,7 @@ def _post(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held, docs in by_bucket(batches):
             if docs.num_rows:
-                none = pa.nulls(docs.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([*(docs.column(docs.schema.get_field_index(c)) for c in _DOC.names), none, none, pa.nulls(docs.num_rows, pa.binary())], schema=_POSTED_ARROW)
+                yield _posted(docs.num_rows, **{c: docs.column(docs.schema.get_field_index(c)) for c in _DOC.names})
             if not held:
                 continue
             for keys, n, tokens, df in unpacked(held).values():
@@ -155,25 +173,22 @@ def _post(percent: int):
                 keys, n, tokens = keys[order], n[order].astype(np.int64), tokens[order]
                 starts = np.flatnonzero(np.r_[True, np.diff(keys) != 0])
                 sizes = np.diff(np.r_[starts, len(keys)])
-                rank = np.arange(len(keys)) - np.repeat(starts, sizes)
-                place = n - np.repeat(sizes, sizes) + rank  # shingles of this set alone come first
+                number = np.repeat(np.arange(len(starts)), sizes)
+                own = n - sizes[number]  # shingles of this set alone come first
+                place = own + np.arange(len(keys)) - starts[number]
                 posted = place < n - (-(-percent * n // 100)) + 1
-                if not posted.any():
-                    continue
-                size = int(posted.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(size, pa.int64()), pa.array(keys[posted].view(np.int64)), pa.array(n[posted]), pa.array(tokens[posted].view(np.int64)), pa.array(place[posted]), pa.nulls(size, pa.binary())],
-                    schema=_POSTED_ARROW,
-                )
-                some = [(lo, lo + m) for lo, m in zip(starts, sizes, strict=True) if posted[lo]]
+                some = np.flatnonzero(posted[starts])
                 for at in range(0, len(some), 500):
                     cut = some[at : at + 500]
-                    heads = np.array([lo for lo, _ in cut])
-                    none = pa.nulls(len(cut), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [none, pa.array(keys[heads].view(np.int64)), pa.array(n[heads]), none, none, pa.array([np.sort(tokens[lo:hi]).tobytes() for lo, hi in cut], pa.binary())],
-                        schema=_POSTED_ARROW,
-                    )
+                    chosen = np.isin(number, cut)
+                    which = np.searchsorted(cut, number[chosen])
+                    parity = parities(which, len(cut), tokens[chosen])
+                    heads, kept = starts[cut], posted[chosen]
+                    which, rows = which[kept], np.flatnonzero(chosen)[kept]
+                    marks = {c: pa.array(parity[k][which]) for k, c in enumerate(_PARITY)}
+                    yield _posted(len(rows), key=pa.array(keys[rows].view(np.int64)), n=pa.array(n[rows]), token=pa.array(tokens[rows].view(np.int64)), place=pa.array(place[rows]), own=pa.array(own[rows]), **marks)
+                    blobs = [np.sort(tokens[lo : lo + sizes[k]]).tobytes() for lo, k in zip(heads, cut, strict=True)]
+                    yield _posted(len(cut), key=pa.array(keys[heads].view(np.int64)), n=pa.array(n[heads]), tokens=pa.array(blobs, pa.binary()))
 
     return run
 
@@ -249,11 +264,17 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return both.select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
 
 
+_SHOWN = ("key", "n", "place", "own", *_PARITY)
+
+
 def _may_link(x: str, y: str, most: int, percent: int):
-    """Bounds two postings of one shingle must meet: sizes, places, and not both small."""
+    """Bounds two postings of one shingle must meet: sizes, places, least difference, and not both small."""
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    differ = F.col(f"{x}.own") + F.col(f"{y}.own")
+    for c in _PARITY:
+        differ = differ + F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")))
     left = F.least(n - F.col(f"{x}.place"), m - F.col(f"{y}.place"))
-    return ((100 + percent) * left >= percent * (n + m)) & (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.greatest(n, m) > most)
+    return ((100 + percent) * left >= percent * (n + m)) & (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.greatest(n, m) > most) & ((100 + percent) * differ <= (100 - percent) * (n + m))
 
 
 def large_links(postings: DataFrame, sets: DataFrame, links: DataFrame, most: int, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
@@ -265,13 +286,13 @@ def large_links(postings: DataFrame, sets: DataFrame, links: DataFrame, most: in
         labels = components(links)
         labelled = postings.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
         # Only lists with sets that are not connected yet; each with its greatest component.
-        counts = labelled.groupBy("token", "label").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key", "n", "place")).alias("centre"))
+        counts = labelled.groupBy("token", "label").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("key", F.lit(turn)), *_SHOWN)).alias("centre"))
         lists = counts.groupBy("token").agg(F.count("*").alias("labels"), F.max_by(F.struct("label", "centre"), F.struct("members", "label")).alias("main")).filter("labels > 1").select("token", "main.*")
         open_lists = labelled.join(lists.select("token", F.col("label").alias("main")), "token")
         open_lists = written(open_lists, folder, "open")
         minor = open_lists.filter("label <> main")
         if turn < rounds:
-            centre = lists.select("token", F.col("centre.key").alias("key"), F.col("centre.n").alias("n"), F.col("centre.place").alias("place"))
+            centre = lists.select("token", *(F.col(f"centre.{c}").alias(c) for c in _SHOWN))
             near = minor.alias("x").join(centre.alias("y"), F.col("x.token") == F.col("y.token")).filter(_may_link("x", "y", most, percent))
             votes = near.groupBy(F.col("x.key").alias("key"), F.col("y.key").alias("centre")).agg(F.count("*").alias("votes"))
             best = votes.groupBy("key").agg(F.max_by("centre", F.struct("votes", "centre")).alias("centre"))
@@ -305,7 +326,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     posted = back.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_post(percent), _POSTED)
     posted = written(posted, folder, "posted")
     members = posted.filter("token IS NULL AND tokens IS NULL").select("doc_id", "key", "n")
-    postings = posted.filter("token IS NOT NULL").select("key", "n", "token", "place")
+    postings = posted.filter("token IS NOT NULL").select("token", *_SHOWN)
     sets = posted.filter("tokens IS NOT NULL").select("key", "n", "tokens")
 
     most = boundary(sets, postings, percent)

@@ -36,16 +36,19 @@ def amount_from_text(text: Column) -> Column:
     return (number * factor).try_cast("bigint")
 
 
-def exact_mean(column: Column, scale: int = 2) -> Column:
-    """Mean of a fixed-point quantity as DOUBLE.
+# Holds every digit a double shows from 10**-2 up to 10**20, and every fixed-point amount.
+_WIDE = "decimal(38,18)"
 
-    The sum is kept in decimal, so the result does not depend on how rows are partitioned, as a sum of
-    doubles would. NULLs are left out.
+
+def exact_mean(column: Column) -> Column:
+    """Mean as DOUBLE, from a sum that does not depend on how rows are partitioned, as a sum of doubles would.
+
+    Values are not rounded before they are added. NULLs are left out.
     """
-    total = F.sum(column.cast(f"decimal(28,{scale})")).cast("double")
+    total = F.sum(column.cast(_WIDE)).cast("double")
     return F.try_divide(total, F.count(column).cast("double"))
 
 
-def exact_sum(column: Column, scale: int = 2) -> Column:
-    """Sum as decimal, independent of row order."""
-    return F.sum(column.cast(f"decimal(28,{scale})"))
+def exact_sum(column: Column) -> Column:
+    """Sum as decimal of the unrounded values, independent of row order."""
+    return F.sum(column.cast(_WIDE))

@@ -246,7 +246,7 @@ def mart_movie_popularity(popularity: DataFrame) -> DataFrame:
         .agg(
             F.sum("total_watch_count").alias("total_watch_count"),
             F.sum("unique_viewers").alias("unique_viewers"),
-            exact_mean(F.col("avg_watch_duration"), 6).alias("avg_watch_duration"),
+            exact_mean(F.col("avg_watch_duration")).alias("avg_watch_duration"),
             F.sum("total_watch_time").alias("total_watch_time"),
             F.max("run_date_bq").alias("run_date_bq"),
         )

@@ -35,12 +35,17 @@ def _pick(index: str, *choices: str) -> str:
     return f"list_extract([{quoted}], cast({index} as int) + 1)"
 
 
-def _mean(column: str, scale: int = 2) -> str:
-    return f"cast(sum(cast({column} as decimal(28,{scale}))) as double) / nullif(count({column}), 0)"
+def _wide(column: str) -> str:
+    """The digits a value shows, unrounded."""
+    return f"cast(cast({column} as varchar) as decimal(38,18))"
 
 
-def _sum(column: str, scale: int = 2) -> str:
-    return f"sum(cast({column} as decimal(28,{scale})))"
+def _mean(column: str) -> str:
+    return f"cast(sum({_wide(column)}) as double) / nullif(count({column}), 0)"
+
+
+def _sum(column: str) -> str:
+    return f"sum({_wide(column)})"
 
 
 # ---- source views ----------------------------------------------------------------------------------
@@ -227,7 +232,7 @@ _relation(
     "mart_movie_popularity",
     f"""
     select movie_id, {_MONTH} as month_key, cast(sum(total_watch_count) as bigint) as total_watch_count,
-           cast(sum(unique_viewers) as bigint) as unique_viewers, {_mean("avg_watch_duration", 6)} as avg_watch_duration,
+           cast(sum(unique_viewers) as bigint) as unique_viewers, {_mean("avg_watch_duration")} as avg_watch_duration,
            cast(sum(total_watch_time) as bigint) as total_watch_time,
            movie_id || '_' || strftime({_MONTH}, '%Y%m') as movie_month_key, max(run_date_bq) as run_date_bq
     from fact_movie_popularity group by movie_id, {_MONTH}""",
@@ -337,10 +342,10 @@ def _flow(source: str) -> str:
 
 
 _relation("zone_flow", _flow("fact_taxi_trip"))
-_WEIGHTED = """
+_WEIGHTED = f"""
     cast(sum(total_trip) as bigint) as total_trip, sum(total_revenue) as total_revenue,
     cast(sum(total_revenue) as double) / cast(sum(total_trip) as double) as avg_total_amount,
-    cast(sum(cast(avg_distance * total_trip as decimal(28,6))) as double) / cast(sum(total_trip) as double) as avg_distance"""
+    cast({_sum('avg_distance * total_trip')} as double) / cast(sum(total_trip) as double) as avg_distance"""
 _relation("holiday_daily", f"select trip_date, {_WEIGHTED}, date '{RUN_DATE}' as run_date_bq from zone_flow group by trip_date")
 
 

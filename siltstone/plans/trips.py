@@ -44,6 +44,7 @@ PAYMENT_TYPES = (
 WEEKEND = (4, 5, 6)
 NIGHT_FROM, NIGHT_TO = 18, 23
 
+# The columns of a prepared trip.
 TRIP_COLUMNS = (
     "md5_key",
     "taxi_type",
@@ -212,7 +213,7 @@ ZONE_FLOW_KEY = ["trip_date", "trip_hour", "pickup_zone", "dropoff_zone"]
 
 def _weighted() -> list[Column]:
     trips = F.sum("total_trip")
-    distance = exact_sum(F.col("avg_distance") * F.col("total_trip"), 6).cast("double")
+    distance = exact_sum(F.col("avg_distance") * F.col("total_trip")).cast("double")
     revenue = F.sum("total_revenue")
     return [
         trips.alias("total_trip"),

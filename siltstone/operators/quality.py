@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class QualityError(ValueError):
@@ -33,6 +34,11 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     return _counted(df, table, "not_null", {c: F.col(c).isNull() for c in columns})
 
 
+def declared_not_null(df: DataFrame, table: str, schema: T.StructType) -> DataFrame:
+    """`not_null` for the columns a schema declares as required."""
+    return not_null(df, table, [f.name for f in schema if not f.nullable])
+
+
 def unique(df: DataFrame, table: str, columns: str | Sequence[str]) -> DataFrame:
     """Number of non-NULL values that occur more than once, for all columns in one pass over the table.
 

@@ -40,58 +40,164 @@ def field(name: str, type_name: str, required: bool = False, description: str |
     return T.StructField(name, warehouse_type(type_name), not required, metadata)
 
 
-def _schema(required: str, nullable: str) -> T.StructType:
-    """Fields written as `name:TYPE name:TYPE`."""
-    fields = [field(*item.split(":"), required=True) for item in required.split()]
-    return T.StructType(fields + [field(*item.split(":")) for item in nullable.split()])
-
-
 def required_columns(schema: T.StructType) -> list[str]:
     """Columns a not-null check has to cover: Spark does not enforce nullability on read."""
     return [f.name for f in schema if not f.nullable]
 
 
-PLAYBACK_EVENTS = _schema(
-    "session_id:INTEGER user_id:INTEGER movie_id:INTEGER event_type:STRING event_timestamp:TIMESTAMP",
-    "event_id:INTEGER buffer_duration_ms:INTEGER bitrate_kbps:INTEGER city:STRING isp:STRING country:STRING run_date:DATE",
+# The published tables' columns, in their order.
+
+PLAYBACK_EVENTS = T.StructType(
+    [
+        field("event_id", "INTEGER"),
+        field("session_id", "INTEGER", required=True),
+        field("user_id", "INTEGER", required=True),
+        field("movie_id", "INTEGER", required=True),
+        field("event_type", "STRING", required=True, description="start, buffer, error, resume, stop"),
+        field("event_timestamp", "TIMESTAMP", required=True),
+        field("buffer_duration_ms", "INTEGER"),
+        field("bitrate_kbps", "INTEGER"),
+        field("city", "STRING"),
+        field("isp", "STRING"),
+        field("country", "STRING"),
+        field("run_date", "DATE", description="Ingestion date (added by pipeline)"),
+    ]
+)
+
+YELLOW_TRIPS = T.StructType(
+    [
+        field("taxi_type", "STRING", required=True),
+        field("vendorid", "INTEGER", required=True),
+        field("pickup_datetime", "TIMESTAMP", required=True),
+        field("dropoff_datetime", "TIMESTAMP", required=True),
+        field("trip_distance", "FLOAT", required=True),
+        field("pulocationid", "INTEGER", required=True),
+        field("dolocationid", "INTEGER", required=True),
+        field("payment_type", "INTEGER"),
+        field("total_amount", "FLOAT", required=True),
+        field("passenger_count", "FLOAT"),
+        field("ratecodeid", "FLOAT"),
+        field("store_and_fwd_flag", "STRING"),
+        field("fare_amount", "FLOAT"),
+        field("extra", "FLOAT"),
+        field("mta_tax", "FLOAT"),
+        field("tip_amount", "FLOAT"),
+        field("tolls_amount", "FLOAT"),
+        field("improvement_surcharge", "FLOAT"),
+        field("congestion_surcharge", "FLOAT"),
+        field("airport_fee", "FLOAT"),
+        field("cbd_congestion_fee", "FLOAT"),
+        field("md5_key", "STRING"),
+        field("run_date_bq", "DATE", required=True),
+    ]
+)
+
+GREEN_TRIPS = T.StructType(
+    [
+        field("taxi_type", "STRING", required=True),
+        field("vendorid", "INTEGER", required=True),
+        field("pickup_datetime", "TIMESTAMP", required=True),
+        field("dropoff_datetime", "TIMESTAMP", required=True),
+        field("trip_distance", "FLOAT", required=True),
+        field("pulocationid", "INTEGER", required=True),
+        field("dolocationid", "INTEGER", required=True),
+        field("payment_type", "INTEGER"),
+        field("total_amount", "FLOAT", required=True),
+        field("passenger_count", "FLOAT"),
+        field("ratecodeid", "FLOAT"),
+        field("store_and_fwd_flag", "STRING"),
+        field("fare_amount", "FLOAT"),
+        field("extra", "FLOAT"),
+        field("mta_tax", "FLOAT"),
+        field("tip_amount", "FLOAT"),
+        field("tolls_amount", "FLOAT"),
+        field("improvement_surcharge", "FLOAT"),
+        field("congestion_surcharge", "FLOAT"),
+        field("cbd_congestion_fee", "FLOAT"),
+        field("md5_key", "STRING"),
+        field("run_date_bq", "DATE", required=True),
+    ]
 )
 
-_TRIP_REQUIRED = (
-    "taxi_type:STRING vendorid:INTEGER pickup_datetime:TIMESTAMP dropoff_datetime:TIMESTAMP "
-    "trip_distance:FLOAT pulocationid:INTEGER dolocationid:INTEGER total_amount:FLOAT run_date_bq:DATE"
+TAXI_ZONES = T.StructType(
+    [
+        field("locationid", "INTEGER", required=True),
+        field("borough", "STRING"),
+        field("zone", "STRING"),
+        field("service_zone", "STRING"),
+        field("run_date_bq", "DATE", required=True),
+    ]
 )
-_TRIP_NULLABLE = (
-    "payment_type:INTEGER passenger_count:FLOAT ratecodeid:FLOAT store_and_fwd_flag:STRING fare_amount:FLOAT "
-    "extra:FLOAT mta_tax:FLOAT tip_amount:FLOAT tolls_amount:FLOAT improvement_surcharge:FLOAT "
-    "congestion_surcharge:FLOAT cbd_congestion_fee:FLOAT md5_key:STRING"
+
+DECISION_LINKS = T.StructType(
+    [
+        field("no_putusan", "STRING", required=True),
+        field("tgl_putusan", "DATE", required=True),
+        field("link_page_putusan", "STRING", required=True),
+        field("run_date", "DATE"),
+    ]
 )
-GREEN_TRIPS = _schema(_TRIP_REQUIRED, _TRIP_NULLABLE)
-YELLOW_TRIPS = _schema(_TRIP_REQUIRED, _TRIP_NULLABLE + " airport_fee:FLOAT")
-TAXI_ZONES = _schema("locationid:INTEGER run_date_bq:DATE", "borough:STRING zone:STRING service_zone:STRING")
-
-DECISION_LINKS = _schema("no_putusan:STRING tgl_putusan:DATE link_page_putusan:STRING", "run_date:DATE")
-DECISION_DETAILS = _schema(
-    "no_putusan:STRING tgl_putusan:DATE link_page_putusan:STRING",
-    "nama_terdakwa:STRING link_pdf_putusan:STRING gcs_pdf_path:STRING tingkat_proses:STRING klasifikasi:STRING "
-    "kata_kunci:STRING tahun:INT64 tgl_register:DATE lembaga_pengadilan:STRING hakim_ketua:STRING "
-    "hakim_anggota:STRING panitera:STRING amar:STRING amar_lainnya:STRING catatan_amar:STRING "
-    "tgl_musyawarah:DATE tgl_dibacakan:DATE run_date:DATE",
+
+DECISION_DETAILS = T.StructType(
+    [
+        field("no_putusan", "STRING", required=True),
+        field("tgl_putusan", "DATE", required=True),
+        field("nama_terdakwa", "STRING"),
+        field("link_page_putusan", "STRING", required=True),
+        field("link_pdf_putusan", "STRING"),
+        field("gcs_pdf_path", "STRING"),
+        field("tingkat_proses", "STRING"),
+        field("klasifikasi", "STRING"),
+        field("kata_kunci", "STRING"),
+        field("tahun", "INT64"),
+        field("tgl_register", "DATE"),
+        field("lembaga_pengadilan", "STRING"),
+        field("hakim_ketua", "STRING"),
+        field("hakim_anggota", "STRING"),
+        field("panitera", "STRING"),
+        field("amar", "STRING"),
+        field("amar_lainnya", "STRING"),
+        field("catatan_amar", "STRING"),
+        field("tgl_musyawarah", "DATE"),
+        field("tgl_dibacakan", "DATE"),
+        field("run_date", "DATE"),
+    ]
 )
-DECISION_EXTRACTS = _schema(
-    "no_putusan:STRING tgl_putusan:DATE",
-    "gcs_extract_pdf_path:STRING summary_extractive_short:STRING nama_terdakwa:STRING tempat_lahir_terdakwa:STRING "
-    "tanggal_lahir_terdakwa:DATE jenis_kelamin_terdakwa:STRING kebangsaan_terdakwa:STRING "
-    "tempat_tinggal_terdakwa:STRING agama_terdakwa:STRING pekerjaan_terdakwa:STRING barang_bukti:STRING "
-    "rujukan_hukum:STRING amar_putusan:STRING run_date:DATE",
+
+DECISION_EXTRACTS = T.StructType(
+    [
+        field("no_putusan", "STRING", required=True),
+        field("tgl_putusan", "DATE", required=True),
+        field("gcs_extract_pdf_path", "STRING"),
+        field("summary_extractive_short", "STRING"),
+        field("nama_terdakwa", "STRING"),
+        field("tempat_lahir_terdakwa", "STRING"),
+        field("tanggal_lahir_terdakwa", "DATE"),
+        field("jenis_kelamin_terdakwa", "STRING"),
+        field("kebangsaan_terdakwa", "STRING"),
+        field("tempat_tinggal_terdakwa", "STRING"),
+        field("agama_terdakwa", "STRING"),
+        field("pekerjaan_terdakwa", "STRING"),
+        field("barang_bukti", "STRING"),
+        field("rujukan_hukum", "STRING"),
+        field("amar_putusan", "STRING"),
+        field("run_date", "DATE"),
+    ]
 )
-LOAN_STATISTICS = _schema(
-    " ".join(
-        f"{party}_{period}:INTEGER"
-        for party in ("penerima_dana", "pemberi_dana", "dana_tersalurkan")
-        for period in ("total", "tahun_berjalan", "posisi_akhir")
-    )
-    + " run_date_bq:DATE",
-    "",
+
+LOAN_STATISTICS = T.StructType(
+    [
+        field("penerima_dana_total", "INTEGER", required=True),
+        field("penerima_dana_tahun_berjalan", "INTEGER", required=True),
+        field("penerima_dana_posisi_akhir", "INTEGER", required=True),
+        field("pemberi_dana_total", "INTEGER", required=True),
+        field("pemberi_dana_tahun_berjalan", "INTEGER", required=True),
+        field("pemberi_dana_posisi_akhir", "INTEGER", required=True),
+        field("dana_tersalurkan_total", "INTEGER", required=True),
+        field("dana_tersalurkan_tahun_berjalan", "INTEGER", required=True),
+        field("dana_tersalurkan_posisi_akhir", "INTEGER", required=True),
+        field("run_date_bq", "DATE", required=True),
+    ]
 )
 
 

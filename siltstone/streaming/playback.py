@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import RUN_ZONE, run_date
+from ..sources.schemas import PLAYBACK_EVENTS, required_columns
 
 # What counts as an alert, the window length, and the wire format of timestamps.
 ERROR_EVENT = "error"
@@ -20,13 +22,12 @@ ALERT_WINDOW = "2 minutes"
 DIGEST_PARTS = 8
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
-REQUIRED = ("session_id", "user_id", "movie_id", "event_type", "event_timestamp")
+REQUIRED = tuple(required_columns(PLAYBACK_EVENTS))
 
-_WIRE_SCHEMA = (
-    "event_id bigint, session_id bigint, user_id bigint, movie_id bigint, event_type string, "
-    "event_timestamp timestamp_ntz, buffer_duration_ms bigint, bitrate_kbps bigint, city string, isp string, "
-    "country string, _corrupt_record string"
-)
+# A message has the table's columns but the ingestion date.
+_WIRE_SCHEMA = T.StructType([f for f in PLAYBACK_EVENTS if f.name != "run_date"]).add("_corrupt_record", T.StringType())
+# The parser must see fields that may be missing, or it would drop the whole message.
+_WIRE_SCHEMA = T.StructType([T.StructField(f.name, f.dataType) for f in _WIRE_SCHEMA])
 
 
 # ---- transformations -------------------------------------------------------------------------------

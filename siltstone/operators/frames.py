@@ -49,16 +49,19 @@ def _as_timestamp(df: DataFrame, column: str) -> Column:
     return F.col(column).try_cast("timestamp_ntz")
 
 
-def expand_datetime(df: DataFrame, column: str, check: bool = True) -> DataFrame:
+def check_readable(df: DataFrame, column: str) -> None:
+    """Raise if a non-empty frame has no value that can be read as a timestamp; stops at the first readable row."""
+    if df.where(_as_timestamp(df, column).isNotNull()).isEmpty() and not df.isEmpty():
+        raise ValueError(f"no value of {column!r} could be read as a timestamp")
+
+
+def expand_datetime(df: DataFrame, column: str) -> DataFrame:
     """Coerce a column to a timestamp and append its year, month, day, hour and weekday (Monday = 0).
 
-    Text that is no timestamp becomes NULL. With `check`, a non-empty frame in which nothing could be
-    read is an error; the probe stops at the first readable row.
+    Text that is no timestamp becomes NULL; see `check_readable` for a column that cannot be read at all.
     """
     require_columns(df, [column])
     typed = df.withColumn(column, _as_timestamp(df, column))
-    if check and typed.where(F.col(column).isNotNull()).isEmpty() and not df.isEmpty():
-        raise ValueError(f"no value of {column!r} could be read as a timestamp")
     value = F.col(column)
     return typed.withColumns(
         {

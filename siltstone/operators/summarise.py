@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from ..functions.text import strip
 
 DAMPING = 0.85
-ITERATIONS = 20
+# The walk of a document ends when no score moves by more.
+TOLERANCE = 1e-13
 
 # A summary sentence is kept if it mentions one of these.
 LEGAL_KEYWORDS = ("putusan", "terdakwa", "hukuman", "pidana", "perdata", "amar")
@@ -60,7 +61,7 @@ def document_terms(split: DataFrame, doc_id: str) -> DataFrame:
     return counted.groupBy(doc_id, "n").agg(F.collect_list(F.struct("position", "word", "tf")).alias("entries"))
 
 
-def walk(iterations: int, damping: float):
+def walk(tolerance: float, damping: float):
     """Function from (sentences per document, entries) to the scores per document, for an Arrow batch.
 
     It is built here, inside another function, so that it travels to the executors by value: they need
@@ -89,31 +90,37 @@ def walk(iterations: int, damping: float):
         degree = similar(np.ones(first[-1]))
         out = np.where(degree > 0, 1.0 / np.where(degree > 0, degree, 1.0), 0.0)
         p = 1.0 / per_sentence
-        for _ in range(iterations):
-            p = (1.0 - damping) / per_sentence + damping * similar(p * out)
+        # A step shrinks the distance to the fixed point by the damping at least, so every document gets there. A
+        # document that has is left alone: its scores do not depend on its batch.
+        moving = np.repeat(n > 0, n)
+        while moving.any():
+            new = np.where(moving, (1.0 - damping) / per_sentence + damping * similar(p * out), p)
+            moved = np.zeros(len(n))
+            np.maximum.at(moved, np.repeat(np.arange(len(n)), n), np.abs(new - p))
+            p, moving = new, np.repeat(moved > tolerance, n)
         return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(p))
 
     return scores
 
 
 def sentence_scores(
-    documents: DataFrame, doc_id: str, text: str, iterations: int = ITERATIONS, damping: float = DAMPING
+    documents: DataFrame, doc_id: str, text: str, tolerance: float = TOLERANCE, damping: float = DAMPING
 ) -> DataFrame:
     """(doc_id, scores): the score of every sentence, by position."""
     terms = document_terms(_by_document(documents, doc_id, text), doc_id)
-    scores = F.arrow_udf(walk(iterations, damping), "array<double>")
+    scores = F.arrow_udf(walk(tolerance, damping), "array<double>")
     return terms.select(doc_id, scores("n", "entries").alias("scores"))
 
 
 def top_sentences(
-    documents: DataFrame, doc_id: str, text: str, n_sentences: int, iterations: int = ITERATIONS
+    documents: DataFrame, doc_id: str, text: str, n_sentences: int, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """(doc_id, chosen): the n most central sentences per document as (position, sentence), in text order.
 
     Scores are compared after rounding to 10 digits and then by position, so that equal sentences do not
     trade places when sums are added in another order.
     """
-    scores = sentence_scores(documents, doc_id, text, iterations)
+    scores = sentence_scores(documents, doc_id, text, tolerance)
     ranked = F.array_sort(F.transform("scores", lambda s, i: F.struct((-F.round(s, 10)).alias("rank"), i.alias("position"))))
     best = F.array_sort(F.transform(F.slice(ranked, 1, n_sentences), lambda r: r["position"]))
     # The sentences are looked up in the documents again, whose exchange is the one used above.
@@ -123,10 +130,10 @@ def top_sentences(
 
 
 def summaries(
-    documents: DataFrame, doc_id: str, text: str, n_sentences: int, iterations: int = ITERATIONS
+    documents: DataFrame, doc_id: str, text: str, n_sentences: int, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """(doc_id, summary): the n most central sentences in text order, joined by a space."""
-    top = top_sentences(documents, doc_id, text, n_sentences, iterations)
+    top = top_sentences(documents, doc_id, text, n_sentences, tolerance)
     return top.select(doc_id, F.array_join(F.transform("chosen", lambda c: c["sentence"]), " ").alias("summary"))
 
 

@@ -122,8 +122,8 @@ def document_path(number: Column, root: str, folder: str, year: Column, suffix:
 
 
 def decision_details(links: DataFrame, details: DataFrame, root: str) -> DataFrame:
-    """Listed decisions with their details, joined by number: the detail page's own number gives way to
-    the number of the link that led to it."""
+    """Listed decisions with their details, joined by link: the detail page's own number gives way to the number of
+    the link that led to it. Two links with one number give two rows, each with the page behind it."""
     year = F.year("tgl_putusan")
     by_link = links.select("no_putusan", "tgl_putusan", "link_page_putusan")
     found = details.drop("no_putusan", "page_id")
@@ -152,10 +152,8 @@ BIODATA_COLUMNS = {
 
 
 def biodata(cleaned: DataFrame, text: str = "clean_text", word_boundaries: bool = False) -> DataFrame:
-    """Append the defendant's personal data found at the start of the text."""
-    entries = cleaned.withColumn("_pieces", d.biodata_pieces(F.col(text))).withColumn(
-        "_entries", d.biodata_entries("_pieces", word_boundaries)
-    )
+    """Append the defendant's personal data, which stand before the considerations."""
+    entries = cleaned.withColumn("_entries", d.biodata_entries(F.col(text), word_boundaries))
     labels = BIODATA_COLUMNS | {"nama_lengkap": "nama_terdakwa", "umur/tanggal_lahir": "tanggal_lahir_terdakwa"}
     values = entries.withColumns({name: d.last_value(F.col("_entries"), label) for label, name in labels.items()})
     return values.withColumns(
@@ -163,7 +161,7 @@ def biodata(cleaned: DataFrame, text: str = "clean_text", word_boundaries: bool
             "nama_terdakwa": title_case(F.col("nama_terdakwa")),
             "tanggal_lahir_terdakwa": indonesian_date_within(F.col("tanggal_lahir_terdakwa")),
         }
-    ).drop("_pieces", "_entries")
+    ).drop("_entries")
 
 
 def extract_fields(cleaned: DataFrame, text: str = "clean_text") -> DataFrame:

@@ -286,12 +286,21 @@ def _written(*parts) -> Column:
 
 
 def decision_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Decision texts with header, furniture, biodata, references, evidence and ruling."""
+    """Decision texts with header, furniture, biodata, references, evidence and ruling.
+
+    Texts of `documents` stand before the number and between number and biodata, so that neither is near the start.
+    """
     c = F.col
+    prose = table(spark, folder, "documents").select(c("doc_id").alias("prose_id"), c("text").alias("prose"))
+    rows = decisions(spark, folder).join(prose, c("doc_id") == c("prose_id"), "left").withColumn("prose", F.coalesce("prose", F.lit("")))
     text = _written(
-        "Direktori Putusan\nputusan.mahkamahagung.go.id\nP U T U S A N\nNomor : ",
+        "Direktori Putusan\nputusan.mahkamahagung.go.id\nP U T U S A N\n",
+        c("prose"),
+        "\nNomor : ",
         c("number"),
-        "\nDEMI KEADILAN BERDASARKAN KETUHANAN YANG MAHA ESA\n1. Nama lengkap : ",
+        "\nDEMI KEADILAN BERDASARKAN KETUHANAN YANG MAHA ESA\n",
+        c("prose"),
+        "\n1. Nama lengkap : ",
         c("person"),
         ";\n2. Tempat lahir : ",
         c("place"),
@@ -322,7 +331,7 @@ def decision_documents(spark: SparkSession, folder: str) -> DataFrame:
         c("person"),
         ".\nDemikianlah diputuskan dalam rapat.",
     )
-    return decisions(spark, folder).select("doc_id", text.alias("text"))
+    return rows.select("doc_id", text.alias("text"))
 
 
 def listing_pages(spark: SparkSession, folder: str) -> DataFrame:

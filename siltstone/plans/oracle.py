@@ -544,8 +544,8 @@ _relation(
 _relation(
     "decision_texts",
     """
-    select doc_id, 'P U T U S A N' || chr(10) || 'Nomor : ' || number || chr(10)
-      || 'DEMI KEADILAN BERDASARKAN KETUHANAN YANG MAHA ESA' || chr(10) || '1. Nama lengkap : ' || person || ';' || chr(10)
+    select doc_id, 'P U T U S A N' || chr(10) || prose || 'Nomor : ' || number || chr(10)
+      || 'DEMI KEADILAN BERDASARKAN KETUHANAN YANG MAHA ESA' || chr(10) || prose || '1. Nama lengkap : ' || person || ';' || chr(10)
       || '2. Tempat lahir : ' || place || ';' || chr(10) || '3. Umur/Tanggal lahir : 44 tahun/' || born || ';' || chr(10)
       || '4. Jenis kelamin : ' || gender || ';' || chr(10) || '5. Kebangsaan : Indonesia;' || chr(10)
       || '6. Tempat tinggal : ' || address || ';' || chr(10) || '7. Agama : ' || religion || ';' || chr(10)
@@ -556,7 +556,7 @@ _relation(
       || '  dan satu lembar surat;' || chr(10) || 'Dirampas untuk dimusnahkan. Saksi di ' || place
       || ' melihat perbuatan itu! Apakah putusan itu adil?' || chr(10) || 'M E N G A D I L I :' || chr(10)
       || 'Menjatuhkan pidana kepada ' || person || '.' || chr(10) || 'Demikianlah diputuskan dalam rapat.' as text
-    from decisions""",
+    from (select d.*, coalesce(t.text || chr(10), '') as prose from decisions d left join documents t on t.doc_id = d.doc_id)""",
 )
 
 
@@ -628,7 +628,7 @@ def _lexrank(prefix: str, source: str, iterations: int, n_sentences: int) -> Non
     )
 
 
-LEXRANK_ITERATIONS = 20
+LEXRANK_ITERATIONS = 60
 _lexrank("prose", "documents", LEXRANK_ITERATIONS, 2)
 _lexrank("ruling", "decision_texts", LEXRANK_ITERATIONS, 2)
 
@@ -700,7 +700,7 @@ def statements() -> dict[str, str]:
         "last_id": "select max(o_orderkey) as last_id from orders",
         # projection, typing, keys, predicates
         "normalize_columns": "select c_custkey as customer_key, c_name as full_name, c_acctbal as balance from customer",
-        "rename_columns": f"select {_RAW_COLUMNS} from trips where taxi_type = 'green'",
+        "rename_columns": f"select {_RAW_COLUMNS} from trips",
         "select_required": "select c_custkey, c_mktsegment from customer",
         "datetime_expand": "select o_orderkey, o_orderdate, cast(year(o_orderdate) as int) as o_orderdate_year, "
         "cast(month(o_orderdate) as int) as o_orderdate_month, cast(day(o_orderdate) as int) as o_orderdate_day, "

@@ -172,7 +172,8 @@ def trip_source_lower(w: Warehouse) -> DataFrame:
 
 @_query
 def month_slice_query(w: Warehouse) -> DataFrame:
-    orders = w.table("orders").select(
+    """The month as a range on the raw column, which the scan can use, and its year and month columns."""
+    orders = incremental.month_window(w.table("orders"), "o_orderdate", 1998, 3).select(
         F.year("o_orderdate").cast("bigint").alias("order_year"),
         F.month("o_orderdate").cast("bigint").alias("order_month"),
         "o_orderkey",
@@ -278,15 +279,12 @@ def normalize_columns(w: Warehouse) -> DataFrame:
 
 @_query
 def rename_columns(w: Warehouse) -> DataFrame:
-    raw = lower_names(inputs.raw_trips(w.spark, w.folder, "green"))
-    return frames.rename_columns(
-        raw,
-        {
-            "tpep_pickup_datetime": "pickup_datetime",
-            "lpep_pickup_datetime": "pickup_datetime",
-            "lpep_dropoff_datetime": "dropoff_datetime",
-        },
+    """Both types' raw time names to the unified ones; names a type does not have are ignored."""
+    names = {f"{prefix}_{side}_datetime": f"{side}_datetime" for prefix in trips.TIME_PREFIX.values() for side in ("pickup", "dropoff")}
+    yellow, green = (
+        frames.rename_columns(lower_names(inputs.raw_trips(w.spark, w.folder, kind)), names) for kind in ("yellow", "green")
     )
+    return yellow.unionByName(green)
 
 
 @_query

@@ -107,6 +107,17 @@ def test_last_value_given_wins(spark):
     assert (row["agama_terdakwa"], row["nama_terdakwa"]) == ("hindu", "Ani")
 
 
+def test_fields_far_from_the_start(spark):
+    """Number and personal data count wherever they stand before the considerations, and not after them."""
+    filler = "kata lain lagi " * 400
+    text = f"{filler}\nNomor : 12/Pid/2020\n{filler}\n1. Nama lengkap : budi @@agama@@ x;\n2. Agama : Hindu;\nMenimbang Agama : Islam; Nomor : 9"
+    cleaned = spark.createDataFrame([(1, text)], "doc_id long, clean_text string")
+    row = decisions.biodata(cleaned).first()
+    assert row["agama_terdakwa"] == "hindu"
+    assert row["nama_terdakwa"] == "Budi @@"
+    assert cleaned.select(d.decision_number(F.col("clean_text"))).first()[0] == "12/Pid/2020"
+
+
 def test_extracts_and_quarantine(spark):
     docs = spark.createDataFrame([(1, DOCUMENT), (2, "tanpa apa pun")], "doc_id long, text string")
     valid, bad = decisions.split_quarantine(decisions.document_extracts(docs))
@@ -218,7 +229,7 @@ def test_scores_match_the_full_matrix(spark):
     got = {r["doc_id"]: r["scores"] for r in summarise.sentence_scores(docs, "doc_id", "text").collect()}
     assert set(got) == set(TEXTS)
     for key in TEXTS:
-        expected = dense_scores(split[key], summarise.ITERATIONS, summarise.DAMPING)
+        expected = dense_scores(split[key], 400, summarise.DAMPING)
         assert np.allclose(got[key], expected, atol=1e-12)
 
 

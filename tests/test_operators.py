@@ -29,7 +29,9 @@ def test_expand_datetime(spark):
     assert tuple(got[0])[1:] == (2024, 3, 2, 23, 5)
     assert tuple(got[1]) == (None,) * 6
     with pytest.raises(ValueError):
-        frames.expand_datetime(rows.where("t = 'bad'"), "t")
+        frames.check_readable(rows.where("t = 'bad'"), "t")
+    frames.check_readable(rows, "t")
+    frames.check_readable(rows.where("t = 'none'"), "t")
     assert frames.expand_datetime(rows.where("t = 'none'"), "t").count() == 0
 
 

@@ -21,6 +21,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.frames import computed_once
 from .common import remove_folder, shared_folder, written
 
 # Public licence notices: fixed values.
@@ -155,14 +156,23 @@ def scan(
     def known(column: Column) -> Column:
         return F.filter(column, lambda w: w.isin(vocabulary))
 
+    def line_of(content: Column, number: Column) -> Column:
+        return F.struct(number.alias("line"), words(content).alias("words"))
+
+    def counted(line: Column) -> Column:
+        own = line.getField("words")
+        return F.struct(line.getField("line").alias("line"), F.size(own).alias("n"), known(own).alias("terms"))
+
     # No term runs over a line's end, so the words of the lines are those of the text.
-    near = rows.select("doc_id", "path", "text", F.transform(F.split("text", "\n"), lambda x: words(x)).alias("lines"))
-    near = near.select(F.xxhash64("doc_id", "path", "text").alias("key"), "path", "lines", F.flatten("lines").alias("words"))
-    near = near.select("key", "path", "lines", F.size("words").alias("n"), known(F.col("words")).alias("terms"))
-    marked = F.transform("lines", lambda x, i: F.struct(i.alias("line"), F.size(x).alias("n"), known(x).alias("terms")))
+    near = rows.select(F.xxhash64("doc_id", "path", "text").alias("key"), "path", F.transform(F.split("text", "\n"), line_of).alias("lines"))
+    near = near.select("key", "path", F.transform("lines", counted).alias("lines"))
+    total = F.aggregate("lines", F.lit(0), lambda n, x: n + x.getField("n"))
+    near = near.select("key", "path", "lines", total.alias("n"), F.flatten(F.col("lines.terms")).alias("terms"))
     has_heavy = F.arrays_overlap("terms", F.array(*map(F.lit, heavy)))
-    near = near.select("key", "path", "n", "terms", F.when(has_heavy, F.filter(marked, lambda x: F.exists(x.getField("terms"), lambda t: t.isin(heavy)))).alias("lines"))
-    near = near.withColumn("square", F.when(F.size("terms") > 0, _square(F.col("terms"), idf)))
+    headed = F.when(has_heavy, F.filter("lines", lambda x: F.exists(x.getField("terms"), lambda t: t.isin(heavy)))).alias("lines")
+    square = F.when(F.size("terms") > 0, _square(F.col("terms"), idf)).alias("square")
+    # The filter must not be pushed below all this work, where it would repeat it.
+    near = computed_once(near.select("key", "path", "n", "terms", headed, square), ["key", "path"])
     whole_bound = F.col("square") >= (file_least * (1 - 1e-9)) ** 2 * (F.col("square") + (F.col("n") - F.size("terms")) * rarest**2)
     near = near.withColumn("whole", F.coalesce(whole_bound, F.lit(False))).filter("whole OR size(lines) > 0")
     near = written(near.drop("square"), folder, "near").dropDuplicates(["key"])

@@ -71,7 +71,6 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
         _money("l_extendedprice").cast("double").alias("fare_amount"),
         _money("l_quantity").cast("double").alias("tip_amount"),
         (_money("l_extendedprice") + _money("l_quantity")).cast("double").alias("total_amount"),
-        F.md5((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("md5_key"),
     )
 
 
@@ -79,7 +78,7 @@ def raw_trips(spark: SparkSession, folder: str, taxi_type: str) -> DataFrame:
     """One type as the monthly source files name it: mixed case, times prefixed, no type column."""
     prefix = {"yellow": "tpep", "green": "lpep"}[taxi_type]
     rows = trips(spark, folder).where(F.col("taxi_type") == taxi_type)
-    return rows.drop("taxi_type", "md5_key").withColumnsRenamed(
+    return rows.drop("taxi_type").withColumnsRenamed(
         {
             "vendorid": "VendorID",
             "pickup_datetime": f"{prefix}_pickup_datetime",
@@ -90,9 +89,12 @@ def raw_trips(spark: SparkSession, folder: str, taxi_type: str) -> DataFrame:
     )
 
 
-def loaded_trips(spark: SparkSession, folder: str, taxi_type: str) -> DataFrame:
-    """One type as loaded into its raw warehouse table."""
-    return trips(spark, folder).where(F.col("taxi_type") == taxi_type)
+def delivered_trips(spark: SparkSession, folder: str, taxi_type: str) -> list[DataFrame]:
+    """The type's raw files: all trips, and the trips of March 1998 once more, as after a repeated load."""
+    raw = raw_trips(spark, folder, taxi_type)
+    pickup = F.col({"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}[taxi_type])
+    again = (pickup >= F.lit("1998-03-01").cast("timestamp_ntz")) & (pickup < F.lit("1998-04-01").cast("timestamp_ntz"))
+    return [raw, raw.where(again)]
 
 
 def zones(spark: SparkSession, folder: str) -> DataFrame:

@@ -61,8 +61,7 @@ _relation(
            cast(l_orderkey % 7 as double) as payment_type, cast(l_linenumber - 1 as double) as passenger_count,
            round(l_discount * 100, 1) as trip_distance, cast(cast(l_extendedprice as decimal(12,2)) as double) as fare_amount,
            cast(cast(l_quantity as decimal(12,2)) as double) as tip_amount,
-           cast(cast(l_extendedprice as decimal(12,2)) + cast(l_quantity as decimal(12,2)) as double) as total_amount,
-           md5(cast(l_orderkey * 10 + l_linenumber as varchar)) as md5_key
+           cast(cast(l_extendedprice as decimal(12,2)) + cast(l_quantity as decimal(12,2)) as double) as total_amount
     from lineitem join orders on l_orderkey = o_orderkey join supplier on l_suppkey = s_suppkey
          join customer on o_custkey = c_custkey""",
 )
@@ -299,7 +298,21 @@ _TRIP_COLUMNS = (
     "md5_key, taxi_type, vendorid, pickup_datetime, dropoff_datetime, pulocationid, dolocationid, "
     "cast(payment_type as bigint) as payment_type, passenger_count, fare_amount, tip_amount, total_amount, trip_distance"
 )
-_relation("trip_union", f"select {_TRIP_COLUMNS} from trips")
+_TRIP_KEY_TEXT = (
+    "concat_ws('|', vendorid, taxi_type, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), "
+    "strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S'), pulocationid, dolocationid, trip_distance, "
+    "cast(payment_type as bigint), total_amount)"
+)
+_NIGHT = (
+    "isodow(pickup_datetime) in (5, 6, 7) and hour(pickup_datetime) >= 18 and hour(dropoff_datetime) between 18 and 23"
+)
+# Weekend-night trips with their key, and those of March 1998 a second time.
+_relation("trip_load", f"select distinct *, md5({_TRIP_KEY_TEXT}) as md5_key from trips where {_NIGHT}")
+_relation(
+    "trip_union",
+    f"select {_TRIP_COLUMNS} from trip_load union all "
+    f"select {_TRIP_COLUMNS} from trip_load where pickup_datetime >= timestamp '1998-03-01' and pickup_datetime < timestamp '1998-04-01'",
+)
 _relation("trip_clean", f"select * from trip_union where {_CLEAN}")
 _relation(
     "trip_dedup",
@@ -643,14 +656,6 @@ def _keyword_filter(summary: str) -> str:
 
 # ---- queries ---------------------------------------------------------------------------------------
 
-_TRIP_KEY_TEXT = (
-    "concat_ws('|', vendorid, taxi_type, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), "
-    "strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S'), pulocationid, dolocationid, trip_distance, "
-    "cast(payment_type as bigint), total_amount)"
-)
-_NIGHT = (
-    "isodow(pickup_datetime) in (5, 6, 7) and hour(pickup_datetime) >= 18 and hour(dropoff_datetime) between 18 and 23"
-)
 _RAW_COLUMNS = (
     "vendorid, pickup_datetime, dropoff_datetime, pulocationid, dolocationid, payment_type, passenger_count, trip_distance, "
     "fare_amount, tip_amount, total_amount"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -83,10 +84,13 @@ class Warehouse:
 
     # trips
     def loaded(self) -> tuple[DataFrame, DataFrame]:
-        return (
-            inputs.loaded_trips(self.spark, self.folder, "yellow"),
-            inputs.loaded_trips(self.spark, self.folder, "green"),
-        )
+        """The raw warehouse table of each type: its files ingested one by one, with the trips' key."""
+
+        def of(kind: str) -> DataFrame:
+            files = inputs.delivered_trips(self.spark, self.folder, kind)
+            return reduce(DataFrame.unionByName, [trips.keyed_trips(trips.ingest_trips(lower_names(f), kind)) for f in files])
+
+        return of("yellow"), of("green")
 
     def prep_taxi_trip(self) -> DataFrame:
         return self._once("prep_taxi_trip", lambda: trips.prep_taxi_trip(*self.loaded(), RUN_DATE), share=True)
@@ -314,8 +318,8 @@ def sha256_key(w: Warehouse) -> DataFrame:
 
 @_query
 def md5_key(w: Warehouse) -> DataFrame:
-    yellow, green = w.loaded()
-    return trips.keyed_trips(trips.union_trips(yellow, green).drop("md5_key"))
+    rows = w.source("trips").withColumn("payment_type", F.col("payment_type").cast("bigint"))
+    return trips.keyed_trips(rows).select(*trips.TRIP_COLUMNS)
 
 
 @_query

@@ -89,6 +89,11 @@ def trailing_months(source: DataFrame, date_column: str, as_of: dt.date, months:
     return source.where(F.col(date_column) >= F.lit(bound))
 
 
+def trailing_whole_months(source: DataFrame, date_column: str, as_of: dt.date, months: int = 2) -> DataFrame:
+    """Rows of the month of `as_of` and of the whole `months` before it."""
+    return source.where(F.col(date_column) >= F.lit(dates.add_months(as_of.replace(day=1), -months)))
+
+
 def source_month(logical: dt.date, lag: int = 2) -> tuple[int, int]:
     """Year and month to ingest in a run, given the publication lag."""
     target = dates.add_months(logical.replace(day=1), -lag)

@@ -759,6 +759,8 @@ def statements() -> dict[str, str]:
         "mart_user_activity": "select * from mart_user_activity",
         "mart_subscription_revenue": "select * from mart_subscription_revenue",
         "subscription_cohorts": "select * from cohorts",
+        "subscription_cohorts_incremental_fixed": "select * from cohorts",
+        "trailing_window_fixed": "select * from fact_movie_popularity where date_key >= date '1999-05-01'",
         "subscription_churn_fixed": "select cast(last_month + interval 1 month as date) as month_key, count(*) as churned_users "
         "from (select subscription_id, max(month_key) as last_month from revenue group by 1) "
         "where last_month < (select max(month_key) from revenue) group by 1",

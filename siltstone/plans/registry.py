@@ -512,6 +512,23 @@ def incremental_trailing_window(w: Warehouse) -> DataFrame:
     return incremental.trailing_months(w.fact_movie_popularity(), "date_key", AS_OF)
 
 
+@_query
+def trailing_window_fixed(w: Warehouse) -> DataFrame:
+    return incremental.trailing_whole_months(w.fact_movie_popularity(), "date_key", AS_OF)
+
+
+@_query
+def subscription_cohorts_incremental_fixed(w: Warehouse) -> DataFrame:
+    """Revenue up to the cut, brought up to date for the months that later loads touch, and the cohorts of all of it."""
+    payments = w.fact_payments()
+    month = F.trunc(F.to_date("payment_date"), "MM")
+    touched = payments.where(F.col("payment_date") >= OVERLAP).select(month.alias("_month")).distinct()
+    base = movies.subscription_revenue(payments.where(F.col("payment_date") < CUT))
+    again = movies.subscription_revenue(payments.join(touched, month == F.col("_month"), "left_semi"))
+    merged = merge.merge_upsert(base, again, ["subscription_id", "month_key"], null_safe=True, check_unique=False)
+    return movies.subscription_cohorts(merged)
+
+
 # ---- quality ---------------------------------------------------------------------------------------
 
 

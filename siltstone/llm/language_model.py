@@ -30,7 +30,7 @@ from .common import PACKED, PACKED_ARROW, WordHashes, buckets_for, by_bucket, fr
 
 BITS = 18
 MU = 100.0
-_CHUNK = 1_000_000
+_CHUNK = 400_000
 # An entry is a bigram (two classes) with its count in the document in the upper 28 bits.
 _ID_BITS = np.uint64(2 * BITS)
 _PAIR = np.uint64((1 << 2 * BITS) - 1)
@@ -210,7 +210,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "
     rows = classed.join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("wanted"), "left")
     rows = written(rows.select("row", "doc_id", "words", F.col("wanted").isNotNull().alias("target")), folder, "classes")
     sent = spark.sparkContext.broadcast(unigram_counts(rows))
-    buckets = buckets_for(docs, text_col)
+    buckets = buckets_for(docs, text_col, 12_000_000)
     bigrams = rows.select("row", "doc_id", "words", "target").mapInArrow(_bigrams(buckets, BITS), _SENT_SQL)
     losses = bigrams.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_losses(buckets, BITS, sent), _SENT_SQL)
     sums = losses.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_totals, "row long, doc_id long, n_tokens long, total double")

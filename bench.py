@@ -24,6 +24,7 @@ HEADLINE = (
     "fact_movie_popularity",
     "dedup_latest",
     "merge_upsert",
+    "merge_upsert_composite",
     "prep_taxi_trip",
     "weekend_night_trips",
     "zone_flow",
@@ -37,6 +38,9 @@ HEADLINE = (
     "decision_extracts",
     "summary_topn",
     "loan_stats",
+    "dq_not_null",
+    "dq_unique",
+    "dq_relationships",
 )
 
 

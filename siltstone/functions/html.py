@@ -105,10 +105,14 @@ def text_after(texts: str, labels: str, label: str) -> Column:
     return F.when(position > 0, F.get(texts, position.cast("int")))
 
 
+# The block with the parties, and the defendant in it.
+_PARTIES = r"""(?is)<span\b[^>]*\bid\s*=\s*["']title_pihak["'][^>]*>(.*?)</span>"""
+_DEFENDANT = r"(?i)Terdakwa:<br/?>\s*([^<]+)"
+
+
 def party_name(html: Column) -> Column:
     """Defendant in the page title block."""
-    title = first_group(html, r"""(?is)<span\b[^>]*\bid\s*=\s*["']title_pihak["'][^>]*>(.*?)</span>""")
-    return strip(unescape(first_group(title, r"(?i)Terdakwa:<br/?>\s*([^<]+)")))
+    return strip(unescape(first_group(first_group(html, _PARTIES), _DEFENDANT)))
 
 
 def pdf_link(html: Column) -> Column:

@@ -6,8 +6,8 @@ words are read, so a word costs one table lookup per letter until no term can ma
 match exactly only. A stem matches any word that continues it.
 
 Each hit is judged by its context window: quotation marks around it, or a reporting word before it, make
-it a quoted hit. Counts of plain, misspelled and quoted hits and their density are the inputs of a logistic
-model. Words one edit away from a term that occur in clean training texts (neighbours by chance) are excluded.
+it a quoted hit. Counts of all, misspelled and quoted hits, their density and the log-odds of the best term (less for an edit) are the
+inputs of a logistic model, fitted on texts that its lexicon has not seen. Words one edit away from a term that occur in clean training texts (neighbours by chance) are excluded.
 
 Edge cases: a null or empty text has no hits and gets the intercept's score; without labelled rows, or with
 one class alone, the lexicon is empty and every score is the share of toxic labels (0 without labels); repeated rows are scored once each; a null
@@ -35,17 +35,20 @@ LOG_ODDS = 5.0
 WINDOW = 6
 FUZZY_LENGTH = 5
 QUOTES = "\"“”„«»‘’‹›"
+# What an edit takes from a term's log-odds.
+EDIT_COST = 2.0
 REPORTING = ("said", "says", "wrote", "quote", "quoted", "quotes", "called", "calling", "term", "word", "phrase", "slur", "insult")
-FEATURES = ("plain", "misspelled", "quoted", "density", "distinct")
+FEATURES = ("hits", "misspelled", "quoted", "density", "distinct", "strength")
 _PIECES = re.compile(r"[^\W_]+")
 
 
 @dataclass
 class Lexicon:
-    """Terms (exact words), stems, and words that are neighbours of a term by chance."""
+    """Terms (exact words), stems, the log-odds of both in one list, and words that neighbour a term by chance."""
 
     terms: list[str] = field(default_factory=list)
     stems: list[str] = field(default_factory=list)
+    odds: list[float] = field(default_factory=list)
     excluded: frozenset[str] = frozenset()
 
 
@@ -164,6 +167,7 @@ class Hits(dict):
     def __init__(self, lexicon: Lexicon, most: int = 400_000):
         super().__init__()
         self.matcher, self.excluded, self.most = Matcher(lexicon), lexicon.excluded, most
+        self.odds = lexicon.odds or [LOG_ODDS] * len(self.matcher.names)
 
     def of(self, word: str) -> int:
         found = self.matcher.match(word)
@@ -199,17 +203,18 @@ def features(chunks: list[bytes], hits: Hits) -> tuple[float, ...]:
     if not found:
         return (0.0,) * len(FEATURES)
     plain = misspelled = cited = 0
-    terms = set()
+    terms, strength = set(), 0.0
     for at, value in found:
         if quoted(chunks, at):
             cited += 1
             continue
-        terms.add((value - 1) >> 1)
-        if (value - 1) & 1:
-            misspelled += 1
-        else:
-            plain += 1
-    return (float(np.log1p(plain)), float(np.log1p(misspelled)), float(np.log1p(cited)), min(1.0, 20 * (plain + misspelled) / len(chunks)), float(np.log1p(len(terms))))
+        term, edited = (value - 1) >> 1, (value - 1) & 1
+        terms.add(term)
+        strength = max(strength, hits.odds[term] - EDIT_COST * edited)
+        misspelled += edited
+        plain += 1 - edited
+    counts = [float(np.log1p(n)) for n in (plain + misspelled, misspelled, cited)]
+    return (*counts, min(1.0, 20 * (plain + misspelled) / len(chunks)), float(np.log1p(len(terms))), strength)
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +245,7 @@ def learn_lexicon(train: DataFrame, bound: int = LEXICON, log_odds: float = LOG_
     counts = counts.groupBy("term", "kind").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("c"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
     least = max(5, toxic // 200)
-    kept = counts.filter((F.col("t") >= least) & ((odds >= log_odds) | ((F.col("c") == 0) & (odds >= log_odds - 1.5))))
+    kept = counts.withColumn("odds", odds).filter((F.col("t") >= least) & ((odds >= log_odds) | ((F.col("c") == 0) & (odds >= log_odds - 1.5))))
     rows = kept.orderBy(F.desc("t"), "term", "kind").limit(2 * bound).collect()
     words = {r.term: r.t for r in rows if r.kind == 0}
     # A stem stands for at least three words, and says more than its commonest one.
@@ -252,7 +257,9 @@ def learn_lexicon(train: DataFrame, bound: int = LEXICON, log_odds: float = LOG_
     good = {r.term for r in rows if r.kind and len(members.get(r.term, ())) >= 3 and r.t >= 1.5 * max(members[r.term])}
     stems = sorted(s for s in good if not any(s[:n] in good for n in STEMS if n < len(s)))
     terms = [w for w in words if not any(w[:n] in stems for n in STEMS)]
-    return Lexicon(terms[:bound], stems[:bound])
+    names = [*((w, 0) for w in terms[:bound]), *((w, len(w)) for w in stems[:bound])]
+    odds_of = {(r.term, r.kind): r.odds for r in rows}
+    return Lexicon(terms[:bound], stems[:bound], [float(odds_of[n]) for n in names])
 
 
 def _neighbours(lexicon: Lexicon):
@@ -272,6 +279,14 @@ def _neighbours(lexicon: Lexicon):
     return run
 
 
+def whole_lexicon(train: DataFrame) -> Lexicon:
+    """The lexicon, with its chance neighbours among the clean texts."""
+    lexicon = learn_lexicon(train)
+    chance = train.filter("label = 0").mapInArrow(_neighbours(lexicon), "word string").distinct()
+    lexicon.excluded = frozenset(r[0] for r in chance.orderBy("word").limit(200_000).collect())
+    return lexicon
+
+
 @dataclass
 class Model:
     lexicon: Lexicon
@@ -312,11 +327,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int =
 def train_model(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fits lexicon and weights on at most `bound` labelled rows of the training fold."""
     train = written(training_texts(docs, sample_labels(labels, label, bound, id_col), id_col, text_col))
-    lexicon = learn_lexicon(train)
-    chance = train.filter("label = 0").mapInArrow(_neighbours(lexicon), "word string").distinct()
-    lexicon.excluded = frozenset(r[0] for r in chance.orderBy("word").limit(200_000).collect())
+    half = F.pmod(F.xxhash64("text"), F.lit(2))
+    # The weights are fitted on texts that the lexicon was not learned from: its own texts would flatter it.
+    parts = [feature_frame(train.filter(half != k), whole_lexicon(train.filter(half == k))) for k in (0, 1)]
+    lexicon = whole_lexicon(train)
     # At most `bound` rows of a few numbers.
-    rows = np.array([tuple(r) for r in feature_frame(train, lexicon).collect()], dtype=float).reshape(-1, 1 + len(FEATURES))
+    rows = np.array([tuple(r) for part in parts for r in part.collect()], dtype=float).reshape(-1, 1 + len(FEATURES))
     share = rows[:, 0].mean() if len(rows) else 0.0
     if share in (0.0, 1.0):
         return Model(lexicon, np.r_[30.0 if share else -30.0, np.zeros(len(FEATURES))])

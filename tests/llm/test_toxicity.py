@@ -59,7 +59,7 @@ def test_quoted_hits_are_set_apart():
     assert features(plain, hits)[0] > 0 and features(plain, hits)[2] == 0
     assert features(cited, hits)[0] == 0 and features(cited, hits)[2] > 0
     assert features(b"M0RON, maron! (moron)".split(), hits)[1] > 0
-    assert features([], hits) == (0.0,) * 5
+    assert features([], hits) == (0.0,) * len(toxicity.FEATURES)
 
 
 def labelled(spark, frame, n=1500):
@@ -107,7 +107,7 @@ def test_no_labels_and_no_rows(spark, frame, docs, no_docs, rows):
 
 def test_clean_rows_keep_their_columns(frame):
     docs = frame([(1, "you idiot"), (2, "fine"), (2, "fine"), (None, None)])
-    model = toxicity.Model(Lexicon(["idiot"]), toxicity.np.array([-5.0, 20, 0, 0, 0, 0]))
+    model = toxicity.Model(Lexicon(["idiot"]), toxicity.np.array([-5.0, 20, 0, 0, 0, 0, 0]))
     out = toxicity.clean_rows(docs, model)
     assert out.columns == docs.columns
     assert sorted((r.doc_id or 0) for r in out.collect()) == [0, 2, 2]

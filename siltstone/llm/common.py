@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import tempfile
 import uuid
@@ -64,12 +65,23 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def buckets_for(docs: DataFrame, text: str = "text", chars: int = 48_000_000) -> int:
+def buckets_for(docs: DataFrame, text: str = "text", chars: int = 12_000_000) -> int:
     """Number of exchange buckets: one for every `chars` characters, and at least the session's partitions."""
     total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
     return max(partitions(docs.sparkSession), -(-int(total) // chars))
 
 
+def release() -> None:
+    """Gives freed memory back to the system: workers are reused, and the next stage may need it elsewhere."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """A string column as UTF-8 bytes."""
     return batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
@@ -189,6 +201,7 @@ def unpacked(batches: list[pa.RecordBatch], extra_type: type = np.uint32) -> dic
 
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], pa.RecordBatch]]:
     """(rows of one bucket, rows that are not packed) from rows sorted by bucket: one bucket is held at a time."""
+    release()
     held: list[pa.RecordBatch] = []
     now = None
     empty = None

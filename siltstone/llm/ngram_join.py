@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX, PACKED, PACKED_ARROW, WordHashes, buckets_for, by_bucket, mixed, pack, remove_folder, shared_folder, unpacked, utf8, written
+from .common import MIX, PACKED, PACKED_ARROW, WordHashes, buckets_for, by_bucket, mixed, pack, release, remove_folder, shared_folder, unpacked, utf8, written
 from .components import components
 
 SHINGLE = 4
 PERCENT = 85
 SMALL_MOST = 40  # sizes for which subsets are considered; the boundary lies at or below
 ROUNDS = 3
-_CHUNK = 1_000_000
+_CHUNK = 400_000
 
 
 def needed(n: int, m: int, percent: int = PERCENT) -> int:
@@ -73,6 +73,7 @@ def _send(buckets: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        release()
         hashes, sent, turn = WordHashes(), set(), 0
         keys, sizes, parts, rows = [], [], [], []
 

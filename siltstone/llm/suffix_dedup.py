@@ -113,7 +113,7 @@ def _sent(buckets: int, held: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.Re
     return packed_batch(list(pack(buckets, where, number, keys, np.zeros(len(held)), entries, extra)))
 
 
-def _send(buckets: int, fingerprints, names: tuple[str, ...], most: int = 1_000_000):
+def _send(buckets: int, fingerprints, names: tuple[str, ...], most: int = 400_000):
     """Packs the fingerprints of every text; `fingerprints` takes a text and the facts found so far."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

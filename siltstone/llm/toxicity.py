@@ -164,7 +164,7 @@ class Matcher:
 class Hits(dict):
     """Per chunk between spaces: 0, or 1 + 2 * term number + (1 if misspelled)."""
 
-    def __init__(self, lexicon: Lexicon, most: int = 400_000):
+    def __init__(self, lexicon: Lexicon, most: int = 200_000):
         super().__init__()
         self.matcher, self.excluded, self.most = Matcher(lexicon), lexicon.excluded, most
         self.odds = lexicon.odds or [LOG_ODDS] * len(self.matcher.names)

@@ -1,9 +1,10 @@
 """Licences of files: TF-IDF cosine of lines and whole files to templates, then inheritance along the path.
 
 Every line and every whole text is compared with the templates. Terms are lower-case ASCII words and digits; idf counts the
-documents with the term, over all documents. A word that no template has counts as a term of its own per occurrence,
-with the greatest idf. By Cauchy-Schwarz two bounds leave out nearly everything and lose nothing: a line that shares only light terms with a
-template stays below the threshold, and so does a text whose own template terms are a small part of its length.
+documents with the term, over all documents and for all terms. Bounds leave out most of the work and lose nothing: by Cauchy-Schwarz
+a line that shares only light terms with a template stays below the threshold, and so does a text whose own template terms are
+a small part of its length. There the most common of the other words count exactly, and the rest as if each had the least
+idf that any of them has. Only the units that pass are joined, term by term, with the document frequencies.
 
 A file whose whole text matches is a licence file and speaks for its directory. Another file takes the licence of its
 best line. What has neither inherits from the nearest directory above it (its own first) with a licence file; directories
@@ -41,6 +42,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 LINE_LEAST = 0.6
 FILE_LEAST = 0.25
+COMMON = 100  # words beside the templates' whose idf the bounds know; no result depends on it
 NOT_TERM = "[^a-z0-9]+"
 
 
@@ -76,10 +78,11 @@ def _literal(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
     return F.broadcast(spark.range(1).select(F.inline(values)))
 
 
-def _cosines(units: DataFrame, keys: list[str], idf: dict[str, float], rarest: float, templates: tuple[tuple[str, str], ...]) -> DataFrame:
-    """keys, licence and cosine of each unit and template that share a term; one row per licence.
+def _dots(units: DataFrame, keys: list[str], idf: dict[str, float], templates: tuple[tuple[str, str], ...]) -> DataFrame:
+    """keys, n, licence, dot (with the unit template), and square and number of the unit's words of known idf.
 
-    A unit has its keys, `n` words, and as `terms` those of its words that some template has, with repetitions.
+    A unit has its keys, `n` words, and as `terms` those of its words whose idf is known, with repetitions. One row per
+    licence that shares a term; of a licence's templates the nearest counts.
     """
     spark = units.sparkSession
     weights = []
@@ -93,18 +96,26 @@ def _cosines(units: DataFrame, keys: list[str], idf: dict[str, float], rarest: f
     counts = units.select(*keys, "n", F.explode("terms").alias("term")).join(known, "term")
     counts = counts.groupBy(*keys, "n", "term", "idf").agg(F.count("*").alias("tf"))
     per_unit = counts.groupBy(*keys, "n").agg(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).alias("square"), F.sum("tf").alias("inside"))
-    length = F.sqrt(F.col("square") + (F.col("n") - F.col("inside")) * rarest**2)
     dots = counts.join(sides, "term").groupBy(*keys, "template", "licence").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
-    both = dots.join(per_unit.select(*keys, length.alias("length")), keys)
-    return both.groupBy(*keys, "licence").agg(F.round(F.max(F.col("dot") / F.col("length")), 6).alias("cosine"))
+    return dots.groupBy(*keys, "licence").agg(F.max("dot").alias("dot")).join(per_unit, keys)
+
+
+def _outside(units: DataFrame, keys: list[str], frequencies: DataFrame, n: int, vocabulary: list[str]) -> DataFrame:
+    """keys and the squared length of the part of a unit's vector that lies outside the known terms."""
+    counts = units.select(*keys, F.explode(F.filter("words", lambda w: ~w.isin(vocabulary))).alias("term"))
+    counts = counts.groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+    idf = F.log(F.lit(1.0 + n) / (F.lit(1) + F.col("df"))) + 1
+    # Terms by terms: a table of all terms is not small.
+    joined = counts.join(frequencies.hint("merge"), "term")
+    return joined.groupBy(*keys).agg(F.sum(F.pow(F.col("tf") * idf, 2)).alias("outside"))
 
 
 def _square(terms: Column, idf: dict[str, float]) -> Column:
-    """Squared length of the part of a text's vector that lies in the templates' terms."""
+    """Squared length of the part of a text's vector that lies in the known terms."""
     of = F.create_map(*(F.lit(x) for pair in idf.items() for x in pair))
 
     def added(total: Column, term: Column) -> Column:
-        tf = F.size(F.filter(terms, lambda x: x == term))
+        tf = F.size(terms) - F.size(F.array_remove(terms, term))
         return total + F.pow(tf * F.element_at(of, term), F.lit(2.0))
 
     return F.aggregate(F.array_distinct(terms), F.lit(0.0), added)
@@ -147,11 +158,17 @@ def scan(
     rows = files.select(F.col(id_col).alias("doc_id"), F.col(path_col).cast("string").alias("path"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     vocabulary = sorted({t for _, text in templates for t in terms_of(text)})
 
-    held = rows.select(F.explode(F.array_intersect(words(F.col("text")), F.array(*map(F.lit, vocabulary)))).alias("term"))
-    df = dict(held.groupBy("term").count().collect())  # at most the templates' terms
+    frequencies = rows.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    frequencies = written(frequencies, folder, "df")
+    df = dict(frequencies.filter(F.col("term").isin(vocabulary)).collect())  # at most the templates' terms
+    others = frequencies.filter(~F.col("term").isin(vocabulary)).orderBy(F.desc("df"), "term").limit(COMMON + 1).collect()
     n = rows.count()
-    idf, rarest = {t: idf_of(n, df.get(t, 0)) for t in vocabulary}, idf_of(n, 0)
-    heavy = heavy_terms(idf, templates, line_least)
+    idf = {t: idf_of(n, df.get(t, 0)) for t in vocabulary} | {r.term: idf_of(n, r.df) for r in others[:COMMON]}
+    least_idf = idf_of(n, others[COMMON].df if len(others) > COMMON else 0)
+    vocabulary = sorted(idf)
+    # A cosine is rounded to six places before it is compared.
+    file_bound, line_bound = file_least - 1e-6, line_least - 1e-6
+    heavy = heavy_terms(idf, templates, line_bound)
 
     def known(column: Column) -> Column:
         return F.filter(column, lambda w: w.isin(vocabulary))
@@ -164,22 +181,36 @@ def scan(
         return F.struct(line.getField("line").alias("line"), F.size(own).alias("n"), known(own).alias("terms"))
 
     # No term runs over a line's end, so the words of the lines are those of the text.
-    near = rows.select(F.xxhash64("doc_id", "path", "text").alias("key"), "path", F.transform(F.split("text", "\n"), line_of).alias("lines"))
-    near = near.select("key", "path", F.transform("lines", counted).alias("lines"))
+    near = rows.select(F.xxhash64("doc_id", "path", "text").alias("key"), "path", "text", F.transform(F.split("text", "\n"), line_of).alias("lines"))
+    near = near.select("key", "path", "text", F.transform("lines", counted).alias("lines"))
     total = F.aggregate("lines", F.lit(0), lambda n, x: n + x.getField("n"))
-    near = near.select("key", "path", "lines", total.alias("n"), F.flatten(F.col("lines.terms")).alias("terms"))
+    near = near.select("key", "path", "text", "lines", total.alias("n"), F.flatten(F.col("lines.terms")).alias("terms"))
     has_heavy = F.arrays_overlap("terms", F.array(*map(F.lit, heavy)))
     headed = F.when(has_heavy, F.filter("lines", lambda x: F.exists(x.getField("terms"), lambda t: t.isin(heavy)))).alias("lines")
     square = F.when(F.size("terms") > 0, _square(F.col("terms"), idf)).alias("square")
     # The filter must not be pushed below all this work, where it would repeat it.
-    near = computed_once(near.select("key", "path", "n", "terms", headed, square), ["key", "path"])
-    whole_bound = F.col("square") >= (file_least * (1 - 1e-9)) ** 2 * (F.col("square") + (F.col("n") - F.size("terms")) * rarest**2)
+    near = computed_once(near.select("key", "path", "text", "n", "terms", headed, square), ["key", "path", "text"])
+    whole_bound = F.col("square") >= file_bound**2 * (F.col("square") + (F.col("n") - F.size("terms")) * least_idf**2)
     near = near.withColumn("whole", F.coalesce(whole_bound, F.lit(False))).filter("whole OR size(lines) > 0")
-    near = written(near.drop("square"), folder, "near").dropDuplicates(["key"])
-    whole = _cosines(near.filter("whole").select("key", "n", "terms"), ["key"], idf, rarest, templates).filter(F.col("cosine") >= file_least)
-    whole = _best(whole, "key", F.desc("cosine"), F.col("licence")).select("key", "licence", "cosine", F.lit("file").alias("origin"))
-    lines = near.select("key", F.inline("lines"))
-    headers = _cosines(lines, ["key", "line"], idf, rarest, templates).filter(F.col("cosine") >= line_least)
+    copies = written(near.drop("square"), folder, "near")
+    near = copies.drop("text").dropDuplicates(["key"])
+
+    # Line -1 is the whole text.
+    keys, least = ["key", "line"], F.when(F.col("line") < 0, file_least).otherwise(line_least)
+    units = near.filter("whole").select("key", F.lit(-1).alias("line"), "n", "terms").union(near.select("key", F.inline("lines")))
+    dots = _dots(units, keys, idf, templates)
+    longest = F.sqrt(F.col("square") + (F.col("n") - F.col("inside")) * least_idf**2)
+    dots = written(dots.filter(F.col("dot") / longest >= least - 1e-6), folder, "dots")
+    wanted = dots.groupBy("key").agg(F.collect_set("line").alias("wanted"))
+    texts = copies.select("key", "text").join(wanted, "key").dropDuplicates(["key"])
+    content = F.when(F.col("line") < 0, F.col("text")).otherwise(F.element_at(F.split("text", "\n"), F.col("line") + 1))
+    texts = texts.select("key", "text", F.explode("wanted").alias("line")).select(*keys, words(content).alias("words"))
+    length = F.sqrt(F.col("square") + F.coalesce("outside", F.lit(0.0)))
+    cosines = dots.join(_outside(texts, keys, frequencies, n, vocabulary), keys, "left")
+    cosines = cosines.select(*keys, "licence", F.round(F.col("dot") / length, 6).alias("cosine"))
+    cosines = written(cosines.filter(F.col("cosine") >= least), folder, "cosines")
+    whole = _best(cosines.filter("line < 0"), "key", F.desc("cosine"), F.col("licence")).select("key", "licence", "cosine", F.lit("file").alias("origin"))
+    headers = cosines.filter("line >= 0")
     headers = _best(headers, "key", F.desc("cosine"), F.col("line"), F.col("licence")).select("key", "licence", "cosine", F.lit("header").alias("origin"))
     own = whole.union(headers.join(whole, "key", "left_anti"))
     own = written(near.select("key", "path").join(own, "key"), folder, "own")

@@ -39,28 +39,36 @@ def byte_ranks(path: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in token): number for token, number in model.items() if all(c in byte_of for c in token)}
 
 
+def added_ids(path: str) -> dict[str, int]:
+    """The file's added tokens: strings that are one token wherever they stand in a text."""
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
 class TokenIds:
     """Token ids (uint16 bytes) of whole texts.
 
     The vocabulary is the tokenizers file's; the merges run in tiktoken, which gives the same ids (see the tests) at
-    a quarter of the time. Strings of special tokens are ordinary text.
+    a quarter of the time. With `added_tokens`, strings of the file's added tokens get those tokens' ids, as that library
+    does by default; otherwise they are ordinary text, as with its `encode_special_tokens`.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         import tiktoken
 
-        ranks = {k: v for k, v in byte_ranks(path).items() if k != b"<|endoftext|>"}
-        self.encoding = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        added = added_ids(path)
+        ranks = {k: v for k, v in byte_ranks(path).items() if k.decode("utf-8", "replace") not in added}
+        self.encoding = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added if added_tokens else {})
 
     def ids(self, text: str) -> bytes:
-        return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u2").tobytes()
+        return self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u2").tobytes()
 
 
 def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pass 1: doc_id, partition, its tokens before the document, token count and ids (uint16, little-endian)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before, part = TokenIds(tokenizer), 0, TaskContext.get().partitionId()
+        encoder, before, part = TokenIds(tokenizer, added_tokens=True), 0, TaskContext.get().partitionId()
         end = np.array([SEPARATOR], dtype="<u2").tobytes()
         for batch in batches:
             ids = [encoder.ids((t or b"").decode("utf-8", "replace")) + end for t in utf8(batch, "text")]

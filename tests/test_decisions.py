@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 
 from siltstone.functions import decisions as d

@@ -4,7 +4,7 @@ import datetime as dt
 import hashlib
 
 import pytest
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 
 from siltstone.functions import amounts, dates, keys, text

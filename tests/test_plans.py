@@ -5,7 +5,7 @@ import re
 from decimal import Decimal
 
 import pytest
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 
 from siltstone.operators import calendars, incremental, merge

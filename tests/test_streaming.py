@@ -5,7 +5,7 @@ import json
 from collections import defaultdict
 
 import pytest
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 
 from siltstone.streaming import playback

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, language_model, licenses, ngram_join, packing, rules, suffix_dedup, toxicity, warc
+from . import classifier, decontaminate, divergence, language_model, licenses, ngram_join, packing, rules, suffix_dedup, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,10 @@ def licenses_query(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents").withColumn("path", tree_path()))
 
 
+def divergence_query(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard": ngram_join_query,
@@ -102,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op8_warc": warc_query,
         "op9_decontamination": decontaminate_query,
         "op10_quality_classifier": classifier_query,
+        "op13_source_divergence": divergence_query,
     }
 
 
@@ -200,5 +205,29 @@ FROM fold LEFT JOIN places ON places.doc_id = fold.doc_id LEFT JOIN items ON ite
 """
 
 
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+whole AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+sums AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (sums.total + whole.v) AS p,
+             1 + (1000000000::HUGEINT * (kept.n + 1)) // (whole.total + whole.v) AS q
+      FROM g JOIN kept USING (lang) JOIN whole USING (lang) JOIN sums USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+                     FROM p x JOIN p y USING (lang, term) GROUP BY ALL) f ON f.lang = a.lang AND f.source = a.source AND f.other = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+           FROM (FROM pairs UNION ALL FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": LICENSES_SQL, "op5_quality_rules": RULES_SQL, "op8_warc": WARC_SQL, "op9_decontamination": DECONTAMINATE_SQL}
+    return {"op2_license_scan": LICENSES_SQL, "op5_quality_rules": RULES_SQL, "op8_warc": WARC_SQL, "op9_decontamination": DECONTAMINATE_SQL, "op13_source_divergence": DIVERGENCE_SQL}

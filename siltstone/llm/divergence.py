@@ -22,12 +22,11 @@ table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,39 +38,59 @@ TOP_TERMS = 200  # the report's length of the term part
 SOURCES_A_BLOCK = 32
 TERMS_A_BLOCK = 40_000
 
-_TERM = re.compile(rb"[A-Za-z\x80-\xff]+")  # bytes: every byte of a character beyond ASCII is 0x80 or more
-_HELD = 400_000  # distinct counts a task holds before it sends them
+# Per byte: letters lower-cased, bytes of characters beyond ASCII kept, all else a blank.
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+_SLICE = 2_000  # documents that are split at once
+_HELD = 600_000  # distinct counts a task holds before it sends them
 _COUNTS = "lang string, source string, term string, n long, docs long"
-_COUNTS_ARROW = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
+_KEYS = ("lang", "source", "term")
+_COUNTS_ARROW = pa.schema([*((c, pa.string()) for c in _KEYS), ("n", pa.int64()), ("docs", pa.int64())])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slice_counts(langs: list[str], sources: list[str], texts: list[bytes]) -> pa.Table:
     """Occurrences and documents per (lang, source, term); a row with a null term for every group met."""
-    release()
-    held: dict[tuple, tuple[Counter, Counter]] = {}
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, docs) in held.items():
-            terms = list(n)
-            columns = [
-                pa.array([lang] * (len(terms) + 1), pa.string()),
-                pa.array([source] * (len(terms) + 1), pa.string()),
-                pa.array([None, *(t.decode("utf-8", "replace") for t in terms)], pa.string()),
-                pa.array([0, *n.values()], pa.int64()),
-                pa.array([0, *(docs[t] for t in terms)], pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=_COUNTS_ARROW)
-        held.clear()
+    lists = pc.ascii_split_whitespace(pa.array([t.translate(_FOLD) for t in texts], pa.large_string()))
+    terms = lists.flatten().dictionary_encode()
+    size = max(1, len(terms.dictionary))
+    doc = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    pairs, times = np.unique(doc * size + terms.indices.to_numpy().astype(np.int64), return_counts=True)
+    groups: dict[tuple, int] = {}
+    group_of = np.array([groups.setdefault(x, len(groups)) for x in zip(langs, sources, strict=True)], np.int64)
+    keys, number = np.unique(group_of[pairs // size] * size + pairs % size, return_inverse=True)
+    n = np.zeros(len(keys), np.int64)
+    np.add.at(n, number, times)
+    found = terms.dictionary.take(pa.array(keys % size)).cast(pa.string())
+    some = pc.not_equal(found, "")
+    lang, source = (pa.array([g[k] for g in groups], pa.string()) for k in (0, 1))
+    which = pa.array(keys // size)
+    counted = pa.table([lang.take(which), source.take(which), found, pa.array(n), pa.array(np.bincount(number, minlength=len(keys)).astype(np.int64))], schema=_COUNTS_ARROW).filter(some)
+    met = pa.table([lang, source, pa.nulls(len(lang), pa.string()), *(pa.array(np.zeros(len(lang), np.int64)) for _ in "nd")], schema=_COUNTS_ARROW)
+    return pa.concat_tables([counted, met])
+
+
+def _merged(tables: list[pa.Table]) -> pa.Table:
+    found = pa.concat_tables(tables).group_by(list(_KEYS)).aggregate([("n", "sum"), ("docs", "sum")])
+    return pa.table([*(found.column(c) for c in _KEYS), found.column("n_sum"), found.column("docs_sum")], schema=_COUNTS_ARROW)
+
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's documents, added up before they leave it."""
+    release()
+    held: list[pa.Table] = []
+    rows = 0
     for batch in batches:
-        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch, "text"), strict=True):
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            words = _TERM.findall(text.lower())  # bytes: A-Z only
-            n.update(words)
-            docs.update(set(words))
-        if sum(len(n) for n, _ in held.values()) > _HELD:
-            yield from flush()
-    yield from flush()
+        for at in range(0, batch.num_rows, _SLICE):
+            part = batch.slice(at, _SLICE)
+            held.append(_slice_counts(part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part, "text")))
+            rows += held[-1].num_rows
+            if rows > 2 * _HELD:
+                held = [_merged(held)]
+                rows = held[0].num_rows
+                if rows > _HELD:
+                    yield from held[0].to_batches(50_000)
+                    held, rows = [], 0
+    if held:
+        yield from _merged(held).to_batches(50_000)
 
 
 def term_counts(docs: DataFrame) -> DataFrame:

@@ -40,8 +40,8 @@ TERMS_A_BLOCK = 40_000
 
 # Per byte: letters lower-cased, bytes of characters beyond ASCII kept, all else a blank.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-_SLICE = 2_000  # documents that are split at once
-_HELD = 600_000  # distinct counts a task holds before it sends them
+_SLICE = 1_000  # documents that are split at once
+_HELD = 300_000  # distinct counts a task holds before it sends them
 _COUNTS = "lang string, source string, term string, n long, docs long"
 _KEYS = ("lang", "source", "term")
 _COUNTS_ARROW = pa.schema([*((c, pa.string()) for c in _KEYS), ("n", pa.int64()), ("docs", pa.int64())])

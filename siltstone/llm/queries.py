@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, divergence, language_model, licenses, ngram_join, packing, rules, suffix_dedup, toxicity, warc
+from . import classifier, conversations, decontaminate, divergence, language_model, licenses, ngram_join, packing, rules, suffix_dedup, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,10 @@ def divergence_query(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
 
+def conversations_query(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, folder, "conversations")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard": ngram_join_query,
@@ -106,6 +110,7 @@ def queries() -> dict[str, Query]:
         "op8_warc": warc_query,
         "op9_decontamination": decontaminate_query,
         "op10_quality_classifier": classifier_query,
+        "op11_conversation_repair": conversations_query,
         "op13_source_divergence": divergence_query,
     }
 
@@ -229,5 +234,69 @@ SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
 
+def _plus(cell: str, cost: str, letters: str, where: str = "") -> str:
+    """A cell is its cost in 12 digits and its audit, so that the least string is the least cell; null where impossible."""
+    sent = f"lpad((substr({cell}, 1, 12)::BIGINT + {cost})::VARCHAR, 12, '0') || substr({cell}, 13) || '{letters}'"
+    return f"CASE WHEN {where} THEN {sent} END" if where else sent
+
+
+_INSERTED = ", ".join(
+    (
+        "s0 AS t0",
+        "s1 AS t1",
+        f"least(s2, {_plus('s0', '5', 'I')}, {_plus('s1', '5', 'I')}, {_plus('s3', '5', 'I')}) AS t2",
+        f"least(s3, {_plus('s2', '5', 'I')}, {_plus('s0', '10', 'II')}, {_plus('s1', '10', 'II')}) AS t3",
+    )
+)
+_EDITED = ", ".join(
+    f"least({_plus(f't{k}', '2', 'D')}{edits}) AS s{k}"
+    for k, edits in enumerate(
+        (
+            "",
+            f", {_plus('t0', 'stay', 'K', 'may AND initial = $$s$$')}",
+            "".join(f", {_plus(t, 'stay', 'K', 'may AND initial = $$u$$')}, {_plus(t, '1 + stay', 'R', 'may')}" for t in ("t0", "t1", "t3")),
+            f", {_plus('t2', 'stay', 'K', 'may AND initial = $$a$$')}, {_plus('t2', '1 + stay', 'R', 'may')}",
+        )
+    )
+)
+
+# The walk goes row by row. A letter's place without insertions is its row's; its place among what stays gives its role.
+CONVERSATIONS_SQL = rf"""
+WITH RECURSIVE bits AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+              FROM (SELECT range AS i FROM range(256))),
+named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+hits AS (SELECT named.*, xor(list_reduce([4294967295::BIGINT] || [ord(x)::BIGINT FOR x IN string_split(name, '')],
+                lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295) % 20 AS hit FROM named, bits),
+rows AS (SELECT conv_id, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role,
+                CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+         FROM hits, unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS u(i)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+                  CASE WHEN substr(role, 1, 1) IN ('s', 'u', 'a') THEN substr(role, 1, 1) ELSE '-' END AS initial,
+                  right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS final FROM rows),
+faults AS (SELECT *, CASE WHEN final = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                  lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM placed),
+steps AS (SELECT conv_id, i, initial, fault NOT IN ('blank', 'duplicate') AS may, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS stay FROM faults),
+walk AS (SELECT conv_id, 0::BIGINT AS i, '000000000000' AS s0, NULL::VARCHAR AS s1, NULL::VARCHAR AS s2, NULL::VARCHAR AS s3 FROM (SELECT DISTINCT conv_id FROM conversations)
+         UNION ALL
+         SELECT conv_id, i, {_EDITED} FROM (SELECT w.conv_id, x.i, x.initial, x.may, x.stay, {_INSERTED} FROM walk w JOIN steps x ON x.conv_id IS NOT DISTINCT FROM w.conv_id AND x.i = w.i + 1)),
+ends AS (SELECT conv_id, least(t0, t3) AS best FROM (SELECT conv_id, i, {_INSERTED} FROM walk) QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+cheapest AS (SELECT conv_id, substr(best, 1, 12)::BIGINT AS cost, substr(best, 13) AS audit FROM ends),
+letters AS (SELECT conv_id, p, substr(audit, p, 1) AS letter FROM cheapest, unnest(range(1, length(audit) + 1)) AS u(p)),
+edits AS (SELECT conv_id, p, letter, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i FROM letters),
+stays AS (SELECT e.conv_id, p, letter, f.role, f.text, f.initial, row_number() OVER (PARTITION BY e.conv_id ORDER BY p) AS k
+          FROM edits e LEFT JOIN faults f ON letter <> 'I' AND f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.i = e.i WHERE letter <> 'D'),
+given AS (SELECT *, (k - CASE WHEN first_value(initial) OVER (PARTITION BY conv_id ORDER BY k) = 's' AND first_value(letter) OVER (PARTITION BY conv_id ORDER BY k) = 'K' THEN 1 ELSE 0 END) % 2 AS odd FROM stays),
+repaired AS (SELECT conv_id, string_agg(CASE letter WHEN 'K' THEN role ELSE CASE odd WHEN 1 THEN 'user' ELSE 'assistant' END END || ':' || CASE letter WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS whole
+             FROM given GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, cost, audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM cheapest c LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": LICENSES_SQL, "op5_quality_rules": RULES_SQL, "op8_warc": WARC_SQL, "op9_decontamination": DECONTAMINATE_SQL, "op13_source_divergence": DIVERGENCE_SQL}
+    return {"op2_license_scan": LICENSES_SQL, "op5_quality_rules": RULES_SQL, "op8_warc": WARC_SQL, "op9_decontamination": DECONTAMINATE_SQL, "op11_conversation_repair": CONVERSATIONS_SQL, "op13_source_divergence": DIVERGENCE_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, conversations, decontaminate, divergence, language_model, licenses, ngram_join, packing, rules, suffix_dedup, toxicity, warc
+from . import classifier, conversations, decontaminate, divergence, language_model, licenses, ngram_join, packing, rules, setsketch, suffix_dedup, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,10 @@ def licenses_query(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents").withColumn("path", tree_path()))
 
 
+def setsketch_query(spark: SparkSession, folder: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, folder, "documents")).drop("class_key")
+
+
 def divergence_query(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
@@ -111,6 +115,7 @@ def queries() -> dict[str, Query]:
         "op9_decontamination": decontaminate_query,
         "op10_quality_classifier": classifier_query,
         "op11_conversation_repair": conversations_query,
+        "op12_setsketch_dedup": setsketch_query,
         "op13_source_divergence": divergence_query,
     }
 
@@ -234,6 +239,23 @@ SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
 
+def near_duplicates_sql(width: int, percent: int, more: str = "") -> str:
+    """All pairs of documents that share a shingle; components by transitive closure."""
+    return rf"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS id, doc_id,
+                            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT id, array_to_string(words[i:i + {width - 1}], ' ') AS shingle FROM w, unnest(range(1, greatest(len(words) - {width - 2}, 2))) AS u(i) WHERE len(words) > 0),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+sized AS (SELECT s.*, n.n FROM s JOIN n USING (id)),
+links AS (SELECT x.id AS a, y.id AS b FROM sized x JOIN sized y ON x.shingle = y.shingle AND x.id <> y.id AND 100 * x.n >= {percent} * y.n AND 100 * y.n >= {percent} * x.n
+          GROUP BY x.id, y.id, x.n, y.n HAVING 100 * count(*) >= {percent} * (x.n + y.n - count(*))),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT a, min(doc_id) AS first FROM reach JOIN w ON w.id = reach.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least(doc_id, first), doc_id) AS component_id{more}
+FROM w LEFT JOIN n USING (id) LEFT JOIN least ON least.a = w.id
+"""
+
+
 def _plus(cell: str, cost: str, letters: str, where: str = "") -> str:
     """A cell is its cost in 12 digits and its audit, so that the least string is the least cell; null where impossible."""
     sent = f"lpad((substr({cell}, 1, 12)::BIGINT + {cost})::VARCHAR, 12, '0') || substr({cell}, 13) || '{letters}'"
@@ -299,4 +321,13 @@ FROM cheapest c LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id L
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": LICENSES_SQL, "op5_quality_rules": RULES_SQL, "op8_warc": WARC_SQL, "op9_decontamination": DECONTAMINATE_SQL, "op11_conversation_repair": CONVERSATIONS_SQL, "op13_source_divergence": DIVERGENCE_SQL}
+    return {
+        "op1_ngram_jaccard": near_duplicates_sql(ngram_join.SHINGLE, ngram_join.PERCENT),
+        "op2_license_scan": LICENSES_SQL,
+        "op5_quality_rules": RULES_SQL,
+        "op8_warc": WARC_SQL,
+        "op9_decontamination": DECONTAMINATE_SQL,
+        "op11_conversation_repair": CONVERSATIONS_SQL,
+        "op12_setsketch_dedup": near_duplicates_sql(setsketch.WIDTH, setsketch.PERCENT, ", coalesce(least(doc_id, first), doc_id) = doc_id AS kept"),
+        "op13_source_divergence": DIVERGENCE_SQL,
+    }

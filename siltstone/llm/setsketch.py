@@ -10,8 +10,9 @@ component of links are one group. Documents of one set are one class.
 2. Bands of registers are hashed; classes that share a band are candidates. The number of registers a band is the greatest for
    which a pair at the threshold shares no band with a probability below `MISS`.
 3. Rounds compare each class with one centre per band and merge what links, so a group of near copies costs its size, not its
-   square. Then every pair of a band whose classes are not connected yet is compared, after bounds on sizes and register
-   parities. No candidate is dropped otherwise, and no list is capped.
+   square. Then every pair of a band whose classes are not connected yet is compared, after exact bounds on sizes and on the
+   least difference (of each set the parity of its shingles in 512 hash classes is kept: where parities differ, sets
+   differ). No candidate is dropped otherwise, and no list is capped.
 4. Of a candidate pair the similarity is estimated from the counts of greater, smaller and equal registers and the exact set
    sizes; a pair stays unless the threshold is less likely than the estimate by a log-likelihood beyond `DOUBT`.
 5. Pairs that stay are verified on the full sets, made again from the whole texts; centres with many members are dealt over
@@ -127,12 +128,20 @@ def band_rows(percent: int = PERCENT, m: int = REGISTERS) -> int:
     return max([r for r in range(1, 30) if (1 - share**r) ** (m // r) <= MISS], default=1)
 
 
-_PARITY = ("p0", "p1", "p2", "p3")
+_PARITY = tuple(f"p{k}" for k in range(8))  # parity of a set's shingles in 512 hash classes
 _LONGS = ("doc_id", "n", *_PARITY)
 _ROW_ARROW = pa.schema([*((c, pa.int64()) for c in _LONGS), ("digest", pa.binary()), ("key", pa.binary()), ("sketch", pa.binary())])
 _ROW = ", ".join(f"{c} long" for c in _LONGS) + ", digest binary, key binary, sketch binary"
 
 
+def parities(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """(words, sets): for each hash class whether a set has an odd number of shingles in it."""
+    classes = 64 * len(_PARITY)
+    place = ((mixed(tokens + MIX[3]) >> np.uint64(32)) * np.uint64(classes)) >> np.uint64(32)
+    odd = np.bincount(np.repeat(np.arange(len(sizes)), sizes) * classes + place.astype(np.int64), minlength=classes * len(sizes)) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(sizes), classes), axis=1, bitorder="little").view(np.int64).T.copy()
+
+
 def _key(tokens: np.ndarray) -> bytes:
     import xxhash
 
@@ -150,12 +159,9 @@ def _sketch(width: int, m: int):
 
         def flush() -> pa.RecordBatch:
             sizes = np.array([len(x) for x in sets], np.int64)
-            found = registers(np.concatenate(sets), sizes, m)
-            bits = np.zeros((len(sets), 256), np.uint8)
-            bits[:, : min(m, 256)] = found[:, :256] & 1
-            parity = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
-            none = pa.nulls(len(sets), pa.int64())
-            columns = [none, pa.array(sizes), *(pa.array(np.ascontiguousarray(parity[:, k])) for k in range(4)), pa.nulls(len(sets), pa.binary())]
+            tokens = np.concatenate(sets)
+            found = registers(tokens, sizes, m)
+            columns = [pa.nulls(len(sets), pa.int64()), pa.array(sizes), *map(pa.array, parities(tokens, sizes)), pa.nulls(len(sets), pa.binary())]
             batch = pa.RecordBatch.from_arrays([*columns, pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], schema=_ROW_ARROW)
             sets.clear(), keys.clear()
             return batch
@@ -179,7 +185,7 @@ def _sketch(width: int, m: int):
                     yield flush()
                     held = 0
             none = pa.nulls(len(numbers), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(numbers, pa.int64()), none, none, none, none, batch.column(2), pa.array(own_keys, pa.binary()), pa.nulls(len(numbers), pa.binary())], schema=_ROW_ARROW)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(numbers, pa.int64()), *(none for _ in _PARITY), batch.column(2), pa.array(own_keys, pa.binary()), pa.nulls(len(numbers), pa.binary())], schema=_ROW_ARROW)
         if sets:
             yield flush()
 
@@ -206,17 +212,13 @@ def postings(classes: DataFrame, rows: int, m: int = REGISTERS) -> DataFrame:
     return dealt.join(several, "band").join(classes.select(*_SHOWN), "key")
 
 
-def _may_link(x: str, y: str, percent: int, m: int) -> Column:
-    """Sizes allow a link, and the parities of the registers do not differ by 8 standard deviations more than linked sets' do.
-
-    At the threshold a register differs with probability 1 - percent / 100 at most, and then its parity does about every second time;
-    the bound reckons with every time.
-    """
+def _may_link(x: str, y: str, percent: int) -> Column:
+    """Exact bounds on a link: sizes, and the least number of shingles that stand in one set only."""
     n, k = F.col(f"{x}.n"), F.col(f"{y}.n")
-    differ = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in _PARITY[1:]), F.bit_count(F.col(f"{x}.p0").bitwiseXOR(F.col(f"{y}.p0"))))
-    share, seen = 1 - percent / 100, min(m, 256)
-    most = int(seen * share + 8 * math.sqrt(seen * share * (1 - share)))
-    return (100 * F.least(n, k) >= percent * F.greatest(n, k)) & (differ <= most)
+    differ = F.lit(0)
+    for c in _PARITY:
+        differ = differ + F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")))
+    return (100 * F.least(n, k) >= percent * F.greatest(n, k)) & ((100 + percent) * differ <= (100 - percent) * (n + k))
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -265,7 +267,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, percent: in
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def links(classes: DataFrame, posted: DataFrame, texts: DataFrame, folder: str, width: int, percent: int, m: int, rounds: int = ROUNDS) -> DataFrame:
+def links(classes: DataFrame, posted: DataFrame, texts: DataFrame, folder: str, width: int, percent: int, rounds: int = ROUNDS) -> DataFrame:
     """(a, b) links that connect every pair of classes that link."""
     spark = classes.sparkSession
     found = spark.createDataFrame([], "a binary, b binary")
@@ -285,14 +287,14 @@ def links(classes: DataFrame, posted: DataFrame, texts: DataFrame, folder: str,
         minor = open_.filter("label <> main")
         if turn < rounds:
             x = minor.select(*_SHOWN, F.struct(*(F.col(f"centre_{c}").alias(c) for c in _SHOWN)).alias("y"), F.struct(*_SHOWN).alias("x"))
-            votes = x.filter(_may_link("x", "y", percent, m)).groupBy("key", F.col("y.key").alias("centre")).agg(F.count("*").alias("votes"))
+            votes = x.filter(_may_link("x", "y", percent)).groupBy("key", F.col("y.key").alias("centre")).agg(F.count("*").alias("votes"))
             best = votes.groupBy("key").agg(F.max_by("centre", F.struct("votes", "centre")).alias("centre"))
             pairs = best.select(F.col("centre").alias("a"), F.col("key").alias("b"))
         else:
             x, y = minor.alias("x"), open_.alias("y")
             apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label"))
             once = (F.col("y.label") == F.col("y.main")) | (F.col("x.key") < F.col("y.key"))
-            pairs = x.join(y, apart & once & _may_link("x", "y", percent, m)).select(F.col("y.key").alias("a"), F.col("x.key").alias("b"))
+            pairs = x.join(y, apart & once & _may_link("x", "y", percent)).select(F.col("y.key").alias("a"), F.col("x.key").alias("b"))
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             both_ways = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -321,7 +323,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     whole = docs.select(F.unhex(F.md5(text.cast("binary"))).alias("digest"), text.alias("text")).join(one, "digest")
     texts = written(whole.groupBy("key").agg(F.first("text").alias("text")), folder, "texts")
 
-    labels = components(links(classes, posted, texts, folder, width, percent, m, rounds)).withColumnRenamed("node", "key")
+    labels = components(links(classes, posted, texts, folder, width, percent, rounds)).withColumnRenamed("node", "key")
     named = members.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
     named = named.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     least = named.groupBy("label").agg(F.min("first").alias("component_id"))

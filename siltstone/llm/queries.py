@@ -147,14 +147,12 @@ d AS (SELECT doc_id, text, CASE depth WHEN 0 THEN top WHEN 1 THEN top || '/' ||
 units AS (SELECT doc_id, 0 AS line, text AS content FROM d
           UNION ALL SELECT doc_id, i AS line, string_split(text, chr(10))[i] FROM d, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS u(i)),
 uw AS (SELECT doc_id, line, [x FOR x IN string_split_regex(lower(content), '[^a-z0-9]+') IF x <> ''] AS words FROM units),
-ut AS (SELECT doc_id, line, n, term, count(*) AS tf FROM (SELECT doc_id, line, len(words) AS n, unnest(words) AS term FROM uw)
-       WHERE term IN (SELECT term FROM v) GROUP BY ALL),
+ut AS (SELECT doc_id, line, term, count(*) AS tf FROM (SELECT doc_id, line, unnest(words) AS term FROM uw) GROUP BY ALL),
 total AS (SELECT count(*) AS n FROM d),
-idf AS (SELECT v.term, ln((1.0 + total.n) / (1 + count(doc_id))) + 1 AS idf
-        FROM v CROSS JOIN total LEFT JOIN ut ON ut.term = v.term AND line = 0 GROUP BY v.term, total.n),
+idf AS (SELECT term, ln((1.0 + total.n) / (1 + count(doc_id))) + 1 AS idf
+        FROM (SELECT term FROM v UNION SELECT term FROM ut) CROSS JOIN total LEFT JOIN (SELECT term, doc_id FROM ut WHERE line = 0) USING (term) GROUP BY term, total.n),
 tl AS (SELECT template, sqrt(sum((tf * idf) ** 2)) AS length FROM tw JOIN idf USING (term) GROUP BY template),
-ul AS (SELECT doc_id, line, sqrt(sum((tf * idf) ** 2) + (ut.n - sum(tf)) * (ln(1.0 + total.n) + 1) ** 2) AS length
-       FROM ut JOIN idf USING (term) CROSS JOIN total GROUP BY doc_id, line, ut.n, total.n),
+ul AS (SELECT doc_id, line, sqrt(sum((tf * idf) ** 2)) AS length FROM ut JOIN idf USING (term) GROUP BY doc_id, line),
 dot AS (SELECT doc_id, line, template, licence, sum(ut.tf * idf * tw.tf * idf) AS dot
         FROM ut JOIN idf USING (term) JOIN tw USING (term) GROUP BY ALL),
 c AS (SELECT doc_id, line, licence, round(max(dot / ul.length / tl.length), 6) AS cosine

@@ -38,20 +38,23 @@ def files(spark):
 
 def brute(rows):
     """Cosines of every line and whole text, without any filter; nearest directory by walking up."""
-    vocabulary = {t for _, text in licenses.TEMPLATES for t in licenses.terms_of(text)}
-    df = Counter(t for _, _, text in rows for t in set(licenses.terms_of(text or "")) & vocabulary)
-    idf = {t: licenses.idf_of(len(rows), df[t]) for t in vocabulary}
-    rarest = licenses.idf_of(len(rows), 0)
+    df = Counter(t for _, _, text in rows for t in set(licenses.terms_of(text or "")))
+
+    def vector(text):
+        return {t: n * licenses.idf_of(len(rows), df[t]) for t, n in Counter(licenses.terms_of(text)).items()}
+
+    def length(v):
+        return math.sqrt(sum(w * w for w in v.values()))
+
+    sides = [(licence, vector(template)) for licence, template in licenses.TEMPLATES]
 
     def best(text):
-        tf = Counter(licenses.terms_of(text))
-        square = sum((n * idf[t]) ** 2 if t in idf else n * rarest**2 for t, n in tf.items())
+        unit = vector(text)
         found = []
-        for licence, template in licenses.TEMPLATES:
-            own = {t: n * idf[t] for t, n in Counter(licenses.terms_of(template)).items()}
-            dot = sum(n * idf[t] * own.get(t, 0.0) for t, n in tf.items() if t in idf)
+        for licence, side in sides:
+            dot = sum(w * side.get(t, 0.0) for t, w in unit.items())
             if dot:
-                found.append((-round(dot / math.sqrt(square) / math.sqrt(sum(w * w for w in own.values())), 6), licence))
+                found.append((-round(dot / length(unit) / length(side), 6), licence))
         return min(found, default=(0.0, None))
 
     own, speakers = {}, {}

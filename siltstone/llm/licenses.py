@@ -43,6 +43,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 LINE_LEAST = 0.6
 FILE_LEAST = 0.25
 COMMON = 100  # words beside the templates' whose idf the bounds know; no result depends on it
+BROADCAST_UNITS = 200_000  # texts up to which their keys and lines go to every task; beyond, texts and keys are shuffled
 NOT_TERM = "[^a-z0-9]+"
 
 
@@ -163,7 +164,8 @@ def scan(
     df = dict(frequencies.filter(F.col("term").isin(vocabulary)).collect())  # at most the templates' terms
     others = frequencies.filter(~F.col("term").isin(vocabulary)).orderBy(F.desc("df"), "term").limit(COMMON + 1).collect()
     n = rows.count()
-    idf = {t: idf_of(n, df.get(t, 0)) for t in vocabulary} | {r.term: idf_of(n, r.df) for r in others[:COMMON]}
+    own_idf = {t: idf_of(n, df.get(t, 0)) for t in vocabulary}
+    idf = own_idf | {r.term: idf_of(n, r.df) for r in others[:COMMON]}
     least_idf = idf_of(n, others[COMMON].df if len(others) > COMMON else 0)
     vocabulary = sorted(idf)
     # A cosine is rounded to six places before it is compared.
@@ -181,19 +183,22 @@ def scan(
         return F.struct(line.getField("line").alias("line"), F.size(own).alias("n"), known(own).alias("terms"))
 
     # No term runs over a line's end, so the words of the lines are those of the text.
-    near = rows.select(F.xxhash64("doc_id", "path", "text").alias("key"), "path", "text", F.transform(F.split("text", "\n"), line_of).alias("lines"))
-    near = near.select("key", "path", "text", F.transform("lines", counted).alias("lines"))
+    key = F.xxhash64("doc_id", "path", "text").alias("key")
+    near = rows.select(key, "path", F.transform(F.split("text", "\n"), line_of).alias("lines"))
+    near = near.select("key", "path", F.transform("lines", counted).alias("lines"))
     total = F.aggregate("lines", F.lit(0), lambda n, x: n + x.getField("n"))
-    near = near.select("key", "path", "text", "lines", total.alias("n"), F.flatten(F.col("lines.terms")).alias("terms"))
+    near = near.select("key", "path", "lines", total.alias("n"), F.flatten(F.col("lines.terms")).alias("terms"))
     has_heavy = F.arrays_overlap("terms", F.array(*map(F.lit, heavy)))
     headed = F.when(has_heavy, F.filter("lines", lambda x: F.exists(x.getField("terms"), lambda t: t.isin(heavy)))).alias("lines")
-    square = F.when(F.size("terms") > 0, _square(F.col("terms"), idf)).alias("square")
+    # The part of the length in the templates' terms, against the whole length: no cosine is greater.
+    inside = F.filter("terms", lambda w: w.isin(sorted(own_idf)))
+    squares = [F.when(F.size("terms") > 0, _square(c, by)).alias(name) for name, c, by in (("square", F.col("terms"), idf), ("inside", inside, own_idf))]
     # The filter must not be pushed below all this work, where it would repeat it.
-    near = computed_once(near.select("key", "path", "text", "n", "terms", headed, square), ["key", "path", "text"])
-    whole_bound = F.col("square") >= file_bound**2 * (F.col("square") + (F.col("n") - F.size("terms")) * least_idf**2)
+    near = computed_once(near.select("key", "path", "n", "terms", headed, *squares), ["key", "path"])
+    whole_bound = F.col("inside") >= file_bound**2 * (F.col("square") + (F.col("n") - F.size("terms")) * least_idf**2)
     near = near.withColumn("whole", F.coalesce(whole_bound, F.lit(False))).filter("whole OR size(lines) > 0")
-    copies = written(near.drop("square"), folder, "near")
-    near = copies.drop("text").dropDuplicates(["key"])
+    near = near.select("key", "path", "n", F.when(F.col("whole"), F.col("terms")).alias("terms"), "lines", "whole")
+    near = written(near, folder, "near").dropDuplicates(["key"])
 
     # Line -1 is the whole text.
     keys, least = ["key", "line"], F.when(F.col("line") < 0, file_least).otherwise(line_least)
@@ -201,8 +206,10 @@ def scan(
     dots = _dots(units, keys, idf, templates)
     longest = F.sqrt(F.col("square") + (F.col("n") - F.col("inside")) * least_idf**2)
     dots = written(dots.filter(F.col("dot") / longest >= least - 1e-6), folder, "dots")
-    wanted = dots.groupBy("key").agg(F.collect_set("line").alias("wanted"))
-    texts = copies.select("key", "text").join(wanted, "key").dropDuplicates(["key"])
+    # The texts of the few units that pass are read again, not kept.
+    wanted = written(dots.groupBy("key").agg(F.collect_set("line").alias("wanted")), folder, "wanted")
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_UNITS else wanted
+    texts = rows.select(key, "text").join(few, "key").dropDuplicates(["key"])
     content = F.when(F.col("line") < 0, F.col("text")).otherwise(F.element_at(F.split("text", "\n"), F.col("line") + 1))
     texts = texts.select("key", "text", F.explode("wanted").alias("line")).select(*keys, words(content).alias("words"))
     length = F.sqrt(F.col("square") + F.coalesce("outside", F.lit(0.0)))
@@ -218,7 +225,7 @@ def scan(
     # Licence files speak for their directory; of several, the nearest to its template.
     speakers = own.filter("origin = 'file'").withColumn("dir", directory(F.col("path"))).dropna(subset=["dir"])
     speakers = _best(speakers, "dir", F.desc("cosine"), F.col("licence")).select("dir", "licence", "cosine")
-    keyed = rows.select("doc_id", "path", F.xxhash64("doc_id", "path", "text").alias("key"), directory(F.col("path")).alias("dir"))
+    keyed = rows.select("doc_id", "path", key, directory(F.col("path")).alias("dir"))
     from_above = inherited(keyed, speakers).toDF("dir", "distance", "above_licence", "above_cosine")
     out = keyed.join(own.drop("path"), "key", "left").join(from_above, "dir", "left")
     has_own = F.col("origin").isNotNull()

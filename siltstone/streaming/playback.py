@@ -6,10 +6,15 @@ the end start streaming queries. Kafka and a folder of text files both deliver a
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.dates import RUN_ZONE, run_date
 from ..sources.schemas import PLAYBACK_EVENTS, required_columns
@@ -20,6 +25,9 @@ BUFFER_LIMIT_MS = 4000
 ALERT_WINDOW = "2 minutes"
 # Messages a window's alerts are dealt to.
 DIGEST_PARTS = 8
+WINDOW_MS = 120_000
+# When a message came in, where the source tells: the broker's time, or that of its file.
+ARRIVED = "arrived"
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 REQUIRED = tuple(required_columns(PLAYBACK_EVENTS))
@@ -45,8 +53,9 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     options = {"timestampNTZFormat": TIMESTAMP_PATTERN, "mode": "PERMISSIVE"}
     # A generator, so that the filters on validity do not repeat the parse (see `operators.frames`).
-    parsed = messages.select(text.alias("value")).select(
-        "value", F.inline_outer(F.array(F.from_json("value", _WIRE_SCHEMA, options)))
+    kept = [F.col(c) for c in (ARRIVED,) if c in messages.columns]
+    parsed = messages.select(text.alias("value"), *kept).select(
+        "value", *kept, F.inline_outer(F.array(F.from_json("value", _WIRE_SCHEMA, options)))
     )
     valid = F.col("_corrupt_record").isNull()
     for name in REQUIRED:
@@ -74,22 +83,16 @@ def playback_alerts(events: DataFrame, instant: Column | None = None) -> DataFra
     return alerts.withColumn("run_date", run_date(instant))
 
 
-def _watermarked(alerts: DataFrame, time_column: str, delay: str) -> DataFrame:
-    """Alerts with a watermark on `_event_time`, the time column as an instant: a watermark cannot be put on
-    a TIMESTAMP_NTZ. The session zone is UTC, so windows start at the same wall-clock times."""
-    return alerts.withColumn("_event_time", F.col(time_column).cast("timestamp")).withWatermark("_event_time", delay)
-
-
 def alert_windows(alerts: DataFrame, time_column: str = "event_timestamp", delay: str | None = None) -> DataFrame:
-    """Number of alerts per non-empty tumbling window; set `delay` (the watermark) on a stream.
+    """Number of alerts per non-empty tumbling window; set `delay` (the allowed lateness) on a stream.
 
-    On a stream the counts are those of a window when it closes; the digests, not these counts, carry late alerts.
+    On a stream a window's count comes when it closes, and alerts that come later give a further row of their window:
+    a window's rows add up to the count that a batch gives.
     """
-    if delay is None:
-        windows = alerts.groupBy(F.window(time_column, ALERT_WINDOW).alias("w"))
-    else:
-        windows = _watermarked(alerts, time_column, delay).groupBy(F.window("_event_time", ALERT_WINDOW).alias("w"))
-    return windows.agg(F.count(F.lit(1)).alias("n_alerts")).select(
+    if delay is not None:
+        return closed_windows(alerts, time_column, delay, parts=1, listed=False).select("window_start", "window_end", "n_alerts")
+    windows = alerts.groupBy(F.window(time_column, ALERT_WINDOW).alias("w")).agg(F.count(F.lit(1)).alias("n_alerts"))
+    return windows.select(
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"),
         "n_alerts",
@@ -120,6 +123,12 @@ def _headline(window_end: Column, total: Column) -> Column:
     return F.concat(F.lit("⚠️ "), sent, F.lit(" - "), total.cast("string"), F.lit(" alerts\n"))
 
 
+def _part(parts: int) -> Column:
+    """Message of a window that an alert goes to: by its number, or by its line where it has none."""
+    number = F.coalesce(F.col("event_id").cast("bigint"), F.crc32(F.col("line").cast("binary")))
+    return F.pmod(number, F.lit(parts).cast("bigint"))
+
+
 def alert_digest(alerts: DataFrame, time_column: str = "event_timestamp", parts: int = DIGEST_PARTS) -> DataFrame:
     """Messages per non-empty window that list its alerts in order of time.
 
@@ -127,33 +136,116 @@ def alert_digest(alerts: DataFrame, time_column: str = "event_timestamp", parts:
     part without alerts gives no message, and each headline counts its own message's alerts. Equal lines are
     counted before they are shuffled.
     """
-    lines = alerts.select(
-        F.window(time_column, ALERT_WINDOW).alias("w"),
-        F.pmod(F.coalesce(F.col("event_id"), F.lit(0)).cast("bigint"), F.lit(parts).cast("bigint")).alias("part"),
-        F.col(time_column).alias("at"),
-        "event_id",
-        _line().alias("line"),
-    )
+    lines = alerts.select(F.window(time_column, ALERT_WINDOW).alias("w"), F.col(time_column).alias("at"), "event_id", _line().alias("line"))
+    lines = lines.withColumn("part", _part(parts))
     counted = lines.groupBy("w", "part", "at", "event_id", "line").agg(F.count(F.lit(1)).alias("n"))
     ordered = F.sort_array(F.collect_list(F.struct("at", "event_id", "line", "n")))
     body = F.array_join(F.transform(ordered, lambda x: F.repeat(x["line"], x["n"].cast("int"))), "")
     grouped = counted.groupBy("w", "part").agg(F.sum("n").alias("total"), body.alias("body"))
     return grouped.select(
-        F.col("w.start").alias("window_start"),
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         (F.col("part") + 1).alias("part"),
         F.concat(_headline(F.col("w.end"), F.col("total")), F.col("body")).alias("message"),
     )
 
 
+# ---- windows that a stream closes ------------------------------------------------------------------
+
+_CLOSED = "start_ms long, part long, late boolean, n_alerts long, body string"
+_HELD = "n long, at array<long>, event_id array<long>, line array<string>"
+
+
+def _window_state(listed: bool) -> Callable:
+    """One (window, part): holds its alerts until the watermark passes the window's end, then gives one row.
+
+    Alerts that find their window closed give a row of their own at once.
+    """
+
+    def held_rows(frames: Iterator[pd.DataFrame]) -> tuple[int, list[tuple]]:
+        n, rows = 0, []
+        for frame in frames:
+            there = frame[frame["line"].notna()]
+            n += len(there)
+            if listed:
+                numbers = (None if pd.isna(x) else int(x) for x in there["event_id"])
+                rows += zip((int(x) for x in there["at"]), numbers, there["line"], strict=True)
+        return n, rows
+
+    def row(key: tuple, late: bool, n: int, rows: list[tuple]) -> pd.DataFrame:
+        ordered = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2].encode()))
+        return pd.DataFrame({"start_ms": [key[0]], "part": [key[1]], "late": [late], "n_alerts": [n], "body": ["".join(r[2] for r in ordered)]})
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        key = tuple(int(k) for k in key)
+        old = state.get if state.exists else None
+        n, rows = (old[0], list(zip(*old[1:], strict=True))) if old else (0, [])
+        if state.hasTimedOut:
+            state.remove()
+            yield row(key, False, n, rows)
+            return
+        more, new = held_rows(frames)
+        if not more:
+            return
+        n, rows, end = n + more, rows + new, key[0] + WINDOW_MS
+        if state.getCurrentWatermarkMs() >= end:
+            if old:
+                state.remove()
+            yield row(key, old is None, n, rows)
+            return
+        columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[], [], []]
+        state.update((n, *columns))
+        state.setTimeoutTimestamp(end)
+
+    return step
+
+
+def closed_windows(
+    alerts: DataFrame, time_column: str = "event_timestamp", delay: str = "0 seconds", parts: int = DIGEST_PARTS, listed: bool = True
+) -> DataFrame:
+    """window_start, window_end, part, late, n_alerts, body: one row per non-empty (window, part) of a stream, however its
+    micro-batches fall, given out when the watermark (the latest time seen less `delay`) passes the window's end.
+
+    What arrives for a window after that gives a further row with `late`, one per micro-batch, so no alert is lost.
+    Spark leaves out rows behind the watermark at a stateful operator's input; so each alert is sent twice, as a tick that
+    moves the watermark and as a row without a time of its own. What a window holds is in the state store: a restart in
+    mid-window goes on with it.
+    """
+    at = F.col(time_column).cast("timestamp")
+    lines = alerts.select(at.alias("moment"), "event_id", _line().alias("line")).where("moment is not null").withColumn("part", _part(parts))
+    start = F.unix_millis(F.window("moment", ALERT_WINDOW)["start"])
+    rows = lines.select(start.alias("start_ms"), "part", F.unix_micros("moment").alias("at"), "event_id", "line", "moment")
+    empty = {"at": "bigint", "event_id": "bigint", "line": "string"}
+    tick = F.struct("moment", *(F.lit(None).cast(t).alias(c) for c, t in empty.items()))
+    alert = F.struct(F.lit(None).cast("timestamp").alias("moment"), *(F.col(c).cast(t).alias(c) for c, t in empty.items()))
+    both = rows.select("start_ms", "part", F.explode(F.array(tick, alert)).alias("x")).select("start_ms", "part", "x.*")
+    found = (
+        both.withWatermark("moment", delay)
+        .groupBy("start_ms", "part")
+        .applyInPandasWithState(_window_state(listed), _CLOSED, _HELD, "append", GroupStateTimeout.EventTimeTimeout)
+    )
+    begins = F.timestamp_millis("start_ms")
+    return found.select(
+        begins.cast("timestamp_ntz").alias("window_start"),
+        F.timestamp_millis(F.col("start_ms") + WINDOW_MS).cast("timestamp_ntz").alias("window_end"),
+        (F.col("part") + 1).alias("part"), "late", "n_alerts", "body",
+    )
+
+
+def window_messages(windows: DataFrame) -> DataFrame:
+    """window_start, part, late, message of closed windows."""
+    message = F.concat(_headline(F.col("window_end"), F.col("n_alerts")), F.col("body"))
+    return windows.select("window_start", "part", "late", message.alias("message"))
+
+
 # ---- queries ---------------------------------------------------------------------------------------
 
 
 def read_message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of messages from a folder of text files, one message a line."""
+    """Stream of messages from a folder of text files, one message a line, with the time of their file."""
     reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(path)
+    return reader.text(path).select("value", F.col("_metadata.file_modification_time").alias(ARRIVED))
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, max_messages: int | None = None) -> DataFrame:
@@ -161,7 +253,12 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, max_messages: int
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     if max_messages is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_messages)
-    return reader.load().select("value")
+    return reader.load().select("value", F.col("timestamp").alias(ARRIVED))
+
+
+def alert_rows(messages: DataFrame) -> DataFrame:
+    """Alerts among messages, with their ingestion date and, where the source tells it, their time of arrival."""
+    return playback_alerts(valid_events(parse_messages(messages)))
 
 
 def start_alert_table(messages: DataFrame, path: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
@@ -171,7 +268,7 @@ def start_alert_table(messages: DataFrame, path: str, checkpoint: str, drain: bo
     checkpoint being the acknowledgement.
     """
     writer = (
-        playback_alerts(valid_events(parse_messages(messages)))
+        alert_rows(messages).drop(ARRIVED)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -193,6 +290,11 @@ def start_quarantine(messages: DataFrame, path: str, checkpoint: str, drain: boo
     return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def start_digests(
     messages: DataFrame,
     path: str,
@@ -200,24 +302,28 @@ def start_digests(
     parts: int = DIGEST_PARTS,
     every: str = ALERT_WINDOW,
     drain: bool = False,
+    time_column: str = "event_timestamp",
+    delay: str = "0 seconds",
 ) -> StreamingQuery:
-    """Write the digests of what arrived `every` so often, grouped by the window in which it happened.
+    """Write one message per window and part when the window closes, and a follow-up for alerts that come later.
 
-    Every alert is in one digest: there is no watermark, so an alert that comes late goes into a further digest of
-    its window, and the newest window does not wait for a later event. No state is kept between batches. A
-    batch that is run again overwrites its own folder, so a digest is not written twice.
+    Windows are of `time_column`: when an event happened, or `ARRIVED`, when its message came in. A window that is still
+    open at the end of a drain stays in the checkpoint's state and is closed by a later run. A batch that is run again
+    overwrites its own folder, which carries the stream's id, so a digest is not written twice and a stream with a new checkpoint
+    does not touch an earlier one's.
     """
-    alerts = playback_alerts(valid_events(parse_messages(messages)))
+    windows = closed_windows(alert_rows(messages), time_column, delay, parts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            alert_digest(batch, parts=parts)
+            window_messages(batch)
+            .withColumn("stream", F.lit(_stream_id(batch.sparkSession, checkpoint)))
             .withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy("stream", "batch_id")
             .parquet(path)
         )
 
-    writer = alerts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = windows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=every)).start()

@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 from collections import defaultdict
 
 import pytest
-from support import values
 from pyspark.sql import functions as F
+from support import values
 
 from siltstone.streaming import playback
 
@@ -120,48 +121,109 @@ def test_alert_table_stream_and_quarantine(spark, tmp_path):
     assert values(spark.read.parquet(out), "event_id") == [(1,), (3,), (4,), (5,)]
 
 
-def test_digest_stream_equals_batch(spark, tmp_path):
-    """A drain emits every window, the newest one included."""
-    source = tmp_path / "in"
-    events = [event(n, 13 * n) for n in range(50)]
-    write_messages(source, "a.json", events)
-    stream = playback.read_message_files(spark, str(source))
-    out = str(tmp_path / "out")
-    playback.start_digests(stream, out, str(tmp_path / "c"), drain=True).awaitTermination(120)
-    got = {(r["window_start"], r["part"]): r["message"] for r in spark.read.parquet(out).collect()}
-    assert got == digest_by_hand(events)
+def stepwise(spark, tmp_path, batches, max_files=1, **options):
+    """Messages per window and part after each run over one more file, every run a restart from the checkpoint."""
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "c")
+    for k, events in enumerate(batches):
+        write_messages(source, f"{k:03}.json", events)
+        os.utime(source / f"{k:03}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+        stream = playback.read_message_files(spark, str(source), max_files=max_files)
+        playback.start_digests(stream, out, checkpoint, drain=True, **options).awaitTermination(120)
+        yield spark.read.parquet(out) if any((tmp_path / "out").rglob("*.parquet")) else spark.createDataFrame([], "window_start timestamp_ntz, part long, message string, late boolean")
 
 
-def test_every_alert_is_in_one_digest(spark, tmp_path):
-    """Shuffled, late and last events, over several batches and two runs."""
-    source = tmp_path / "in"
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+def messages_of(rows) -> dict:
+    found = {(r["window_start"], r["part"]): r["message"] for r in rows}
+    assert len(found) == len(rows)  # one list per window and part
+    return found
+
+
+LAST = event(9_999, 100_000)  # moves the clock past every window before it
 
-    def run():
+
+@pytest.mark.parametrize("cut", [11, 50])
+def test_stream_equals_batch_however_batches_fall(spark, tmp_path, cut):
+    """Ordered alerts, cut anywhere, with a restart after every batch: one list per window, that of the batch."""
+    events = [event(n, 13 * n) for n in range(50)]
+    batches = [events[k : k + cut] for k in range(0, len(events), cut)] + [[LAST]]
+    *_, final = stepwise(spark, tmp_path, batches)
+    assert messages_of(final.collect()) == digest_by_hand(events)
+    batch = playback.alert_digest(frame(spark, events))
+    assert messages_of(final.collect()) == {(r["window_start"], r["part"]): r["message"] for r in batch.collect()}
+
+
+def test_open_windows_wait_in_the_state(spark, tmp_path):
+    events = [event(n, 10 * n) for n in range(10)]  # all in the first window
+    half, rest, closed = stepwise(spark, tmp_path, [events[:5], events[5:], [LAST]])
+    assert half.count() == rest.count() == 0
+    assert messages_of(closed.collect()) == digest_by_hand(events)
+
+
+def test_late_alerts_come_in_a_follow_up(spark, tmp_path):
+    """No alert is lost or told twice, whatever its time."""
+    first = [event(n, 17 * n) for n in range(30)]
+    late = [event(1001, 5), event(1003, 6), event(1009, 130)]
+    whole = [*first, *late, event(1, 17)]
+    *_, final = stepwise(spark, tmp_path, [first, [LAST], [*late, event(1, 17)], [event(5000, 200_000)]])
+    rows = final.where(F.col("window_start") < F.lit(START + dt.timedelta(seconds=90_000))).collect()
+    assert lines_of(r["message"] for r in rows) == sorted(line_by_hand(e).rstrip() for e in whole)
+    assert messages_of([r for r in rows if not r["late"]]) == digest_by_hand(first)
+    assert messages_of([r for r in rows if r["late"]]) == digest_by_hand([*late, event(1, 17)])
+
+
+def test_lateness_allowed_keeps_windows_open(spark, tmp_path):
+    first, late = [event(n, 17 * n) for n in range(30)], [event(1001, 5)]
+    *_, final = stepwise(spark, tmp_path, [first, late, [LAST], [event(5000, 200_000)]], delay="1 hour")
+    rows = final.where(F.col("window_start") < F.lit(START + dt.timedelta(seconds=90_000))).collect()
+    assert messages_of(rows) == digest_by_hand(first + late)
+
+
+def test_windows_of_arrival(spark, tmp_path):
+    """By the time a message came in, order and age of the events do not matter."""
+    events = [event(n, (n * 7919) % 50_000) for n in range(12)]
+    runs = list(stepwise(spark, tmp_path, [events[:6], events[6:]], time_column=playback.ARRIVED, parts=1))
+    assert runs[-1].count() == 0
+    source = tmp_path / "in"
+    write_messages(source, "z.json", [LAST])
+    os.utime(source / "z.json", (1_700_001_000, 1_700_001_000))
+    stream = playback.read_message_files(spark, str(source), max_files=1)
+    playback.start_digests(stream, str(tmp_path / "out"), str(tmp_path / "c"), drain=True, time_column=playback.ARRIVED, parts=1).awaitTermination(120)
+    (row,) = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert not row["late"] and " - 12 alerts" in row["message"]
+    assert lines_of([row["message"]]) == sorted(line_by_hand(e).rstrip() for e in events)
+
+
+def test_second_stream_leaves_the_first_ones_digests(spark, tmp_path):
+    """Two checkpoints number their batches alike; their folders differ."""
+    events = [event(n, 10 * n) for n in range(30)]
+    for name in ("a", "b"):
+        source = tmp_path / name
+        write_messages(source, "0.json", events)
+        write_messages(source, "1.json", [LAST])
         stream = playback.read_message_files(spark, str(source), max_files=1)
-        playback.start_digests(stream, out, checkpoint, drain=True).awaitTermination(120)
-
-    events = [event(n, (n * 37) % 900) for n in range(80)]
-    write_messages(source, "a.json", events[:30])
-    write_messages(source, "b.json", events[30:60])
-    run()
-    assert lines_of(r["message"] for r in spark.read.parquet(out).collect()) == sorted(line_by_hand(e).rstrip() for e in events[:60])
-    late = [event(1001, 5), event(1002, 100_000), event(1003, 6)]
-    write_messages(source, "c.json", events[60:] + late)
-    run()
-    rows = spark.read.parquet(out).collect()
-    assert lines_of(r["message"] for r in rows) == sorted(line_by_hand(e).rstrip() for e in events + late)
-    # The late alerts stand in a further digest of their own window.
-    assert any(r["window_start"] == START and "User 0 " in r["message"] for r in rows)
+        playback.start_digests(stream, str(tmp_path / "out"), str(tmp_path / f"c{name}"), drain=True).awaitTermination(120)
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert rows.select("stream").distinct().count() == 2
+    assert lines_of(r["message"] for r in rows.collect()) == sorted([line_by_hand(e).rstrip() for e in events] * 2)
+
+
+def test_alerts_without_number_are_dealt_by_their_line(spark):
+    rows = frame(spark, [event(n, 1) for n in range(40)]).withColumn("event_id", F.lit(None).cast("long")).withColumn("user_id", F.monotonically_increasing_id())
+    found = playback.alert_digest(rows).collect()
+    assert len(found) > 1
+    assert sum(len(r["message"].splitlines()) - 1 for r in found) == 40
 
 
 def test_window_counts_on_a_stream(spark, tmp_path):
+    """Counts of closed windows, and of late alerts as further rows, add up to the batch's."""
     source = tmp_path / "in"
-    write_messages(source, "a.json", [event(n, 50 * n) for n in range(10)])
-    write_messages(source, "b.json", [event(99, 100_000)])
-    alerts = playback.playback_alerts(
-        playback.valid_events(playback.parse_messages(playback.read_message_files(spark, str(source))))
-    )
+    events = [event(n, 50 * n) for n in range(10)]
+    write_messages(source, "a.json", events)
+    write_messages(source, "b.json", [LAST])
+    write_messages(source, "c.json", [event(98, 7)])
+    for k, name in enumerate("abc"):
+        os.utime(source / f"{name}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+    alerts = playback.alert_rows(playback.read_message_files(spark, str(source), max_files=1))
     query = (
         playback.alert_windows(alerts, delay="0 seconds")
         .writeStream.outputMode("append")
@@ -172,5 +234,7 @@ def test_window_counts_on_a_stream(spark, tmp_path):
         .start()
     )
     query.awaitTermination(120)
-    batch = playback.alert_windows(playback.playback_alerts(frame(spark, [event(n, 50 * n) for n in range(10)])))
-    assert values(spark.table("window_counts")) == values(batch)
+    got = spark.table("window_counts").groupBy("window_start", "window_end").agg(F.sum("n_alerts").alias("n_alerts"))
+    batch = playback.alert_windows(playback.playback_alerts(frame(spark, [*events, event(98, 7)])))
+    assert values(got, *batch.columns) == values(batch)
+    assert spark.table("window_counts").count() == batch.count() + 1

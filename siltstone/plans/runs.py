@@ -3,7 +3,8 @@
 The rules as declared by the original jobs can miss rows: an empty target loads nothing, rows that arrive late for a day
 already loaded are skipped, and the oldest month of a trailing window is left out. With `fixed`, a run instead takes
 what was loaded on or after the target's last load date; a model of groups rebuilds every group these rows touch from its
-whole source; and the cohort mart, in which one late payment can change other months, is rebuilt.
+whole source; and the cohort mart, in which one late payment can change other months, is rebuilt. Models that the original jobs
+build as tables are built anew each time.
 """
 
 from __future__ import annotations
@@ -23,15 +24,22 @@ from . import movies, trips
 LOAD_DATE = "run_date_bq"
 
 
+BUCKETS = 64
+
+
 @dataclass(frozen=True)
 class Model:
-    """`build` makes the model's rows from source rows. `rule` is load_date, event_date, lookback or trailing;
-    `time` the source column it reads, `mark` the target column with the latest one loaded. `group` gives the part of
-    a source row's group that has to be rebuilt as a whole; None for models with a row per source row."""
+    """`build` makes the model's rows from source rows, and from the tables named by `sides`, handed over by name.
+
+    `rule` is load_date, event_date, lookback, trailing, all (every source row, merged) or table (built anew each time);
+    `time` is the source column it reads, `mark` the target column with the latest one loaded. `group` gives the part of
+    a source row's group that has to be rebuilt as a whole; None for models with a row per source row. Tables with partitions have the
+    partition in their key, so a run reads and writes the partitions its rows fall into; other merged tables are bucketed by key.
+    `null_safe` says that parts of the key may be unknown; the declared merge then repeats such rows, the complete one does not."""
 
-    build: Callable[[DataFrame], DataFrame]
+    build: Callable[..., DataFrame]
     rule: str
-    keys: list[str]
+    keys: list[str] = field(default_factory=list)
     time: str = LOAD_DATE
     mark: str = LOAD_DATE
     group: Callable[[], Column] | None = None
@@ -40,6 +48,11 @@ class Model:
     newer_by: str | None = None
     null_safe: bool = False
     rebuilt: bool = False
+    sides: tuple[str, ...] = ()
+
+    @property
+    def buckets(self) -> int:
+        return BUCKETS if self.keys and not self.partition_by else 0
 
 
 def _prepared(name: str) -> Model:
@@ -57,6 +70,10 @@ def _monthly(build: Callable[[DataFrame], DataFrame], name: str, time: str, enti
     )
 
 
+def _table(build: Callable[..., DataFrame], *sides: str) -> Model:
+    return Model(build, "table", sides=sides)
+
+
 def _revenue_mart(payments: DataFrame) -> DataFrame:
     return movies.mart_subscription_revenue(movies.subscription_revenue(payments))
 
@@ -68,11 +85,21 @@ def _trip_month(build: Callable[[DataFrame], DataFrame]) -> Model:
     )
 
 
+def _run_date(rows: DataFrame) -> dt.date:
+    """A table model's run date: that of the newest rows it is built from."""
+    return rows.agg(F.max(LOAD_DATE)).first()[0]
+
+
 MODELS: dict[str, Model] = {
+    "prep_users": _table(movies.prep_users),
+    "prep_movies": _table(movies.prep_movies),
     "prep_subscriptions": _prepared("prep_subscriptions"),
     "prep_watch_sessions": _prepared("prep_watch_sessions"),
     "prep_payments": _prepared("prep_payments"),
     "prep_ratings": _prepared("prep_ratings"),
+    "dim_movies": _table(movies.dim_movies),
+    "dim_subscriptions": _table(movies.dim_subscriptions),
+    "dim_users": _table(movies.dim_users, "subscriptions"),
     "fact_user_activity": _fact(movies.fact_user_activity, "fact_user_activity", "start_time"),
     "fact_payments": _fact(movies.fact_payments, "fact_payments", "payment_date"),
     "fact_ratings": _fact(movies.fact_ratings, "fact_ratings", "rating_date"),
@@ -86,8 +113,16 @@ MODELS: dict[str, Model] = {
     "mart_subscription_revenue_monthly": _monthly(
         _revenue_mart, "mart_subscription_revenue_monthly", "payment_date", "subscription_id", rebuilt=True
     ),
+    "dim_location": _table(trips.dim_location),
     "prep_taxi_trip": _trip_month(lambda rows: trips.dedup_trips(trips.clean_trips(rows))),
     "fact_taxi_trip": _trip_month(lambda rows: rows),
+    "mart_taxi_trip_holiday_zone_flow": Model(
+        lambda facts, locations, holidays: trips.zone_flow(facts, locations, holidays, _run_date(facts)), "all", trips.ZONE_FLOW_KEY,
+        time="pickup_datetime", group=lambda: F.to_date("pickup_datetime"), partition_by=["trip_date"],
+        cluster_by=["pickup_zone", "dropoff_zone"], null_safe=True, sides=("locations", "holidays"),
+    ),
+    "mart_taxi_trip_holiday_daily": _table(lambda flow: trips.holiday_daily(flow, _run_date(flow))),
+    "mart_taxi_trip_holiday_summary": _table(lambda daily, holidays: trips.holiday_summary(daily, holidays, _run_date(daily)), "holidays"),
 }
 
 
@@ -99,7 +134,11 @@ def fresh_rows(model: Model, source: DataFrame, target: DataFrame, as_of: dt.dat
         return incremental.since_event_date(source, target, model.time, model.mark)
     if model.rule == "lookback":
         return incremental.lookback_months(source, target, model.time)
-    return incremental.trailing_months(source, model.time, as_of or dt.date.today())
+    if model.rule == "all":
+        return source
+    if as_of is None:
+        raise ValueError("a trailing window needs the run's date: as_of")
+    return incremental.trailing_months(source, model.time, as_of)
 
 
 def complete_rows(model: Model, source: DataFrame, target: DataFrame) -> DataFrame:
@@ -111,17 +150,24 @@ def complete_rows(model: Model, source: DataFrame, target: DataFrame) -> DataFra
     return source.join(touched, model.group().eqNullSafe(F.col("_touched")), "left_semi")
 
 
-def run(name: str, source: DataFrame, table: str, root: str, as_of: dt.date | None = None, full_refresh: bool = False, fixed: bool = False) -> None:
-    """Bring a model's table up to date from its source. `as_of` is the run's date, for trailing windows."""
+def run(
+    name: str, source: DataFrame, table: str, root: str, as_of: dt.date | None = None, full_refresh: bool = False, fixed: bool = False,
+    **sides: DataFrame,
+) -> None:
+    """Bring a model's table up to date from its source and side tables. `as_of` is the run's date, for trailing windows."""
     model, spark = MODELS[name], source.sparkSession
-    first = full_refresh or not writers.exists(spark, table) or (fixed and model.rebuilt)
+    if set(sides) != set(model.sides):
+        raise ValueError(f"{name} needs the tables {sorted(model.sides)}")
+    first = full_refresh or model.rule == "table" or not writers.exists(spark, table) or (fixed and model.rebuilt)
     if first:
         rows = source
     elif fixed:
         rows = complete_rows(model, source, spark.table(table))
     else:
         rows = fresh_rows(model, source, spark.table(table), as_of)
+    if not first and rows.isEmpty():
+        return
     writers.materialize(
-        model.build(rows), table, root, model.keys, model.partition_by, model.cluster_by,
-        full_refresh=first, null_safe=model.null_safe, newer_by=model.newer_by,
+        model.build(rows, **sides), table, root, model.keys, model.partition_by, model.cluster_by, full_refresh=first,
+        key_fixes_partition=True, null_safe=fixed and model.null_safe, newer_by=model.newer_by, buckets=model.buckets,
     )

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import with_md5_key
-from ..operators.merge import delete_where, merge_upsert
+from ..operators.merge import assert_unique, delete_where, merge_upsert
 
 FORMATS = ("parquet", "csv")
 
@@ -90,8 +90,17 @@ def _quoted(schema: T.StructType) -> str:
     return ", ".join(parts)
 
 
-def _define(spark: SparkSession, table: str, schema: T.StructType, location: str | None, partition_by: Sequence[str], absent: bool = False) -> None:
-    layout = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
+def _define(
+    spark: SparkSession, table: str, schema: T.StructType, location: str | None, partition_by: Sequence[str],
+    absent: bool = False, bucket_by: Sequence[str] = (), buckets: int = 0,
+) -> None:
+    layout = f" PARTITIONED BY ({_names(partition_by)})" if partition_by else ""
+    if buckets:
+        layout += f" CLUSTERED BY ({_names(bucket_by)}) SORTED BY ({_names(bucket_by)}) INTO {buckets} BUCKETS"
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE {'IF NOT EXISTS ' if absent else ''}{table} ({_quoted(schema)}) USING parquet{layout}{place}")
 
@@ -129,26 +138,63 @@ def _kept_definition(spark: SparkSession, table: str, schema: T.StructType) -> T
     return T.StructType([declared[f.name] if f.name in declared and declared[f.name].dataType == f.dataType else f for f in schema])
 
 
+def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str]]:
+    """Number of buckets and bucket columns of a table; 0 and none without."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    columns = told.get("Bucket Columns", "").strip("[]").replace("`", "")
+    return int(told.get("Num Buckets", 0)), [c.strip() for c in columns.split(",") if c.strip()]
+
+
+def _same_definition(spark: SparkSession, table: str, schema: T.StructType, bucket_by: Sequence[str], buckets: int) -> bool:
+    if any(c.isPartition for c in spark.catalog.listColumns(table)) or bucketing(spark, table) != (buckets, list(bucket_by)):
+        return False
+    return [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in schema]
+
+
+def _remove_versions(spark: SparkSession, root: str, current: str, keep: int) -> None:
+    """Delete all but the current version and the `keep` newest before it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [(f.getModificationTime(), f.getPath()) for f in system.listStatus(path) if f.isDirectory() and f.getPath().getName().startswith("v_")]
+    older = sorted((x for x in found if x[1].getName() != current), key=lambda x: (x[0], x[1].getName()), reverse=True)
+    for _, folder in older[keep:]:
+        system.delete(folder, True)
+
+
 def replace_table(
-    df: DataFrame, table: str, root: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
+    df: DataFrame, table: str, root: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (), buckets: int = 0, keep_versions: int = 1,
 ) -> None:
     """Write a new version of the table and point the catalog at it.
 
-    The new version is defined with the frame's own types under a name of its own and then takes the table's
-    name. The previous version's folder stays until housekeeping removes it, so running readers are not cut off.
+    The new version is defined with the frame's own types under a name of its own. Where the table has that definition
+    already and no partitions, it is pointed at the new files in one step; a table with another definition, or
+    with partitions, whose places the catalog holds one by one, gives its name to the new one by two renames, between which
+    the name is missing. `keep_versions` earlier versions stay, so running readers are not cut off; older ones are removed.
+    With `buckets`, rows are dealt by a hash of `bucket_by` and sorted by it within files, so that joins and merges on
+    these columns read the table without moving it.
     """
     spark = df.sparkSession
-    location = f"{root}/{_version()}"
+    version = _version()
+    location = f"{root}/{version}"
     rows = clustered(df, partition_by, cluster_by)
-    (rows.write.partitionBy(*partition_by) if partition_by else rows.write).parquet(location)
     new, old = (f"{table}_{kind}_{uuid.uuid4().hex[:8]}" for kind in ("new", "old"))
     fields = [f for f in _kept_definition(spark, table, df.schema) if f.name not in partition_by]
     fields += [df.schema[c] for c in partition_by]
-    _define(spark, new, T.StructType(fields), location, partition_by)
+    schema = T.StructType(fields)
+    if buckets:
+        _define(spark, new, schema, location, partition_by, bucket_by=bucket_by, buckets=buckets)
+        df.select(*schema.names).write.insertInto(new)
+    else:
+        (rows.write.partitionBy(*partition_by) if partition_by else rows.write).parquet(location)
+        _define(spark, new, schema, location, partition_by)
     if partition_by:
         spark.catalog.recoverPartitions(new)
     if not exists(spark, table):
         spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    elif not partition_by and _same_definition(spark, table, schema, bucket_by, buckets):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        spark.sql(f"DROP TABLE {new}")
     else:
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
         try:
@@ -158,6 +204,7 @@ def replace_table(
             raise
         spark.sql(f"DROP TABLE {old}")
     spark.catalog.refreshTable(table)
+    _remove_versions(spark, root, version, keep_versions)
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
@@ -193,6 +240,15 @@ def _touched_partitions(target: DataFrame, source: DataFrame, partition_by: Sequ
     return within.join(touched, reduce(lambda a, b: a & b, same), "left_semi")
 
 
+def merged_into_buckets(target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: int, newer_by: str | None = None) -> DataFrame:
+    """The merge of a source into a target that is bucketed by the keys.
+
+    Only the source is shuffled, by the same hash into as many partitions: the join reads the target bucket by bucket, and
+    every task of the result holds rows of one bucket, so writing it back moves nothing either.
+    """
+    return merge_upsert(target, source.repartition(buckets, *keys), keys, newer_by=newer_by, check_unique=False)
+
+
 def materialize(
     df: DataFrame,
     table: str,
@@ -204,21 +260,35 @@ def materialize(
     key_fixes_partition: bool = False,
     null_safe: bool = False,
     newer_by: str | None = None,
+    buckets: int = 0,
 ) -> None:
     """Persist a model.
 
     Without `keys`, on the first run, or with `full_refresh`, the table is replaced. Otherwise `df` is
-    merged on `keys`; see `merge_upsert` for `null_safe` and `newer_by`. `key_fixes_partition` promises that a key never moves to another partition (a key
-    that contains the event time); then only partitions present in `df` are read and rewritten.
+    merged on `keys`; see `merge_upsert` for `null_safe` and `newer_by`. `key_fixes_partition` promises that a key never moves to
+    another partition (a key that contains the event time); then only partitions present in `df` are read and rewritten. With
+    `buckets`, the table is bucketed by its keys and a merge moves the source only; a table that is not bucketed so yet is laid out
+    anew by its next merge. Rows without a complete key are in no bucket of their own, so `null_safe` excludes `buckets`.
     """
     spark = df.sparkSession
+    if buckets and (null_safe or partition_by):
+        raise ValueError("buckets need complete keys and a table without partitions")
+    bucket_by = list(keys) if buckets else []
     if full_refresh or not keys or not exists(spark, table):
-        replace_table(df, table, root, partition_by, cluster_by)
+        rows = df.repartition(buckets, *keys) if buckets and keys else df
+        replace_table(rows, table, root, partition_by, cluster_by, bucket_by, buckets if keys else 0)
         return
     with staged(df, root) as source:
         target = spark.table(table)
         options = {"null_safe": null_safe, "newer_by": newer_by}
-        if key_fixes_partition and partition_by:
+        if buckets:
+            assert_unique(source, keys)
+            if bucketing(spark, table) == (buckets, bucket_by):
+                merged = merged_into_buckets(target, source, keys, buckets, newer_by)
+            else:
+                merged = merge_upsert(target, source, keys, newer_by=newer_by, check_unique=False).repartition(buckets, *keys)
+            replace_table(merged, table, root, partition_by, cluster_by, bucket_by, buckets)
+        elif key_fixes_partition and partition_by:
             merged = merge_upsert(_touched_partitions(target, source, partition_by), source, keys, **options)
             overwrite_partitions(clustered(merged, partition_by, cluster_by), table)
             spark.catalog.refreshTable(table)

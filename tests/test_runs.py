@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
-from support import values
 from pyspark.sql import functions as F
+from support import values
 
 from siltstone.plans import movies, runs, trips
 
@@ -68,7 +69,8 @@ def source_of(spark, name):
     return movies.fact_movie_popularity(activity) if name == "mart_movie_popularity_monthly" else activity
 
 
-NAMES = [n for n in runs.MODELS if n not in ("prep_subscriptions", "prep_ratings", "fact_ratings", "mart_movie_rating_monthly")]
+ALIKE = ("prep_subscriptions", "prep_ratings", "fact_ratings", "mart_movie_rating_monthly")
+NAMES = [n for n, m in runs.MODELS.items() if m.rule not in ("table", "all") and n not in ALIKE]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -96,3 +98,78 @@ def test_declared_rule_skips_late_rows(spark, tmp_path):
 def test_partitions_and_clustering_are_those_declared(spark, tmp_path):
     runs.run("prep_taxi_trip", trip_rows(spark), "declared_trips", str(tmp_path / "t"))
     assert [c.name for c in spark.catalog.listColumns("declared_trips") if c.isPartition] == ["pickup_month"]
+
+
+def files_of(spark, table):
+    """Files of a table with the time they were written."""
+    return {f: os.stat(f.removeprefix("file:")).st_mtime_ns for f in (r[0] for r in spark.table(table).select("_metadata.file_path").distinct().collect())}
+
+
+def test_a_run_rewrites_only_the_months_it_touches(spark, tmp_path):
+    table, root = "touched_trips", str(tmp_path / "t")
+    # Loads on or after the last one are read again: those are March's.
+    rows = trip_rows(spark).withColumn("run_date_bq", F.make_date(F.lit(2024), F.lit(4), F.month("pickup_datetime")))
+    runs.run("prep_taxi_trip", rows, table, root, fixed=True)
+    before, n = files_of(spark, table), spark.table(table).count()
+    march = rows.where("month(pickup_datetime) = 3").withColumn("md5_key", F.concat("md5_key", F.lit("new"))).withColumn("run_date_bq", F.lit(D(2024, 4, 9)))
+    runs.run("prep_taxi_trip", rows.unionByName(march), table, root, fixed=True)
+    after = files_of(spark, table)
+    kept = {f for f in before if after.get(f) == before[f]}
+    assert {f.split("pickup_month=")[1][:7] for f in kept} == {"2024-01", "2024-02"}
+    assert {f.split("pickup_month=")[1][:7] for f in set(after) - kept} == {"2024-03"}
+    assert spark.table(table).count() == n + march.select("md5_key").distinct().count()
+
+
+def zone_tables(spark):
+    locations = spark.createDataFrame([(1, "East"), (2, "West")], "locationid long, zone string")
+    days = [(D(2024, m, 3), h, "Sunday") for m in (1, 2, 3) for h in range(24)]
+    return {"locations": locations, "holidays": spark.createDataFrame(days, "date date, hour long, holiday_type string")}
+
+
+def test_zone_flow_is_kept_by_day(spark, tmp_path):
+    """Unknown zones are part of the key: the declared merge repeats their rows, the complete one does not."""
+    facts = trips.dedup_trips(trip_rows(spark)).withColumn("pulocationid", F.when(F.month("pickup_datetime") < 3, F.col("pulocationid")).otherwise(F.lit(99)))
+    name, sides = "mart_taxi_trip_holiday_zone_flow", zone_tables(spark)
+    first = facts.where("run_date_bq = date '2024-04-01'")
+    for _ in range(2):
+        runs.run(name, first, "flow_steps", str(tmp_path / "a"), fixed=True, **sides)
+    runs.run(name, facts, "flow_steps", str(tmp_path / "a"), fixed=True, **sides)
+    runs.run(name, facts, "flow_whole", str(tmp_path / "b"), full_refresh=True, **sides)
+    columns = [c for c in spark.table("flow_whole").columns if c != "run_date_bq"]
+    assert values(spark.table("flow_steps"), *columns) == values(spark.table("flow_whole"), *columns)
+    assert [c.name for c in spark.catalog.listColumns("flow_whole") if c.isPartition] == ["trip_date"]
+    assert spark.table("flow_whole").where("pickup_zone is null").count() == 1
+    runs.run(name, facts, "flow_whole", str(tmp_path / "b"), **sides)
+    assert spark.table("flow_whole").where("pickup_zone is null").count() == 2
+
+
+def test_table_models_are_built_anew(spark, tmp_path):
+    facts, sides = trips.dedup_trips(trip_rows(spark)), zone_tables(spark)
+    runs.run("mart_taxi_trip_holiday_zone_flow", facts, "tm_flow", str(tmp_path / "f"), **sides)
+    for _ in range(2):
+        runs.run("mart_taxi_trip_holiday_daily", spark.table("tm_flow"), "tm_daily", str(tmp_path / "d"))
+        runs.run("mart_taxi_trip_holiday_summary", spark.table("tm_daily"), "tm_summary", str(tmp_path / "s"), holidays=sides["holidays"])
+    run_date = facts.agg(F.max("run_date_bq")).first()[0]
+    daily = trips.holiday_daily(trips.zone_flow(facts, sides["locations"], sides["holidays"], run_date), run_date)
+    assert values(spark.table("tm_daily")) == values(daily)
+    assert values(spark.table("tm_summary")) == values(trips.holiday_summary(daily, sides["holidays"], run_date))
+    with pytest.raises(ValueError, match="holidays"):
+        runs.run("mart_taxi_trip_holiday_summary", spark.table("tm_daily"), "tm_summary", str(tmp_path / "s"))
+
+
+def test_every_reference_model_is_declared():
+    """Names of the models: fixed values."""
+    assert set(runs.MODELS) == {
+        "prep_users", "prep_movies", "prep_subscriptions", "prep_watch_sessions", "prep_payments", "prep_ratings", "prep_taxi_trip",
+        "dim_movies", "dim_subscriptions", "dim_users", "dim_location",
+        "fact_user_activity", "fact_payments", "fact_ratings", "fact_movie_popularity", "fact_taxi_trip",
+        "mart_movie_popularity_monthly", "mart_movie_rating_monthly", "mart_user_activity_monthly", "mart_subscription_revenue_monthly",
+        "mart_taxi_trip_holiday_zone_flow", "mart_taxi_trip_holiday_daily", "mart_taxi_trip_holiday_summary",
+    }
+
+
+def test_trailing_window_needs_its_date(spark, tmp_path):
+    source = source_of(spark, "mart_user_activity_monthly")
+    runs.run("mart_user_activity_monthly", source, "dated", str(tmp_path / "t"), full_refresh=True)
+    with pytest.raises(ValueError, match="as_of"):
+        runs.run("mart_user_activity_monthly", source, "dated", str(tmp_path / "t"))

@@ -5,8 +5,8 @@ import hashlib
 import json
 
 import pytest
-from support import values
 from pyspark.sql import functions as F
+from support import values
 from pyspark.sql import types as T
 
 from siltstone.operators import merge
@@ -250,3 +250,70 @@ def test_null_safe_and_newer_rows_through_materialize(spark, tmp_path, name):
     # The default matches no NULL: such rows are inserted again.
     writers.materialize(rows, name, root, ["k", "j"])
     assert spark.table(name).count() == 5
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_into_buckets_moves_the_source_only(spark, tmp_path, name):
+    root = str(tmp_path / name)
+    rows = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    writers.materialize(rows, name, root, ["k"], buckets=8)
+    assert writers.bucketing(spark, name) == (8, ["k"])
+    changed = spark.range(4990, 5020).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = writers.merged_into_buckets(spark.table(name), changed, ["k"], 8)
+        # The one kind of exchange is the stated one of the source; the join asks for none.
+        assert "Bucketed: true" in plan_of(merged) and "REPARTITION_BY_NUM" in plan_of(merged)
+        assert "ENSURE_REQUIREMENTS" not in plan_of(merged)
+        other = writers.merge_upsert(spark.table(name), changed.withColumn("v", F.col("k") % 7), ["v"], check_unique=False)
+        assert "ENSURE_REQUIREMENTS" in plan_of(other)  # another key has to move the table
+        for _ in range(2):
+            writers.materialize(changed, name, root, ["k"], buckets=8)
+            assert writers.bucketing(spark, name) == (8, ["k"])
+            assert spark.table(name).count() == 5020
+            assert spark.table(name).where("v = -1").count() == 30
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Every file holds one bucket: the merge wrote its rows where they were.
+    folder = max((tmp_path / name).glob("v_*"), key=lambda p: p.stat().st_mtime_ns)
+    assert len(list(folder.glob("part-*.parquet"))) <= 2 * 8
+
+
+def test_bucketed_merge_keeps_newer_rows_and_incomplete_keys(spark, tmp_path, name):
+    root = str(tmp_path / name)
+    schema = "k long, at long, v string"
+    writers.materialize(spark.createDataFrame([(1, 5, "a"), (2, 5, "b"), (None, 1, "n")], schema), name, root, ["k"], buckets=4)
+    writers.materialize(spark.createDataFrame([(1, 4, "old"), (2, 6, "new"), (3, 1, "c"), (None, 2, "m")], schema), name, root, ["k"], buckets=4, newer_by="at")
+    assert values(spark.table(name)) == sorted([(1, 5, "a"), (2, 6, "new"), (3, 1, "c"), (None, 1, "n"), (None, 2, "m")], key=repr)
+    with pytest.raises(merge.DuplicateKeyError):
+        writers.materialize(spark.createDataFrame([(7, 1, "x"), (7, 2, "y")], schema), name, root, ["k"], buckets=4)
+    with pytest.raises(ValueError, match="buckets"):
+        writers.materialize(spark.createDataFrame([(7, 1, "x")], schema), name, root, ["k"], buckets=4, null_safe=True)
+
+
+def test_plain_table_is_bucketed_by_its_next_merge(spark, tmp_path, name):
+    root = str(tmp_path / name)
+    writers.materialize(spark.range(10).withColumn("v", F.lit("a")), name, root, ["id"])
+    writers.materialize(spark.range(5, 15).withColumn("v", F.lit("b")), name, root, ["id"], buckets=4)
+    assert writers.bucketing(spark, name) == (4, ["id"])
+    assert values(spark.table(name).groupBy("v").count()) == [("a", 5), ("b", 10)]
+
+
+def test_same_definition_is_swapped_in_one_step(spark, tmp_path, name, monkeypatch):
+    """No rename, so the name is never missing; old versions go, but the one before stays for running readers."""
+    root = str(tmp_path / name)
+    spark.createDataFrame([(0, "x")], "id long, v string").createOrReplaceTempView("unused")
+    writers.replace_table(spark.createDataFrame([(0, "x")], "id long, v string"), name, root)
+    said = []
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **b: (said.append(text), sql(self, text, *a, **b))[1])
+    for k in range(1, 4):
+        reader = spark.table(name)
+        writers.replace_table(spark.createDataFrame([(k, "y")], "id long, v string"), name, root)
+        assert reader.collect()[0][0] == k - 1  # planned before the swap
+        assert values(spark.table(name)) == [(k, "y")]
+    assert not any("RENAME" in text for text in said)
+    assert len(list((tmp_path / name).glob("v_*"))) == 2

@@ -8,6 +8,9 @@ per sentence. The pairs of sentences are never formed, and the cost is linear in
 Spark splits the texts, counts terms and gathers the counts per document; the text is hash partitioned by
 document once and the aggregates need no further exchange. Only the fixed-point iteration
 runs in Python, on Arrow batches that hold many documents at a time.
+
+A document of more than `LARGE_CHARS` characters does not stand in one row: its walk runs over rows of sentences and terms
+(`sentence_walk`), to the same scores.
 """
 
 from __future__ import annotations
@@ -15,19 +18,21 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from .sentence_walk import NO_TERM, sentence_rows, walk_scores
 
 DAMPING = 0.85
 # The walk of a document ends when no score moves by more.
 TOLERANCE = 1e-13
+# Characters up to which a document's terms stand in one row.
+LARGE_CHARS = 4_000_000
 
 # A summary sentence is kept if it mentions one of these.
 LEGAL_KEYWORDS = ("putusan", "terdakwa", "hukuman", "pidana", "perdata", "amar")
 
-_NO_TERM = r"[^\p{L}\p{N}]+"
 _CUT = "\u0001"
 
 
@@ -55,7 +60,7 @@ def document_terms(split: DataFrame, doc_id: str) -> DataFrame:
     each = split.select(
         doc_id, F.size("sentences").alias("n"), F.posexplode_outer("sentences").alias("position", "sentence")
     ).where(F.col("position").isNotNull())
-    words = each.select(doc_id, "n", "position", F.explode_outer(F.split(F.lower("sentence"), _NO_TERM)).alias("word"))
+    words = each.select(doc_id, "n", "position", F.explode_outer(F.split(F.lower("sentence"), NO_TERM)).alias("word"))
     # The empty word stays with frequency 0, so that a sentence without any term is not lost.
     counted = words.groupBy(doc_id, "n", "position", "word").agg(F.count(F.when(F.col("word") != "", 1)).alias("tf"))
     return counted.groupBy(doc_id, "n").agg(F.collect_list(F.struct("position", "word", "tf")).alias("entries"))
@@ -112,16 +117,43 @@ def sentence_scores(
     return terms.select(doc_id, scores("n", "entries").alias("scores"))
 
 
+def by_size(documents: DataFrame, text: str, large_chars: int = LARGE_CHARS) -> tuple[DataFrame, DataFrame | None]:
+    """(ordinary documents, large ones or None where there are none)."""
+    large = documents.where(F.length(text) > large_chars)
+    if large.isEmpty():
+        return documents, None
+    return documents.where(~F.coalesce(F.length(text) > large_chars, F.lit(False))), large
+
+
+def _rank(score: Column) -> Column:
+    """Scores are compared after rounding to 10 digits, so that equal sentences do not trade places when sums are added in another order."""
+    return -F.round(score, 10)
+
+
+def _top_of_large(documents: DataFrame, doc_id: str, text: str, n_sentences: int, tolerance: float, damping: float) -> DataFrame:
+    rows = sentence_rows(documents, doc_id, sentences_of(F.col(text)))
+    scores = walk_scores(rows, doc_id, tolerance, damping)
+    order = Window.partitionBy(doc_id).orderBy(_rank(F.col("score")), "position")
+    best = scores.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n_sentences).select(doc_id, "position")
+    chosen = F.array_sort(F.collect_list(F.struct("position", "sentence")))
+    return best.join(rows.select(doc_id, "position", "sentence"), [doc_id, "position"]).groupBy(doc_id).agg(chosen.alias("chosen"))
+
+
 def top_sentences(
-    documents: DataFrame, doc_id: str, text: str, n_sentences: int, tolerance: float = TOLERANCE
+    documents: DataFrame, doc_id: str, text: str, n_sentences: int, tolerance: float = TOLERANCE, large: bool | None = None
 ) -> DataFrame:
     """(doc_id, chosen): the n most central sentences per document as (position, sentence), in text order.
 
-    Scores are compared after rounding to 10 digits and then by position, so that equal sentences do not
-    trade places when sums are added in another order.
+    `large` says that all documents are large, or that none is; by default they are told apart by their length.
     """
+    if large is None:
+        documents, long_ones = by_size(documents, text)
+        top = top_sentences(documents, doc_id, text, n_sentences, tolerance, large=False)
+        return top if long_ones is None else top.unionByName(top_sentences(long_ones, doc_id, text, n_sentences, tolerance, large=True))
+    if large:
+        return _top_of_large(documents, doc_id, text, n_sentences, tolerance, DAMPING)
     scores = sentence_scores(documents, doc_id, text, tolerance)
-    ranked = F.array_sort(F.transform("scores", lambda s, i: F.struct((-F.round(s, 10)).alias("rank"), i.alias("position"))))
+    ranked = F.array_sort(F.transform("scores", lambda s, i: F.struct(_rank(s).alias("rank"), i.alias("position"))))
     best = F.array_sort(F.transform(F.slice(ranked, 1, n_sentences), lambda r: r["position"]))
     # The sentences are looked up in the documents again, whose exchange is the one used above.
     split = _by_document(documents, doc_id, text)
@@ -130,10 +162,10 @@ def top_sentences(
 
 
 def summaries(
-    documents: DataFrame, doc_id: str, text: str, n_sentences: int, tolerance: float = TOLERANCE
+    documents: DataFrame, doc_id: str, text: str, n_sentences: int, tolerance: float = TOLERANCE, large: bool | None = None
 ) -> DataFrame:
     """(doc_id, summary): the n most central sentences in text order, joined by a space."""
-    top = top_sentences(documents, doc_id, text, n_sentences, tolerance)
+    top = top_sentences(documents, doc_id, text, n_sentences, tolerance, large)
     return top.select(doc_id, F.array_join(F.transform("chosen", lambda c: c["sentence"]), " ").alias("summary"))
 
 

@@ -12,7 +12,7 @@ from ..functions import html as h
 from ..functions.dates import MONTH_NUMBERS, indonesian_date, indonesian_date_within
 from ..functions.text import path_safe, strip, title_case
 from ..operators.frames import computed_once
-from ..operators.summarise import keyword_sentences, summaries
+from ..operators.summarise import by_size, keyword_sentences, summaries
 
 MERGE_KEY = ["no_putusan"]
 SUMMARY_SENTENCES = 2
@@ -200,9 +200,12 @@ def document_extracts(
     (no decision number or no defendant)."""
     cleaned = clean_documents(documents, doc_id, text)
     fields = computed_once(extract_fields(cleaned).drop("clean_text"), [doc_id])
-    short = summaries(cleaned, doc_id, "clean_text", n_sentences).select(
-        doc_id, keyword_sentences(F.col("summary")).alias("summary_extractive_short")
-    )
+    # Lengths are those of the raw texts: cleaning only shortens them.
+    ordinary, large = by_size(documents, text)
+    short = summaries(clean_documents(ordinary, doc_id, text), doc_id, "clean_text", n_sentences, large=False)
+    if large is not None:
+        short = short.unionByName(summaries(clean_documents(large, doc_id, text), doc_id, "clean_text", n_sentences, large=True))
+    short = short.select(doc_id, keyword_sentences(F.col("summary")).alias("summary_extractive_short"))
     return (
         fields.join(short, doc_id, "left")
         .select(doc_id, "no_putusan", *EXTRACT_FIELDS)

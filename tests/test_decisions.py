@@ -3,15 +3,15 @@ from __future__ import annotations
 import datetime as dt
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from support import values
 from pyspark.sql import functions as F
+from support import values
 
 from siltstone.functions import decisions as d
-from siltstone.operators import summarise
+from siltstone.operators import sentence_walk, summarise
 from siltstone.plans import decisions
 
 DOCUMENT = """Direktori Putusan
@@ -246,6 +246,37 @@ def test_summary_properties(spark):
     assert summary[2] == "Hanya satu kalimat."
 
 
+def test_rows_score_like_arrays(spark):
+    """The walk over rows gives the scores of the full matrix, each document resting in its own round."""
+    docs = spark.createDataFrame(list(TEXTS.items()) + [(6, ""), (7, None)], "doc_id long, text string")
+    rows = sentence_walk.sentence_rows(docs, "doc_id", summarise.sentences_of(F.col("text")))
+    matrix, _ = sentence_walk.term_matrix(rows, "doc_id")
+    assert "collect_list" not in matrix._jdf.queryExecution().executedPlan().toString()
+    got = defaultdict(dict)
+    for r in sentence_walk.walk_scores(rows, "doc_id", 1e-11, summarise.DAMPING).collect():
+        got[r["doc_id"]][r["position"]] = r["score"]
+    arrays = {r["doc_id"]: r["scores"] for r in summarise.sentence_scores(docs, "doc_id", "text").collect()}
+    assert set(got) == set(arrays)
+    for key, scores in arrays.items():
+        assert sorted(got[key]) == list(range(len(scores)))
+        assert np.allclose([got[key][k] for k in range(len(scores))], scores, atol=1e-10)
+    assert sentence_walk.rounds_needed(1e-13, 0.85) < 40
+
+
+def test_large_documents_are_summarised_alike(spark, monkeypatch):
+    docs = spark.createDataFrame(list(TEXTS.items()) + [(6, ""), (7, None)], "doc_id long, text string")
+    want = values(summarise.summaries(docs, "doc_id", "text", 3, 1e-9))
+    monkeypatch.setattr(summarise, "by_size", lambda d, text: (d.where("doc_id in (2, 6, 7)"), d.where("doc_id not in (2, 6, 7)")))
+    assert values(summarise.summaries(docs, "doc_id", "text", 3, 1e-9)) == want
+
+
+def test_sizes_part_documents(spark):
+    docs = spark.createDataFrame([(1, "a" * 50), (2, "b"), (3, None)], "doc_id long, text string")
+    small, large = summarise.by_size(docs, "text", 10)
+    assert values(small, "doc_id") == [(2,), (3,)] and values(large, "doc_id") == [(1,)]
+    assert summarise.by_size(docs, "text", 50)[1] is None
+
+
 def test_keyword_sentences(spark):
     rows = spark.createDataFrame(
         [("Ini Putusan hakim. Cuaca cerah. Pidana berat.",), ("Cuaca cerah. Hari baik.",)], "s string"

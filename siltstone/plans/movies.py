@@ -13,6 +13,9 @@ from ..functions.amounts import exact_mean
 from ..functions.dates import day_tag, month_start, month_tag, whole_minutes
 from ..functions.text import initcap_words
 from ..operators.dedup import keep_latest
+from ..operators.deltas import change_set, group_states, moved_states
+from ..operators.distinct_states import counted, states, united
+from ..operators.merge import merge_upsert
 
 # Share of a title watched that counts as completed.
 COMPLETION_THRESHOLD = 0.85
@@ -270,6 +273,28 @@ def mart_movie_popularity_exact(activity: DataFrame) -> DataFrame:
     )
 
 
+def popularity_states(activity: DataFrame) -> DataFrame:
+    """Mergeable daily states per movie: viewers as bitmaps, counts and sums. A load's states are appended to earlier ones."""
+    return states(
+        activity, ["movie_id", "date_key"], "user_id",
+        F.count("session_id").alias("total_watch_count"),
+        F.sum("watch_duration_minutes").alias("total_watch_time"),
+        F.count("watch_duration_minutes").alias("timed"),
+        F.max("run_date_bq").alias("run_date_bq"),
+    )
+
+
+def mart_movie_popularity_from_states(daily: DataFrame) -> DataFrame:
+    """`mart_movie_popularity_exact` from the daily states, without the sessions."""
+    sums = [F.sum(c).alias(c) for c in ("total_watch_count", "total_watch_time", "timed")] + [F.max("run_date_bq").alias("run_date_bq")]
+    months = united(daily.withColumn("month_key", month_start(F.col("date_key"))), ["movie_id", "month_key"], *sums)
+    mean = F.try_divide(F.col("total_watch_time").cast("double"), F.col("timed").cast("double"))
+    return counted(months, ["movie_id", "month_key"], "unique_viewers", *sums).select(
+        "movie_id", "month_key", "total_watch_count", "unique_viewers", mean.alias("avg_watch_duration"), "total_watch_time", "run_date_bq",
+        _month_key("movie_id").alias("movie_month_key"),
+    )
+
+
 def mart_movie_rating(ratings: DataFrame) -> DataFrame:
     return (
         ratings.withColumn("month_key", month_start(F.col("date_key")))
@@ -299,6 +324,53 @@ def mart_user_activity(activity: DataFrame) -> DataFrame:
     )
 
 
+# The user activity mart kept by changes: its sums and maximum over sessions with their month.
+ACTIVITY_GROUP = ["user_id", "month_key"]
+
+
+def activity_months(activity: DataFrame) -> DataFrame:
+    return activity.withColumn("month_key", month_start(F.col("date_key")))
+
+
+def _activity_measures() -> tuple[dict, dict]:
+    completed = F.when(F.col("completed_flag"), 1).otherwise(0).cast("bigint")
+    sums = {"minutes": F.col("watch_duration_minutes"), "sessions": F.when(F.col("session_id").isNotNull(), F.lit(1).cast("bigint")), "completed": completed}
+    return sums, {"run_date_bq": F.col("run_date_bq")}
+
+
+def activity_states(activity: DataFrame) -> DataFrame:
+    """Sums, counts and latest load per user and month, from all sessions."""
+    return group_states(activity_months(activity), ACTIVITY_GROUP, *_activity_measures())
+
+
+def moved_activity_states(held: DataFrame, changes: DataFrame, activity_after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(states of the user months that the session changes touch, user months without sessions now)."""
+    return moved_states(held, activity_months(changes), activity_months(activity_after), ACTIVITY_GROUP, *_activity_measures())
+
+
+def kept_activity_states(held: DataFrame, moved: DataFrame, gone: DataFrame) -> DataFrame:
+    """All states after a change: the untouched, the moved, and none of the groups without sessions."""
+    left = held.join(gone.withColumnsRenamed({c: f"_{c}" for c in ACTIVITY_GROUP}), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ACTIVITY_GROUP], "left_anti")
+    return merge_upsert(left, moved, ACTIVITY_GROUP, null_safe=True, check_unique=False)
+
+
+def corrected_activity_states(held: DataFrame, activity: DataFrame, incoming: DataFrame) -> DataFrame:
+    """States after sessions came late or were corrected; `activity` are the sessions before."""
+    changes = change_set(activity, incoming, KEYS["fact_user_activity"])
+    after = merge_upsert(activity, incoming, KEYS["fact_user_activity"], check_unique=False)
+    return kept_activity_states(held, *moved_activity_states(held, changes, after))
+
+
+def mart_user_activity_from_states(held: DataFrame) -> DataFrame:
+    """`mart_user_activity` from its states."""
+    minutes = F.when(F.col("minutes_n") > 0, F.col("minutes"))
+    return held.select(
+        "user_id", "month_key", minutes.alias("total_watch_time_minutes"), F.col("sessions").alias("total_sessions"),
+        F.try_divide(minutes.cast("double"), F.col("minutes_n").cast("double")).alias("avg_watch_duration"),
+        F.col("completed").alias("completed_sessions"), "run_date_bq", _month_key("user_id").alias("user_month_key"),
+    )
+
+
 def _status_count(status: str):
     return F.sum(F.when(F.col("status") == status, 1).otherwise(0).cast("bigint")).alias(f"status_{status}")
 

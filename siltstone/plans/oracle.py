@@ -836,6 +836,8 @@ def statements() -> dict[str, str]:
         "fact_payments": f"select {money} from fact_payments",
         "mart_movie_popularity": "select * from mart_movie_popularity",
         "mart_movie_popularity_fixed": "select * from mart_movie_popularity_exact",
+        "mart_movie_popularity_states": "select * from mart_movie_popularity_exact",
+        "mart_user_activity_deltas": "select * from mart_user_activity",
         "mart_movie_rating": "select * from mart_movie_rating",
         "mart_user_activity": "select * from mart_user_activity",
         "mart_subscription_revenue": "select * from mart_subscription_revenue",

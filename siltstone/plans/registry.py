@@ -475,6 +475,24 @@ def mart_movie_popularity_fixed(w: Warehouse) -> DataFrame:
     return movies.mart_movie_popularity_exact(w.fact_user_activity())
 
 
+@_query
+def mart_movie_popularity_states(w: Warehouse) -> DataFrame:
+    """States of two loads, of which the second repeats a day of viewers, appended and rolled up."""
+    activity = w.fact_user_activity()
+    loads = [movies.popularity_states(activity.where(F.col("session_id") % 3 == 0)), movies.popularity_states(activity.where(F.col("session_id") % 3 != 0))]
+    return movies.mart_movie_popularity_from_states(loads[0].unionByName(loads[1]))
+
+
+@_query
+def mart_user_activity_deltas(w: Warehouse) -> DataFrame:
+    """States of sessions of which some were still missing and some wrong, moved by the late and the corrected ones."""
+    activity = w.kept(w.fact_user_activity())
+    late, wrong = F.col("session_id") % 10 == 0, F.col("session_id") % 7 == 1
+    before = activity.where(~late).withColumn("watch_duration_minutes", F.when(wrong, F.col("watch_duration_minutes") + 5).otherwise(F.col("watch_duration_minutes")))
+    states = movies.corrected_activity_states(movies.activity_states(before), before, activity.where(late | wrong))
+    return movies.mart_user_activity_from_states(states)
+
+
 @_query
 def subscription_cohorts(w: Warehouse) -> DataFrame:
     return movies.subscription_cohorts(w.subscription_revenue())

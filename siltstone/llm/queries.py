@@ -29,11 +29,12 @@ def warc_query(spark: SparkSession, folder: str) -> DataFrame:
     response = F.col("response")
     revisit = response.record_type == "revisit"
     return found.select(
-        warc.page_of(F.col("capture")).alias("page_id"),
+        warc.page_told(F.col("metadata.block")).alias("page_id"),
         response.http_length.alias("payload_bytes"),
         F.when(revisit, response.digest).otherwise(response.block_sha1).alias("payload_digest"),
         response.record_type.alias("record_type"),
         F.when(revisit, warc.page_of(response.refers_to)).alias("refers_to"),
+        F.col("request.target_uri").alias("target_uri"),
     )
 
 
@@ -121,12 +122,12 @@ def queries() -> dict[str, Query]:
 
 
 WARC_SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest FROM p),
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, translate(coalesce(url, ''), chr(10) || chr(13), '') AS target_uri FROM pages),
+d AS (SELECT page_id, target_uri, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest FROM p),
 h AS (SELECT payload_digest, max(page_id) AS holder FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
 SELECT page_id, payload_bytes, d.payload_digest,
        CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN holder <> page_id THEN holder END AS refers_to
+       CASE WHEN holder <> page_id THEN holder END AS refers_to, target_uri
 FROM d LEFT JOIN h ON d.payload_digest = h.payload_digest AND payload_bytes >= 1000
 """
 

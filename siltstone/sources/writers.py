@@ -9,12 +9,13 @@ version in place: a new definition is complete before it takes the table's name.
 from __future__ import annotations
 
 import datetime as dt
+import os
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,15 +46,80 @@ def stamped(df: DataFrame, run_date: dt.date, name: str = "run_date_bq") -> Data
     return df.withColumn(name, F.lit(run_date))
 
 
+_RANK_BITS = 6
+
+
+def _ordinal(df: DataFrame, column: str, skip: int = 0) -> Column:
+    """A number in the order of the column's values; of texts, of the six bytes after the first `skip` ones."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType | T.BinaryType):
+        digits = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), skip + 1, 6)), 12, "0")
+        return F.conv(digits, 16, 10).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    return F.col(column).cast("double")
+
+
+def _common_prefixes(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Bytes with which all values of each text column begin: those that the least and the greatest share."""
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType | T.BinaryType)]
+    if not texts:
+        return {}
+    ends = df.agg(*(f(F.col(c).cast("binary")).alias(f"{f.__name__}_{c}") for c in texts for f in (F.min, F.max))).first()
+    return {c: len(os.path.commonprefix([bytes(ends[f"min_{c}"] or b""), bytes(ends[f"max_{c}"] or b"")])) for c in texts}
+
+
+def _cuts_below(cuts: Sequence[float], value: Column) -> Column:
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= value))
+
+
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = _RANK_BITS) -> Column:
+    """A number in which rows near in all columns are near: the bits of each value's rank among 2**bits quantiles, by turns.
+
+    The quantiles are those of all rows, from one aggregate; its result is of fixed size. NULL ranks lowest.
+    """
+    prefixes = _common_prefixes(df, columns)
+    values = {c: _ordinal(df, c, prefixes.get(c, 0)) for c in columns}
+    shares = F.array(*(F.lit(k / 2**bits) for k in range(1, 2**bits)))
+    cuts = df.agg(*(F.percentile_approx(v, shares, F.lit(100 * 2**bits)).alias(c) for c, v in values.items())).first()
+    key = F.lit(0).cast("bigint")
+    for place, (c, value) in enumerate(values.items()):
+        known = sorted(set(cuts[c] or ()))
+        if not known:
+            continue
+        rank = F.when(F.col(c).isNull(), 0).otherwise(_cuts_below(known, value)).cast("bigint")
+        for bit in range(bits):
+            key = key + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("bigint")), bit * len(values) + place)
+    return key
+
+
 def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
-    """Rows laid out for writing: grouped by partition, sorted by the clustering columns within files.
+    """Rows laid out for writing: by partition, and within one by ranges of the clustering columns.
 
-    The rebalance hint lets AQE split a partition value that holds much of the data (a hot month) over
-    several tasks and merge the small ones, so file sizes follow the advisory size, not the key.
+    Without clustering columns the rebalance hint lets AQE split a partition value that holds much of the data (a hot month)
+    over several tasks and merge the small ones. With them, rows are range partitioned by the partition columns and the interleaved
+    clustering columns, from sampled bounds: a hot partition becomes several files, each with a small part of every
+    column's range, and a filter on any of the columns skips the others by their statistics. This reads `df` up to four
+    times (ends of texts, quantiles, sample, rows).
     """
-    grouped = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
-    order = [*partition_by, *cluster_by]
-    return grouped.sortWithinPartitions(*order) if order else grouped
+    if not cluster_by:
+        grouped = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+        return grouped.sortWithinPartitions(*partition_by) if partition_by else grouped
+    keyed = df.withColumn("_layout", interleaved(df, cluster_by))
+    ordered = keyed.repartitionByRange(*partition_by, "_layout").sortWithinPartitions(*partition_by, "_layout", *cluster_by)
+    return ordered.drop("_layout")
+
+
+@contextmanager
+def laid_out(df: DataFrame, root: str, partition_by: Sequence[str], cluster_by: Sequence[str]) -> Iterator[DataFrame]:
+    """The rows as `clustered`, from a staging folder where they are read several times."""
+    if not cluster_by:
+        yield clustered(df, partition_by, cluster_by)
+        return
+    with staged(df, root) as rows:
+        yield clustered(rows, partition_by, cluster_by)
 
 
 def _remove(spark: SparkSession, location: str) -> None:
@@ -177,7 +243,6 @@ def replace_table(
     spark = df.sparkSession
     version = _version()
     location = f"{root}/{version}"
-    rows = clustered(df, partition_by, cluster_by)
     new, old = (f"{table}_{kind}_{uuid.uuid4().hex[:8]}" for kind in ("new", "old"))
     fields = [f for f in _kept_definition(spark, table, df.schema) if f.name not in partition_by]
     fields += [df.schema[c] for c in partition_by]
@@ -186,7 +251,8 @@ def replace_table(
         _define(spark, new, schema, location, partition_by, bucket_by=bucket_by, buckets=buckets)
         df.select(*schema.names).write.insertInto(new)
     else:
-        (rows.write.partitionBy(*partition_by) if partition_by else rows.write).parquet(location)
+        with laid_out(df, root, partition_by, cluster_by) as rows:
+            (rows.write.partitionBy(*partition_by) if partition_by else rows.write).parquet(location)
         _define(spark, new, schema, location, partition_by)
     if partition_by:
         spark.catalog.recoverPartitions(new)
@@ -290,7 +356,8 @@ def materialize(
             replace_table(merged, table, root, partition_by, cluster_by, bucket_by, buckets)
         elif key_fixes_partition and partition_by:
             merged = merge_upsert(_touched_partitions(target, source, partition_by), source, keys, **options)
-            overwrite_partitions(clustered(merged, partition_by, cluster_by), table)
+            with laid_out(merged, root, partition_by, cluster_by) as rows:
+                overwrite_partitions(rows, table)
             spark.catalog.refreshTable(table)
         else:
             replace_table(merge_upsert(target, source, keys, **options), table, root, partition_by, cluster_by)

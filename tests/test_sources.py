@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from support import values
@@ -317,3 +318,63 @@ def test_same_definition_is_swapped_in_one_step(spark, tmp_path, name, monkeypat
         assert values(spark.table(name)) == [(k, "y")]
     assert not any("RENAME" in text for text in said)
     assert len(list((tmp_path / name).glob("v_*"))) == 2
+
+
+def groups_read(folder, **wanted):
+    """(row groups whose statistics allow the values, all row groups) of the Parquet files under a folder."""
+    hit = total = 0
+    for path in folder.rglob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        at = {meta.schema.column(k).name: k for k in range(meta.num_columns)}
+        for g in range(meta.num_row_groups):
+            total += 1
+            stats = {c: meta.row_group(g).column(at[c]).statistics for c in wanted}
+            hit += all(stats[c].min <= v <= stats[c].max for c, v in wanted.items())
+    return hit, total
+
+
+def test_clustered_files_have_narrow_ranges(spark, tmp_path, name):
+    """A filter on either clustering column skips most files of a month; a hot month is several files."""
+    rows = spark.range(60_000).select(
+        F.col("id"), (F.xxhash64("id") % 260).alias("pulocationid"), F.concat(F.lit("zone"), F.lpad(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(90)).cast("string"), 3, "0")).alias("zone"),
+        F.when(F.col("id") % 10 < 8, F.lit(dt.date(2024, 1, 1))).otherwise(F.lit(dt.date(2024, 2, 1))).alias("month"),
+    )
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        root = tmp_path / name
+        writers.materialize(rows, name, str(root), ["id"], ["month"], ["pulocationid", "zone"], key_fixes_partition=True)
+        (version,) = root.glob("v_*")
+        assert not list(root.glob("staging_*"))
+        january = version / "month=2024-01-01"
+        assert len(list(january.glob("*.parquet"))) > 20
+        for wanted in ({"pulocationid": 7}, {"zone": "zone041"}):
+            hit, total = groups_read(january, **wanted)
+            assert 0 < hit <= total / 2
+        hit, total = groups_read(january, pulocationid=7, zone="zone041")
+        assert 0 < hit <= total / 8
+        # Unclustered, every file has every value.
+        writers.replace_table(rows.repartition(20), f"{name}_flat", str(tmp_path / "flat"), ["month"])
+        hit, total = groups_read(tmp_path / "flat", pulocationid=7)
+        assert hit == total
+        # A merge keeps the layout of the month it touches.
+        writers.materialize(rows.where("id % 10 < 8 and id < 500").withColumn("zone", F.lit("zone000")), name, str(root), ["id"], ["month"], ["pulocationid", "zone"], key_fixes_partition=True)
+        hit, total = groups_read(january, pulocationid=7, zone="zone041")
+        assert 0 < hit <= total / 8
+        assert spark.table(name).count() == 60_000 and spark.table(name).where("zone = 'zone000'").count() > 390
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_interleaving_orders_and_takes_nulls(spark):
+    df = spark.createDataFrame([(k, None if k % 9 == 0 else f"t{k % 7}", dt.date(2024, 1, 1 + k % 28), float(k % 5)) for k in range(200)], "a long, b string, c date, d double")
+    keyed = df.withColumn("z", writers.interleaved(df, ["a"]))
+    assert [r["a"] for r in keyed.orderBy("z", "a").collect()] == list(range(200))
+    assert keyed.select("z").distinct().count() > 32
+    four = df.withColumn("z", writers.interleaved(df, ["a", "b", "c", "d"]))
+    assert four.where("z is null or z < 0").count() == 0
+    empty = df.limit(0)
+    assert empty.withColumn("z", writers.interleaved(empty, ["a", "b"])).count() == 0

@@ -237,6 +237,81 @@ def window_messages(windows: DataFrame) -> DataFrame:
     return windows.select("window_start", "part", "late", message.alias("message"))
 
 
+# ---- messages that come again ----------------------------------------------------------------------
+
+# How an alert came: for the first time, again, or for a time so long ago that the ids of then are forgotten.
+FIRST, AGAIN, OLD = "first", "again", "old"
+_SLOT_MS = 600_000
+
+
+def _delivery_state(keep_ms: int) -> Callable:
+    """One (time slot, bucket of ids): holds the ids it has seen until the watermark passes the slot's end by `keep_ms`."""
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        ends = int(key[0]) + _SLOT_MS + keep_ms
+        forgotten = state.getCurrentWatermarkMs() >= ends
+        seen = set(state.get[0]) if state.exists else set()
+        size = len(seen)
+        for frame in frames:
+            there = frame[frame["payload"].notna()]
+            said = []
+            for number in there["number"]:
+                if forgotten:
+                    said.append(OLD)
+                    continue
+                said.append(AGAIN if int(number) in seen else FIRST)
+                seen.add(int(number))
+            yield pd.DataFrame({"payload": there["payload"].tolist(), "delivery": said}, dtype="object")
+        if not forgotten and len(seen) > size:
+            state.update((sorted(seen),))
+            state.setTimeoutTimestamp(ends)
+
+    return step
+
+
+def deliveries(alerts: DataFrame, time_column: str = "event_timestamp", keep: str = "1 hour", buckets: int = 64) -> DataFrame:
+    """The alerts of a stream with `delivery`: `first`, `again` for an event number that came before with the same time slot, or
+    `old` where the watermark has passed the slot by `keep`, so that its numbers are no longer known. No row is dropped.
+
+    A topic may deliver a message twice; the number and the time of an event are the same each time. Numbers are held per
+    slot of ten minutes and bucket, in the state store, for `keep` of event time. An alert without a number or a time cannot be
+    told from others and counts as first.
+    """
+    at = F.col(time_column).cast("timestamp")
+    known = F.col("event_id").isNotNull() & at.isNotNull()
+    rows = alerts.select(at.alias("moment"), F.col("event_id").cast("bigint").alias("number"), F.to_json(F.struct(*alerts.columns)).alias("payload"), known.alias("known"))
+    slot = F.floor(F.unix_millis("moment") / _SLOT_MS) * _SLOT_MS
+    keyed = rows.where("known").select(slot.cast("bigint").alias("slot"), F.pmod(F.xxhash64("number"), F.lit(buckets).cast("bigint")).alias("bucket"), "moment", "number", "payload")
+    # As for windows: a tick moves the watermark, the row itself has no time and is never left out as late.
+    tick = F.struct("moment", F.lit(None).cast("bigint").alias("number"), F.lit(None).cast("string").alias("payload"))
+    alert = F.struct(F.lit(None).cast("timestamp").alias("moment"), "number", "payload")
+    both = keyed.select("slot", "bucket", F.explode(F.array(tick, alert)).alias("x")).select("slot", "bucket", "x.*")
+    keep_ms = int(pd.Timedelta(keep).total_seconds() * 1000)
+    told = (
+        both.withWatermark("moment", "0 seconds")
+        .groupBy("slot", "bucket")
+        .applyInPandasWithState(_delivery_state(keep_ms), "payload string, delivery string", "ids array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+    )
+    unknown = rows.where("not known").select("payload", F.lit(FIRST).alias("delivery"))
+    return told.unionByName(unknown).select(F.from_json("payload", alerts.schema).alias("x"), "delivery").select("x.*", "delivery")
+
+
+def start_alerts_once(messages: DataFrame, path: str, checkpoint: str, keep: str = "1 hour", drain: bool = False) -> StreamingQuery:
+    """Append alerts to Parquet by delivery and ingestion date: `delivery=first` has every alert once, however often its message came."""
+    writer = (
+        deliveries(alert_rows(messages).drop(ARRIVED), keep=keep)
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("delivery", "run_date")
+        .outputMode("append")
+    )
+    return (writer.trigger(availableNow=True) if drain else writer).start()
+
+
 # ---- queries ---------------------------------------------------------------------------------------
 
 

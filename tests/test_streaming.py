@@ -238,3 +238,37 @@ def test_window_counts_on_a_stream(spark, tmp_path):
     batch = playback.alert_windows(playback.playback_alerts(frame(spark, [*events, event(98, 7)])))
     assert values(got, *batch.columns) == values(batch)
     assert spark.table("window_counts").count() == batch.count() + 1
+
+
+def delivered(spark, tmp_path, batches, **options):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for k, events in enumerate(batches):
+        write_messages(source, f"{k:03}.json", events)
+        os.utime(source / f"{k:03}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+        stream = playback.read_message_files(spark, str(source), max_files=1)
+        playback.start_alerts_once(stream, out, str(tmp_path / "c"), drain=True, **options).awaitTermination(120)
+    return spark.read.parquet(out)
+
+
+def test_a_topic_played_twice_gives_every_alert_once(spark, tmp_path):
+    """Also within a batch, with a restart in between, and with the values the alert table has."""
+    events = [event(n, 11 * n) for n in range(60)] + [event(61, 5, "buffer", None), event(62, 9, "buffer", 5000)]
+    batches = [events[:30] + events[:3], events[30:] + events, [event(n, 11 * n) for n in range(20, 40)]]
+    rows = delivered(spark, tmp_path, batches)
+    alerts = [e for e in events if e["event_id"] != 61]
+    came = sum(e["event_id"] != 61 for batch in batches for e in batch)
+    first = rows.where("delivery = 'first'").drop("delivery", "run_date")
+    assert values(first) == values(frame(spark, alerts).select(*first.columns))
+    assert rows.where("delivery = 'again'").count() == came - len(alerts)
+    assert rows.where("delivery = 'old'").count() == 0
+
+
+def test_forgotten_numbers_go_to_their_own_output(spark, tmp_path):
+    events = [event(n, 11 * n) for n in range(10)]
+    rows = delivered(spark, tmp_path, [events, [event(500, 40_000)], events[:4], [event(501, 90_000)]], keep="10 minutes")
+    assert rows.groupBy("delivery").count().orderBy("delivery").collect() == [("first", 12), ("old", 4)]
+
+
+def test_events_of_one_number_and_another_time_are_others(spark, tmp_path):
+    rows = delivered(spark, tmp_path, [[event(1, 0), event(1, 1200), event(1, 0)]])
+    assert {r["delivery"]: r["count"] for r in rows.groupBy("delivery").count().collect()} == {"first": 2, "again": 1}

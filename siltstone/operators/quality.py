@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,44 @@ def in_range(df: DataFrame, table: str, valid: Mapping[str, Column]) -> DataFram
     return _counted(df, table, "range", {c: ~predicate for c, predicate in valid.items()})
 
 
+# ---- checks of rows while they are written ---------------------------------------------------------
+
+Failing = dict[tuple[str, str], Column]
+
+CHECK_ROWS = "table string, check string, column string, violations bigint, checked bigint"
+
+
+def failing(not_null: Sequence[str] = (), accepted: Mapping[str, Sequence] | None = None, valid: Mapping[str, Column] | None = None) -> Failing:
+    """Predicates of failing rows by (check, column), as the reports above count them."""
+    out: Failing = {("not_null", c): F.col(c).isNull() for c in not_null}
+    out |= {("accepted_values", c): ~F.col(c).isin(list(values)) for c, values in (accepted or {}).items()}
+    return out | {("range", c): ~predicate for c, predicate in (valid or {}).items()}
+
+
+def observed(df: DataFrame, checks: Failing) -> tuple[DataFrame, Observation]:
+    """The same rows, counted on their way: the counts come with the job that writes them, without a second scan.
+
+    The write has to follow directly (no exchange in between), so that the counting is part of the job's last stage, whose tasks
+    count once however often executors are lost.
+    """
+    metrics = [F.count(F.lit(1)).alias("checked")]
+    metrics += [F.coalesce(F.sum(bad.cast("bigint")), F.lit(0)).alias(f"v{k}") for k, bad in enumerate(checks.values())]
+    seen = Observation()
+    return df.observe(seen, *metrics), seen
+
+
+def observed_report(spark: SparkSession, table: str, checks: Failing, seen: Observation) -> DataFrame:
+    """(table, check, column, violations, checked) of an observed write; one row per declared check."""
+    found = seen.get
+    rows = [(table, check, column, int(found[f"v{k}"]), int(found["checked"])) for k, (check, column) in enumerate(checks)]
+    return spark.createDataFrame(rows, CHECK_ROWS)
+
+
+def merged_reports(reports: DataFrame) -> DataFrame:
+    """Reports of several writes added up: those of appended parts give that of the whole."""
+    return reports.groupBy("table", "check", "column").agg(F.sum("violations").alias("violations"), F.sum("checked").alias("checked"))
+
+
 def reconcile_counts(
     collected: DataFrame, declared: DataFrame, keys: Sequence[str], declared_total: str = "declared_total"
 ) -> DataFrame:

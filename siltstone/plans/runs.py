@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
-from ..operators import incremental
+from ..operators import incremental, quality
 from ..sources import writers
-from . import movies, trips
+from . import checks, movies, trips
 
 LOAD_DATE = "run_date_bq"
 
@@ -152,9 +152,13 @@ def complete_rows(model: Model, source: DataFrame, target: DataFrame) -> DataFra
 
 def run(
     name: str, source: DataFrame, table: str, root: str, as_of: dt.date | None = None, full_refresh: bool = False, fixed: bool = False,
-    **sides: DataFrame,
+    reports: str | None = None, **sides: DataFrame,
 ) -> None:
-    """Bring a model's table up to date from its source and side tables. `as_of` is the run's date, for trailing windows."""
+    """Bring a model's table up to date from its source and side tables. `as_of` is the run's date, for trailing windows.
+
+    With `reports`, a folder, the declared not-null checks are counted while the run's rows are written, and their report is
+    appended there with the run's load date; `quality.merged_reports` adds runs up.
+    """
     model, spark = MODELS[name], source.sparkSession
     if set(sides) != set(model.sides):
         raise ValueError(f"{name} needs the tables {sorted(model.sides)}")
@@ -167,7 +171,12 @@ def run(
         rows = fresh_rows(model, source, spark.table(table), as_of)
     if not first and rows.isEmpty():
         return
-    writers.materialize(
-        model.build(rows, **sides), table, root, model.keys, model.partition_by, model.cluster_by, full_refresh=first,
+    built = model.build(rows, **sides)
+    declared = [c for c in checks.NOT_NULL.get(name, ()) if c in built.columns] if reports else []
+    report = writers.materialize(
+        built, table, root, model.keys, model.partition_by, model.cluster_by, full_refresh=first,
         key_fixes_partition=True, null_safe=fixed and model.null_safe, newer_by=model.newer_by, buckets=model.buckets,
+        checks=quality.failing(not_null=declared) or None,
     )
+    if report is not None:
+        report.withColumns({"model": F.lit(name), LOAD_DATE: F.lit(_run_date(rows))}).coalesce(1).write.mode("append").parquet(reports)

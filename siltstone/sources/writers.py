@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.keys import with_md5_key
 from ..operators.merge import assert_unique, delete_where, merge_upsert
+from ..operators.quality import Failing, observed, observed_report
 
 FORMATS = ("parquet", "csv")
 
@@ -327,7 +328,8 @@ def materialize(
     null_safe: bool = False,
     newer_by: str | None = None,
     buckets: int = 0,
-) -> None:
+    checks: Failing | None = None,
+) -> DataFrame | None:
     """Persist a model.
 
     Without `keys`, on the first run, or with `full_refresh`, the table is replaced. Otherwise `df` is
@@ -335,15 +337,22 @@ def materialize(
     another partition (a key that contains the event time); then only partitions present in `df` are read and rewritten. With
     `buckets`, the table is bucketed by its keys and a merge moves the source only; a table that is not bucketed so yet is laid out
     anew by its next merge. Rows without a complete key are in no bucket of their own, so `null_safe` excludes `buckets`.
+
+    With `checks` (see `quality.failing`), the rows of `df` are checked while they are staged, and the report is returned.
     """
     spark = df.sparkSession
+    if checks:
+        rows, seen = observed(df, checks)
+        with staged(rows, root) as source:
+            materialize(source, table, root, keys, partition_by, cluster_by, full_refresh, key_fixes_partition, null_safe, newer_by, buckets)
+        return observed_report(spark, table, checks, seen)
     if buckets and (null_safe or partition_by):
         raise ValueError("buckets need complete keys and a table without partitions")
     bucket_by = list(keys) if buckets else []
     if full_refresh or not keys or not exists(spark, table):
         rows = df.repartition(buckets, *keys) if buckets and keys else df
         replace_table(rows, table, root, partition_by, cluster_by, bucket_by, buckets if keys else 0)
-        return
+        return None
     with staged(df, root) as source:
         target = spark.table(table)
         options = {"null_safe": null_safe, "newer_by": newer_by}
@@ -361,6 +370,7 @@ def materialize(
             spark.catalog.refreshTable(table)
         else:
             replace_table(merge_upsert(target, source, keys, **options), table, root, partition_by, cluster_by)
+    return None
 
 
 def write_relational(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 10_000) -> None:

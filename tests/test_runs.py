@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from support import values
 
-from siltstone.plans import movies, runs, trips
+from siltstone.operators import quality
+from siltstone.plans import checks, movies, runs, trips
+from siltstone.sources import writers
 
 D, T = dt.date, dt.datetime
 
@@ -173,3 +175,22 @@ def test_trailing_window_needs_its_date(spark, tmp_path):
     runs.run("mart_user_activity_monthly", source, "dated", str(tmp_path / "t"), full_refresh=True)
     with pytest.raises(ValueError, match="as_of"):
         runs.run("mart_user_activity_monthly", source, "dated", str(tmp_path / "t"))
+
+
+def test_checks_are_counted_while_rows_are_written(spark, tmp_path):
+    """The runs' reports, added up, are the report over the whole table; a check with a range counts like the scan."""
+    source, root, reports = payments(spark), str(tmp_path / "t"), str(tmp_path / "r")
+    source = source.withColumn("method", F.when(F.col("payment_id") % 4 > 0, F.col("method"))).withColumn("user_id", F.when(F.col("payment_id") % 9 > 0, F.col("user_id")))
+    for load in (D(2024, 5, 1), D(2024, 5, 2)):
+        runs.run("prep_payments", source.where(F.col("run_date_bq") == F.lit(load)), "checked_payments", root, reports=reports)
+    merged = quality.merged_reports(spark.read.parquet(reports))
+    table = spark.table("checked_payments")
+    want = quality.not_null(table, "checked_payments", checks.NOT_NULL["prep_payments"])
+    assert values(merged.drop("checked")) == values(want)
+    assert {r["checked"] for r in merged.collect()} == {table.count()}
+    assert any(r["violations"] for r in merged.collect())
+    valid, accepted = {"amount": F.col("amount") > 10}, {"status": ["completed"]}
+    report = writers.materialize(table, "checked_copy", str(tmp_path / "c"), ["payment_id"], checks=quality.failing(accepted=accepted, valid=valid))
+    scanned = quality.accepted_values(table, "checked_copy", accepted).unionByName(quality.in_range(table, "checked_copy", valid))
+    assert values(report.drop("checked")) == values(scanned)
+    assert values(spark.table("checked_copy")) == values(table)

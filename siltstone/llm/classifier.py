@@ -50,7 +50,7 @@ class Chunks(dict):
         for pattern, letter in _FOLD:
             shape = pattern.sub(letter, shape)
         word = " ".join(_TOKENS.findall(text.lower()))
-        value = (xxhash.xxh32_intdigest(word) << 32) | xxhash.xxh32_intdigest(shape[:12])
+        value = (xxhash.xxh32_intdigest(word) << 32) | xxhash.xxh32_intdigest(shape)
         self[chunk] = value
         return value
 

@@ -84,3 +84,11 @@ def test_no_labels_and_no_rows(spark, docs, no_docs, rows):
     found = classifier.quality(docs, none).collect()
     assert len(found) == len(rows) and all(r.score == 0.5 for r in found)
     assert classifier.quality(no_docs, none).count() == 0
+
+
+def test_whole_shapes_count():
+    """Shapes that differ beyond any prefix are different features."""
+    table = classifier.Chunks()
+    same, other = table[b"a" * 30 + b"1"], table[b"a" * 30 + b"-"]
+    assert same & 0xFFFFFFFF != other & 0xFFFFFFFF
+    assert table[b"b" * 30 + b"7"] & 0xFFFFFFFF == same & 0xFFFFFFFF

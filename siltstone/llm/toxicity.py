@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from .common import utf8, written
 from .learn import SAMPLE, held_out, sample_labels, training_texts
 
-LEXICON = 4000  # terms kept at most, by support: the lexicon is sent to every task
 STEMS = range(4, 8)
 LOG_ODDS = 5.0
 WINDOW = 6
@@ -235,8 +234,11 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def learn_lexicon(train: DataFrame, bound: int = LEXICON, log_odds: float = LOG_ODDS) -> Lexicon:
-    """Words and stems far more frequent in toxic texts (counted by document); at most `bound` of them."""
+def learn_lexicon(train: DataFrame, log_odds: float = LOG_ODDS) -> Lexicon:
+    """All words and stems far more frequent in toxic texts (counted by document).
+
+    The labelled sample bounds them: each has a least support in its texts. The lexicon is sent to every task.
+    """
     sizes = {r[0]: r[1] for r in train.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
@@ -246,7 +248,7 @@ def learn_lexicon(train: DataFrame, bound: int = LEXICON, log_odds: float = LOG_
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
     least = max(5, toxic // 200)
     kept = counts.withColumn("odds", odds).filter((F.col("t") >= least) & ((odds >= log_odds) | ((F.col("c") == 0) & (odds >= log_odds - 1.5))))
-    rows = kept.orderBy(F.desc("t"), "term", "kind").limit(2 * bound).collect()
+    rows = kept.orderBy(F.desc("t"), "term", "kind").collect()
     words = {r.term: r.t for r in rows if r.kind == 0}
     # A stem stands for at least three words, and says more than its commonest one.
     members: dict[str, list[int]] = {}
@@ -257,9 +259,9 @@ def learn_lexicon(train: DataFrame, bound: int = LEXICON, log_odds: float = LOG_
     good = {r.term for r in rows if r.kind and len(members.get(r.term, ())) >= 3 and r.t >= 1.5 * max(members[r.term])}
     stems = sorted(s for s in good if not any(s[:n] in good for n in STEMS if n < len(s)))
     terms = [w for w in words if not any(w[:n] in stems for n in STEMS)]
-    names = [*((w, 0) for w in terms[:bound]), *((w, len(w)) for w in stems[:bound])]
+    names = [*((w, 0) for w in terms), *((w, len(w)) for w in stems)]
     odds_of = {(r.term, r.kind): r.odds for r in rows}
-    return Lexicon(terms[:bound], stems[:bound], [float(odds_of[n]) for n in names])
+    return Lexicon(terms, stems, [float(odds_of[n]) for n in names])
 
 
 def _neighbours(lexicon: Lexicon):
@@ -283,7 +285,7 @@ def whole_lexicon(train: DataFrame) -> Lexicon:
     """The lexicon, with its chance neighbours among the clean texts."""
     lexicon = learn_lexicon(train)
     chance = train.filter("label = 0").mapInArrow(_neighbours(lexicon), "word string").distinct()
-    lexicon.excluded = frozenset(r[0] for r in chance.orderBy("word").limit(200_000).collect())
+    lexicon.excluded = frozenset(r[0] for r in chance.collect())
     return lexicon
 
 

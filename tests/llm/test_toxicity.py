@@ -111,3 +111,13 @@ def test_clean_rows_keep_their_columns(frame):
     out = toxicity.clean_rows(docs, model)
     assert out.columns == docs.columns
     assert sorted((r.doc_id or 0) for r in out.collect()) == [0, 2, 2]
+
+
+def test_lexicon_is_not_cut(spark):
+    """4,600 terms of equal support: none is left out."""
+    names = [f"{a}{b}{c}q{d}" for a in "bcdfghjklm" for b in "aeiou" for c in "nprstvwxz" for d in "bcdfghjklmz"][:4600]
+    docs = [" ".join(names[(k * 80 + i) % len(names)] for i in range(80)) for k in range(60 * 16 + 20)]
+    rows = [(text, 1) for text in docs] + [(f"calm words {k} here", 0) for k in range(len(docs))]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    covered = set(lexicon.terms) | {n for n in names if any(n.startswith(s) for s in lexicon.stems)}
+    assert covered >= set(names)

@@ -29,13 +29,14 @@ def page_links(pages: DataFrame) -> DataFrame:
 def listing_records(pages: DataFrame, month: dt.date | None = None) -> DataFrame:
     """Decisions listed on the pages; entries without number, date or link are left out."""
     blocks = pages.select("page_id", F.posexplode(h.listing_blocks(F.col("html"))).alias("position", "block"))
-    block = F.col("block")
-    records = blocks.select(
+    entries = computed_once(blocks.select("page_id", "position", h.entry_parts(F.col("block")).alias("parts")), ["page_id", "position"])
+    parts = F.col("parts")
+    records = entries.select(
         "page_id",
         "position",
-        h.listing_number(block).alias("no_putusan"),
-        h.listing_date(block).alias("tgl_putusan"),
-        h.listing_link(block).alias("link_page_putusan"),
+        h.listing_number(parts).alias("no_putusan"),
+        h.listing_date(parts).alias("tgl_putusan"),
+        h.listing_link(parts).alias("link_page_putusan"),
     )
     records = computed_once(records, ["page_id", "position"]).where(
         (F.col("no_putusan") != "") & F.col("tgl_putusan").isNotNull() & (F.col("link_page_putusan") != "")
@@ -94,16 +95,15 @@ def detail_fields(pages: DataFrame) -> DataFrame:
 
     Each stage below is a projection of its own, so that what several columns need is computed once.
     """
-    cells = pages.select(
-        "page_id", "url", "html", F.transform(h.table_cells(F.col("html")), lambda c: h.inner_text(c)).alias("texts")
-    )
+    scanned = pages.select("page_id", "url", h.detail_parts(F.col("html")).alias("parts"))
+    cells = scanned.withColumn("texts", F.transform(h.table_cells(F.col("parts")), lambda c: h.inner_text(c)))
     labelled = cells.withColumn("labels", F.transform("texts", lambda t: strip(t)))
     wanted = [*DETAIL_TEXT_FIELDS.items(), *DETAIL_DATE_FIELDS.items(), ("Klasifikasi", "klasifikasi"), ("Tahun", "tahun")]
     found = labelled.select(
         "page_id",
         F.col("url").alias("link_page_putusan"),
-        h.party_name(F.col("html")).alias("nama_terdakwa"),
-        h.pdf_link(F.col("html")).alias("link_pdf_putusan"),
+        h.party_name(F.col("parts")).alias("nama_terdakwa"),
+        h.pdf_link(F.col("parts")).alias("link_pdf_putusan"),
         *[h.text_after("texts", "labels", label).alias(name) for label, name in wanted],
     )
     return found.withColumns(

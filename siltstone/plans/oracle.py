@@ -761,6 +761,9 @@ def statements() -> dict[str, str]:
         "trip_source_lower": "select vendorid, pickup_datetime as tpep_pickup_datetime, dropoff_datetime as tpep_dropoff_datetime, "
         "pulocationid, dolocationid, payment_type, passenger_count, trip_distance, fare_amount, tip_amount, total_amount "
         "from trips where taxi_type = 'yellow'",
+        "trip_months_pruned": "select vendorid, pickup_datetime as tpep_pickup_datetime, dropoff_datetime as tpep_dropoff_datetime, "
+        "pulocationid, dolocationid, payment_type, passenger_count, trip_distance, fare_amount, tip_amount, total_amount "
+        "from trips where taxi_type = 'yellow' and pickup_datetime >= timestamp '1998-01-01' and pickup_datetime < timestamp '1998-04-01'",
         "month_slice": "select year(o_orderdate) as order_year, month(o_orderdate) as order_month, o_orderkey, o_totalprice "
         "from orders where year(o_orderdate) = 1998 and month(o_orderdate) = 3",
         "extract_day": f"select {money} from payments where cast(created_at as date) = date '1998-03-14'",

@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from ..functions import decisions as text
 from ..functions.dates import indonesian_date
 from ..operators import calendars, dedup, frames, incremental, merge, quality, summarise
+from ..operators.rounds import scratch_folder
 from ..sources.readers import lower_names, month_slice
+from ..sources.trip_months import read_trip_months
 from ..streaming import playback
 from . import checks, decisions, inputs, loans, movies, trips
 
@@ -174,6 +176,20 @@ def trip_source_lower(w: Warehouse) -> DataFrame:
     return lower_names(inputs.raw_trips(w.spark, w.folder, "yellow"))
 
 
+@_query
+def trip_months_pruned(w: Warehouse) -> DataFrame:
+    """The first quarter of 1998 from a folder with a file per month, which the data source finds by its pickups."""
+    raw = inputs.raw_trips(w.spark, w.folder, "yellow")
+    path = f"{scratch_folder(w.spark)}/yellow"
+    pickup = F.col("tpep_pickup_datetime")
+    months = raw.withColumn("month", F.date_format(pickup, "yyyy-MM")).hint("rebalance", "month")
+    months.write.partitionBy("month").parquet(path)
+    found = read_trip_months(w.spark, path, "yellow", layout="month={month}")
+    return found.where(
+        (pickup >= F.lit("1998-01-01").cast("timestamp_ntz")) & (pickup < F.lit("1998-04-01").cast("timestamp_ntz"))
+    )
+
+
 @_query
 def month_slice_query(w: Warehouse) -> DataFrame:
     """The month as a range on the raw column, which the scan can use, and its year and month columns."""

@@ -39,9 +39,11 @@ def warc_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rules_query(spark: SparkSession, folder: str) -> DataFrame:
-    entries = rules.apply_policy(rules.ledger(rules.measure(table(spark, folder, "documents"))), "2025-1")
+    """`kept` is the verdict of policy 2025-1; each policy's own stands beside it."""
+    entries = rules.decided(rules.stored_ledger(table(spark, folder, "documents")))
     base = rules.failed(F.col("bits"), "base").alias("base_failed")
-    return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base, "kept", "bits")
+    verdicts = [F.col("kept_2025_1").alias("kept"), *map(rules.kept_name, rules.POLICIES)]
+    return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base, *verdicts, "bits")
 
 
 def decontaminate_query(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,7 +194,8 @@ f AS (SELECT *, n_words < 20 AS f0, 100 * n_repeat_words > 30 * n_words AS f1, 1
              100 * n_capitals > 50 * word_chars AS f3, 100 * n_stutter > 20 * n_words AS f4, 100 * n_dup_lines > 60 * n_lines AS f5,
              word_chars < 2 * n_words AS f6, word_chars > 25 * n_words AS f7 FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f0 OR f1 AS base_failed,
-       NOT (f0 OR f1 OR f2 OR f3 OR f4) AS kept,
+       NOT (f0 OR f1 OR f2 OR f3 OR f4) AS kept, NOT (f0 OR f1) AS kept_base, NOT (f0 OR f1 OR f2 OR f3 OR f4) AS kept_2025_1,
+       NOT (f0 OR f1 OR f2 OR f3 OR f4 OR f5 OR f6 OR f7) AS kept_2025_2,
        (f0::BIGINT + 2 * f1::BIGINT + 4 * f2::BIGINT + 8 * f3::BIGINT + 16 * f4::BIGINT + 32 * f5::BIGINT + 64 * f6::BIGINT
         + 128 * f7::BIGINT)::BIGINT AS bits FROM f
 """

@@ -1,7 +1,7 @@
 """Rule bitmask ledger: each rule is evaluated once per document; policies and ablations read the bits.
 
-`measure` takes the measurements, `ledger` sets one bit per failed rule, `apply_policy` masks the bits, and
-`ablation` counts documents by bit pattern and derives from that small table what each rule decides alone.
+`measure` takes the measurements, `ledger` sets one bit per failed rule, `stored_ledger` writes both to the shared folder and
+reads them back, `apply_policy` masks the bits, `decided` does so for every policy version, and `ablation` counts documents by bit pattern and derives from that small table what each rule decides alone.
 Only DataFrame functions; nothing is shuffled but the ablation's counts, which combine on the map side.
 
 Edge cases: a null or empty text has no words and all measurements 0, so it fails `few_words`; repeated
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 NOT_WORD = r"[\x20\x09-\x0D]+"
@@ -110,6 +112,11 @@ def ledger(measured: DataFrame) -> DataFrame:
     return measured.withColumn("bits", total.cast("long"))
 
 
+def stored_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger as a written table: rules are evaluated by this write alone, however many policies read it."""
+    return written(ledger(measure(docs, id_col, text_col)), name="ledger")
+
+
 def failed(bits: Column, policy: str) -> Column:
     return bits.bitwiseAND(F.lit(mask(policy))) != 0
 
@@ -118,6 +125,15 @@ def apply_policy(entries: DataFrame, policy: str, alias: str = "kept") -> DataFr
     return entries.withColumn(alias, ~failed(F.col("bits"), policy))
 
 
+def kept_name(policy: str) -> str:
+    return f"kept_{policy.replace('-', '_')}"
+
+
+def decided(entries: DataFrame) -> DataFrame:
+    """Adds one column kept_<policy> per policy version."""
+    return entries.withColumns({kept_name(p): ~failed(F.col("bits"), p) for p in POLICIES})
+
+
 def ablation(entries: DataFrame, policy: str) -> DataFrame:
     """Per rule of a policy: documents it fails, and documents that only it fails, which are kept without it."""
     counts = entries.groupBy(F.col("bits").bitwiseAND(F.lit(mask(policy))).alias("bits")).agg(F.count("*").alias("n"))

@@ -72,3 +72,19 @@ def test_empty_table(no_docs):
     entries = rules.ledger(rules.measure(no_docs))
     assert entries.count() == 0
     assert rules.ablation(entries, "base").count() == 0
+
+
+def test_stored_ledger_serves_every_policy(frame, rows):
+    """Verdicts and ablations come from the written table; the texts are not read again."""
+    entries = rules.stored_ledger(frame([*rows, *ODD]))
+    plan = rules.decided(entries)._jdf.queryExecution().toString()
+    assert all("/ledger-" in f for f in entries.inputFiles())
+    assert "regexp" not in plan and "split" not in plan
+    names = list(rules.RULES)
+    for r in rules.decided(entries).collect():
+        failed = {n for n in names if eval(rules.RULES[n], {m: r[m] for m in rules.MEASURES})}
+        for policy, rejecting in rules.POLICIES.items():
+            assert r[rules.kept_name(policy)] == (not failed & set(rejecting))
+    for policy in rules.POLICIES:
+        kept = rules.decided(entries).filter(rules.kept_name(policy)).count()
+        assert all(r.n_kept_without == kept + r.n_only for r in rules.ablation(entries, policy).collect())

@@ -4,10 +4,16 @@ A stage takes (spark, docs, sf_dir); its result is written as Parquet and read a
 return the columns of documents.
 
 1. toxicity: documents that score 0.5 or more go.
-2. n-gram Jaccard join: of each component of near duplicates the document with the least id stays.
+2. n-gram Jaccard join: of each component of near duplicates (five-word shingles, a similarity of 0.8 or more) the document with the
+   least id stays.
 3. suffix dedup: bytes of strings of 200 that stand more than once leave the texts.
 4. decontamination: documents with a window of 10 words of a benchmark item go.
 5. packing: what is left becomes pieces of sequences of 1024 tokens.
+
+Edge cases: null and empty texts score as texts without words, are nobody's near duplicate, lose no bytes and hold no window, so they
+stay until packing, where each is the one end token; rows without id or with a shared one are told apart by a row number in stage 2,
+where of equal texts one stays; very long texts are worked on whole; an empty table gives an empty result; further columns are
+handed through to packing, whatever their names (but those that begin with siltstone_).
 """
 
 from __future__ import annotations
@@ -24,16 +30,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean_rows(docs, toxicity.train_model(docs, table(spark, sf_dir, "labels")))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that share an id, or have none, are told apart by a number of their own."""
-    odd = docs.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1").limit(1).count()
-    name = "doc_id"
+    columns, name = docs.columns, "doc_id"
+    odd = docs.groupBy("doc_id").count().filter(F.col("doc_id").isNull() | (F.col("count") > 1)).limit(1).count()
     if odd:
-        name = "siltstone_row"
+        name = free_name(docs, "row_number")
         docs = written(docs.withColumn(name, F.monotonically_increasing_id()))
-    found = ngram_join.near_duplicates(docs, id_col=name)
-    gone = written(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")))
-    return docs.join(gone, F.col(name) == F.col("gone_id"), "left_anti").select(*(c for c in docs.columns if c != "siltstone_row"))
+    found = ngram_join.near_duplicates(docs, width=5, percent=80, id_col=name)
+    gone_id = free_name(docs, "gone_id")
+    gone = written(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(gone_id)))
+    return docs.join(gone, F.col(name) == F.col(gone_id), "left_anti").select(*columns)
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +56,10 @@ def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     seen, spans = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = spans.select(F.col("key").alias("hit_key")).distinct()
+    hit_key = free_name(docs, "hit_key")
+    hit = spans.select(F.col("key").alias(hit_key)).distinct()
     key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    return docs.join(hit, key == F.col("hit_key"), "left_anti")
+    return docs.join(hit, key == F.col(hit_key), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

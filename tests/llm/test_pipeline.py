@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siltstone.llm.common import shared_folder, written
@@ -87,6 +88,29 @@ def test_empty_and_odd_tables(spark):
     assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (0, "a b c d e f"), (7, ""), (7, "x y z w v u")]
 
 
+def test_near_duplicates_by_five_words(spark):
+    """One changed word of 50: 41 of 51 shingles of five words are shared (0.804), 43 of 51 of four (0.843)."""
+    words = [f"w{k}" for k in range(50)]
+    near, far = [*words], [*words]
+    near[25] = "other"
+    far[20], far[30] = "one", "two"
+    docs = spark.createDataFrame([(3, " ".join(words)), (5, " ".join(near)), (9, " ".join(far))], "doc_id long, text string")
+    assert ids(corpus_pipeline.drop_near_duplicates(spark, docs, "")) == {3, 9}
+
+
+def test_clashing_names(spark):
+    docs, labels, items, passage = corpus()
+    folder = tables(spark, docs, labels, items)
+    clashing = ("gone_id", "hit_key", "row_number", "count", "component_id", "key", "score", "kept", "spans", "n_words")
+    plain = now = spark.read.parquet(f"{folder}/documents.parquet").unionByName(spark.createDataFrame([(1000, "a b c d e f", "en", "s", 1)], COLUMNS))
+    now = now.select("*", *(F.lit(f"own {c}").alias(c) for c in clashing))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        plain, now = written(stage(spark, plain, folder)), written(stage(spark, now, folder))
+        assert now.columns == [*plain.columns, *clashing]
+        assert now.count() == now.filter(" AND ".join(f"`{c}` = 'own {c}'" for c in clashing)).count()
+        assert sorted(map(repr, now.select(*plain.columns).collect())) == sorted(map(repr, plain.collect()))
+
+
 def test_all_operators_are_registered():
     names = list(queries())
     assert sorted(int(n.split("_")[0][2:]) for n in names) == list(range(1, 14))

@@ -90,11 +90,12 @@ def elements(html: Column, wanted: Mapping[str, str | tuple[str, ...]]) -> Colum
         fits = [(label, [token.rlike(p) for p in group]) for label, group in patterns.items()]
         return F.coalesce(*(F.when(reduce(and_, tests), F.lit(label)) for label, tests in fits))
 
-    def tag_of(token: Column, place: Column) -> Column:
+    def tag_of(found: Column) -> Column:
+        token, place = found["token"], found["place"]
         name = F.lower(F.regexp_extract(token, _TAG_NAME, 1))
         closing = token.startswith("</")
         return F.struct(
-            F.when(token.rlike(_TAG), name).alias("name"),
+            name.alias("name"),
             place.alias("place"),
             closing.alias("closing"),
             (name.isin(*VOID_TAGS) | token.endswith("/>")).alias("empty"),
@@ -112,17 +113,16 @@ def elements(html: Column, wanted: Mapping[str, str | tuple[str, ...]]) -> Colum
             F.when(~tag["closing"] & ~tag["empty"], F.concat(opened, stack))
             .when(tag["closing"] & (depth > 0), F.slice(stack, depth + 1, F.size(stack)))
             .otherwise(stack)
-            .cast(_STACK)
             .alias("stack"),
-            F.when(tag["closing"] & (depth > 0), F.concat(found, ended))
+            F.when(tag["closing"] & (depth > 0) & F.exists(F.slice(stack, F.lit(1), depth), lambda e: e["label"].isNotNull()), F.concat(found, ended))
             .when(~tag["closing"] & tag["empty"] & tag["label"].isNotNull(), F.concat(found, own))
             .otherwise(found)
-            .cast(_FOUND)
             .alias("found"),
         )
 
     def spans(tokens: Column) -> Column:
-        tags = F.filter(F.transform(tokens, tag_of), lambda t: t["name"].isNotNull())
+        placed = F.transform(tokens, lambda token, place: F.struct(token.alias("token"), place.alias("place")))
+        tags = F.transform(F.filter(placed, lambda t: t["token"].rlike(_TAG)), tag_of)
         start = F.struct(F.array().cast(_STACK).alias("stack"), F.array().cast(_FOUND).alias("found"))
         unclosed = lambda s: F.transform(
             F.filter(s["stack"], lambda e: e["label"].isNotNull()),

@@ -100,3 +100,14 @@ def test_removed_sessions(spark, gone):
     held = movies.kept_activity_states(states, moved, empty)
     want = movies.mart_user_activity(left)
     assert values(movies.mart_user_activity_from_states(held), *want.columns) == values(want)
+
+
+def test_states_have_buffers_of_fixed_size(spark):
+    """Groups of single ids, as movies per day are, neither hold a bitmap each nor leave the hash aggregate."""
+    rows = spark.createDataFrame([(k, k, 64 * k - 1) for k in range(50)], "id long, movie_id long, user_id long")
+    parts = distinct_states.states(rows, ["movie_id"], "user_id")
+    plan = distinct_states.united(parts, ["movie_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    assert dict(parts.dtypes)["bits"] == "bigint"
+    counts = distinct_states.counted(parts, ["movie_id"], "users")
+    assert {(r["movie_id"], r["users"]) for r in counts.collect()} == {(k, 1) for k in range(50)}

@@ -20,6 +20,19 @@ def _same(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys))
 
 
+def _among(target: DataFrame, chosen: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target's rows whose key is among the chosen rows; nulls equal each other.
+
+    Rows with complete keys are joined by plain equality, which rows that lie by their key already need no exchange for.
+    """
+    complete = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    wanted = chosen.select(*keys)
+    plain = reduce(lambda a, b: a & b, (F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys))
+    whole = target.where(complete).alias("t").join(wanted.where(complete).alias("s"), plain, "left_semi")
+    partial = target.where(~complete).alias("t").join(wanted.where(~complete).alias("s"), _same("t", "s", keys), "left_semi")
+    return whole.unionByName(partial)
+
+
 def change_set(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The incoming rows with sign 1 and the target's rows that they replace with sign -1.
 
@@ -27,13 +40,13 @@ def change_set(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> D
     small side's keys.
     """
     columns = target.columns
-    old = target.alias("t").join(incoming.select(*keys).alias("s"), _same("t", "s", keys), "left_semi")
+    old = _among(target, incoming, keys)
     return incoming.select(*columns, F.lit(1).alias(SIGN)).unionByName(old.select(*columns, F.lit(-1).alias(SIGN)))
 
 
 def removals(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target's rows whose key is in `gone`, with sign -1."""
-    old = target.alias("t").join(gone.select(*keys).alias("s"), _same("t", "s", keys), "left_semi")
+    old = _among(target, gone, keys)
     return old.select(*target.columns, F.lit(-1).alias(SIGN))
 
 
@@ -81,3 +94,41 @@ def moved_states(
     looked = left.where("_lost").drop(*maxima, "_lost").alias("l").join(found.alias("f"), _same("l", "f", group), "left")
     looked = looked.select(*(F.col(f"l.{c}").alias(c) for c in [*group, *totals]), *(F.col(f"f.{n}").alias(n) for n in maxima))
     return left.where("not _lost").drop("_lost").unionByName(looked), gone
+
+
+def applied_states(
+    states: DataFrame, changes: DataFrame, rows_after: DataFrame, group: Sequence[str], sums: dict[str, Column], maxima: dict[str, Column]
+) -> DataFrame:
+    """All states with the changes in effect: those of `moved_states` and the untouched ones.
+
+    States and signed moves meet in one aggregation by group, instead of joins of the states with what moved and what went.
+    """
+    sign, held = F.col(SIGN), F.lit(None).cast("boolean")
+    totals = ["_rows", *sums, *(f"{n}_n" for n in sums)]
+    signed = {"_rows": sign, **{n: c * sign for n, c in sums.items()}, **{f"{n}_n": F.when(c.isNotNull(), sign) for n, c in sums.items()}}
+    kinds = {n: states.schema[n].dataType for n in [*totals, *maxima]}
+    moves = changes.select(
+        *group,
+        *(F.coalesce(c, F.lit(0)).cast(kinds[n]).alias(n) for n, c in signed.items()),
+        *(c.cast(kinds[n]).alias(n) for n, c in maxima.items()),
+        (sign > 0).alias("_came"),
+    )
+    met = states.select(*group, *totals, *maxima, held.alias("_came")).unionByName(moves)
+    stays, came, left = F.col("_came").isNull(), F.col("_came"), ~F.col("_came")
+    new = met.groupBy(*group).agg(
+        *(F.sum(n).cast(kinds[n]).alias(n) for n in totals),
+        *(F.max(F.when(stays | came, F.col(n))).alias(n) for n in maxima),
+        *(F.max(F.when(stays, F.col(n))).alias(f"_held_{n}") for n in maxima),
+        *(F.max(F.when(came, F.col(n))).alias(f"_came_{n}") for n in maxima),
+        *(F.max(F.when(left, F.col(n))).alias(f"_left_{n}") for n in maxima),
+    ).where("_rows > 0")
+    if not maxima:
+        return new
+    fewer = [F.coalesce(F.col(f"_left_{n}") >= F.col(f"_held_{n}"), F.lit(False)) & ~F.coalesce(F.col(f"_came_{n}") >= F.col(f"_held_{n}"), F.lit(False)) for n in maxima]
+    new = new.select(*group, *totals, *maxima, reduce(lambda a, b: a | b, fewer).alias("_lost"))
+    again = new.where("_lost").select(*group)
+    found = rows_after.select(*group, *(c.alias(n) for n, c in maxima.items())).alias("r").join(again.alias("g"), _same("r", "g", group), "left_semi")
+    found = found.groupBy(*group).agg(*(F.max(n).alias(n) for n in maxima))
+    looked = new.where("_lost").drop(*maxima, "_lost").alias("l").join(found.alias("f"), _same("l", "f", group), "left")
+    looked = looked.select(*(F.col(f"l.{c}").alias(c) for c in [*group, *totals]), *(F.col(f"f.{n}").alias(n) for n in maxima))
+    return new.where("not _lost").drop("_lost").unionByName(looked)

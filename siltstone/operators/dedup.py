@@ -35,11 +35,21 @@ def keep_first(
 
 
 def keep_latest(
-    df: DataFrame, keys: Sequence[str], by: str, tie_breakers: Sequence[Column] | None = None
+    df: DataFrame, keys: Sequence[str], by: str, tie_breakers: Sequence[Column] | None = None, wanted: Sequence[str] | None = None
 ) -> DataFrame:
-    """The row with the greatest `by` per key; NULL counts as oldest."""
+    """The row with the greatest `by` per key; NULL counts as oldest.
+
+    With `wanted`, the keys and these columns of the same rows: of the default tie breakers those after the last wanted
+    column cannot change them, so they need not be sorted by or travel.
+    """
+    if wanted is not None and tie_breakers is None:
+        last = max((df.columns.index(c) for c in wanted if c not in keys), default=-1)
+        df = df.select(*dict.fromkeys([*keys, by, *(c for k, c in enumerate(df.columns) if k <= last)]))
+        if last < 0:
+            return df.select(*keys).distinct()
     ties = _tie_breakers(df, [*keys, by]) if tie_breakers is None else tie_breakers
-    return keep_first(df, keys, [F.col(by).desc_nulls_last()], ties)
+    latest = keep_first(df, keys, [F.col(by).desc_nulls_last()], ties)
+    return latest if wanted is None else latest.select(*dict.fromkeys([*keys, *wanted]))
 
 
 def keep_earliest(

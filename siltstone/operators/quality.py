@@ -73,6 +73,37 @@ def relationships(child: DataFrame, table: str, column: str, parent: DataFrame,
     return _one(total, table, "relationships", column)
 
 
+def references(child: DataFrame, table: str, parents: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """(table, column, parent, value, rows): the non-NULL references of a child, all columns in one pass.
+
+    `parents` gives by child column the parent's name, rows and key. The columns are of one type; references are counted per value.
+    """
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(f"{p}.{k}").alias("parent"), F.col(c).alias("value")) for c, (p, _, k) in parents.items()])
+    rows = child.select(F.inline(each)).where(F.col("value").isNotNull()).groupBy("column", "parent", "value").agg(F.count(F.lit(1)).alias("rows"))
+    return rows.select(F.lit(table).alias("table"), "column", "parent", "value", "rows")
+
+
+def all_relationships(children: Mapping[str, DataFrame], parents: Mapping[str, Mapping[str, tuple[str, DataFrame, str]]]) -> DataFrame:
+    """`relationships` of many children, each read once, and one join with the keys of all parents."""
+    declared = [(table, column) for table, given in parents.items() for column in given]
+    kinds = {children[t].schema[c].dataType for t, c in declared} | {p.schema[k].dataType for g in parents.values() for _, p, k in g.values()}
+    if not all(isinstance(k, T.IntegralType) for k in kinds):
+        return report(*[relationships(children[t], t, c, parents[t][c][1], parents[t][c][2]) for t, c in declared])
+    found = report(*[references(children[t].select(*[F.col(c).cast("bigint").alias(c) for c in given]), t, given) for t, given in parents.items()])
+    keyed = {f"{p}.{k}": rows.select(F.lit(f"{p}.{k}").alias("_parent"), F.col(k).cast("bigint").alias("_pk")) for g in parents.values() for p, rows, k in g.values()}
+    keys = report(*keyed.values())
+    orphans = found.join(keys, (F.col("parent") == F.col("_parent")) & (F.col("value") == F.col("_pk")), "left_anti")
+    counts = orphans.groupBy("table", "column").agg(F.sum("rows").alias("violations"))
+    # The declared references are few: a map from the small result keeps those without orphans.
+    held = counts.agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(".", "table", "column"), "violations"))).alias("held"))
+    rows = F.array(*[
+        F.struct(F.lit(t).alias("table"), F.lit("relationships").alias("check"), F.lit(c).alias("column"),
+                 F.coalesce(F.try_element_at("held", F.lit(f"{t}.{c}")), F.lit(0)).cast("bigint").alias("violations"))
+        for t, c in declared
+    ])
+    return held.select(F.inline(rows))
+
+
 def accepted_values(df: DataFrame, table: str, allowed: Mapping[str, Sequence]) -> DataFrame:
     """Non-NULL values outside the allowed list."""
     return _counted(df, table, "accepted_values", {c: ~F.col(c).isin(list(values)) for c, values in allowed.items()})

@@ -6,6 +6,8 @@ returns the model's rows; `sources.writers.materialize` merges them on `KEYS`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from ..functions.amounts import exact_mean
 from ..functions.dates import day_tag, month_start, month_tag, whole_minutes
 from ..functions.text import initcap_words
 from ..operators.dedup import keep_latest
-from ..operators.deltas import change_set, group_states, moved_states
+from ..operators.deltas import applied_states, change_set, group_states, moved_states
 from ..operators.distinct_states import counted, states, united
 from ..operators.merge import merge_upsert
 
@@ -35,12 +37,30 @@ KEYS = {
     "mart_subscription_revenue_monthly": ["subscription_month_key"],
 }
 
+# Keys of the preparation models, by source.
+KEY_COLUMNS = {
+    "users": ["user_id"],
+    "movies": ["movie_id"],
+    "subscriptions": ["subscription_id"],
+    "watch_sessions": ["session_id"],
+    "payments": ["payment_id"],
+    "ratings": ["rating_id"],
+}
+
 
 # ---- preparation -----------------------------------------------------------------------------------
 
 
-def prep_users(raw: DataFrame) -> DataFrame:
-    latest = keep_latest(raw, ["user_id"], "created_at")
+def _newest(rows: DataFrame, key: str, wanted: Sequence[str] | None) -> DataFrame:
+    """The newest row of each key. With `wanted`, only these columns and the key are read; the others are NULL."""
+    if wanted is None:
+        return keep_latest(rows, [key], "created_at")
+    latest = keep_latest(rows, [key], "created_at", wanted=wanted)
+    return latest.select(*[F.col(f.name) if f.name in latest.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+
+
+def prep_users(raw: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
+    latest = _newest(raw, "user_id", wanted)
     return latest.select(
         "user_id",
         initcap_words(F.trim("name")).alias("name"),
@@ -54,8 +74,8 @@ def prep_users(raw: DataFrame) -> DataFrame:
     )
 
 
-def prep_movies(raw: DataFrame) -> DataFrame:
-    latest = keep_latest(raw, ["movie_id"], "created_at")
+def prep_movies(raw: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
+    latest = _newest(raw, "movie_id", wanted)
     return latest.select(
         "movie_id",
         initcap_words(F.trim("title")).alias("title"),
@@ -68,19 +88,20 @@ def prep_movies(raw: DataFrame) -> DataFrame:
     )
 
 
-def _latest(raw: DataFrame, columns: list[str]) -> DataFrame:
+def _latest(raw: DataFrame, columns: list[str], wanted: Sequence[str] | None) -> DataFrame:
     """Project first: only the needed columns travel through the deduplication."""
-    return keep_latest(raw.select(*columns), columns[:1], "created_at")
+    return _newest(raw.select(*columns), columns[0], wanted)
 
 
-def prep_subscriptions(raw: DataFrame) -> DataFrame:
+def prep_subscriptions(raw: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
     return _latest(
         raw,
         ["subscription_id", "user_id", "plan_type", "start_date", "end_date", "price", "status", "created_at", "run_date_bq"],
+        wanted,
     )
 
 
-def prep_watch_sessions(raw: DataFrame) -> DataFrame:
+def prep_watch_sessions(raw: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
     return _latest(
         raw,
         [
@@ -94,10 +115,11 @@ def prep_watch_sessions(raw: DataFrame) -> DataFrame:
             "created_at",
             "run_date_bq",
         ],
+        wanted,
     )
 
 
-def prep_payments(raw: DataFrame) -> DataFrame:
+def prep_payments(raw: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
     return _latest(
         raw,
         [
@@ -111,13 +133,15 @@ def prep_payments(raw: DataFrame) -> DataFrame:
             "created_at",
             "run_date_bq",
         ],
+        wanted,
     )
 
 
-def prep_ratings(raw: DataFrame) -> DataFrame:
+def prep_ratings(raw: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
     return _latest(
         raw,
         ["rating_id", "user_id", "movie_id", "rating_score", "rating_date", "review_text", "created_at", "run_date_bq"],
+        wanted,
     )
 
 
@@ -326,6 +350,8 @@ def mart_user_activity(activity: DataFrame) -> DataFrame:
 
 # The user activity mart kept by changes: its sums and maximum over sessions with their month.
 ACTIVITY_GROUP = ["user_id", "month_key"]
+# What the states read of a session: only these columns travel through the joins.
+ACTIVITY_READ = ["session_id", "user_id", "date_key", "watch_duration_minutes", "completed_flag", "run_date_bq"]
 
 
 def activity_months(activity: DataFrame) -> DataFrame:
@@ -356,9 +382,10 @@ def kept_activity_states(held: DataFrame, moved: DataFrame, gone: DataFrame) ->
 
 def corrected_activity_states(held: DataFrame, activity: DataFrame, incoming: DataFrame) -> DataFrame:
     """States after sessions came late or were corrected; `activity` are the sessions before."""
+    activity, incoming = activity.select(*ACTIVITY_READ), incoming.select(*ACTIVITY_READ)
     changes = change_set(activity, incoming, KEYS["fact_user_activity"])
     after = merge_upsert(activity, incoming, KEYS["fact_user_activity"], check_unique=False)
-    return kept_activity_states(held, *moved_activity_states(held, changes, after))
+    return applied_states(held, activity_months(changes), activity_months(after), ACTIVITY_GROUP, *_activity_measures())
 
 
 def mart_user_activity_from_states(held: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -33,13 +33,15 @@ class Warehouse:
     """The models over one folder of test tables, each derived from its source tables on demand.
 
     A model is built once per warehouse. With `shared`, preparation models are also computed once: a query that
-    reads many models (the quality suite) then reads each source table and removes its duplicates once.
+    reads many models (the quality suite) then reads each source table and removes its duplicates once. `read` names, per
+    video preparation model, the columns beside its key that the query's answers depend on; the others are then NULL.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, shared: bool = False):
+    def __init__(self, spark: SparkSession, folder: str, shared: bool = False, read: Mapping[str, Sequence[str]] | None = None):
         self.spark = spark
         self.folder = folder
         self.shared = shared
+        self.read = read or {}
         self._built: dict[str, DataFrame] = {}
 
     @staticmethod
@@ -61,7 +63,14 @@ class Warehouse:
 
     # subscription video
     def prep(self, name: str) -> DataFrame:
-        return self._once(f"prep_{name}", lambda: getattr(movies, f"prep_{name}")(self.source(name)), share=True)
+        return self._once(f"prep_{name}", lambda: getattr(movies, f"prep_{name}")(self.source(name), self.read.get(name)), share=True)
+
+    def key(self, model: str, column: str) -> DataFrame:
+        """A model's key column: of a preparation model, the distinct values of its source."""
+        name = model.removeprefix("prep_")
+        if model.startswith("prep_") and column in movies.KEY_COLUMNS.get(name, ()):
+            return getattr(movies, model)(self.source(name), []).select(column)
+        return self.model(model).select(column)
 
     # A preparation model has one row per key: its facts need not look for duplicates again.
     def fact_user_activity(self) -> DataFrame:
@@ -74,7 +83,7 @@ class Warehouse:
         return self._once("fact_ratings", lambda: movies.fact_ratings(self.prep("ratings"), unique=True))
 
     def fact_movie_popularity(self) -> DataFrame:
-        return self._once("fact_movie_popularity", lambda: movies.fact_movie_popularity(self.fact_user_activity()), share=True)
+        return self._once("fact_movie_popularity", lambda: movies.fact_movie_popularity(self.fact_user_activity()))
 
     def subscription_revenue(self) -> DataFrame:
         return self._once("subscription_revenue", lambda: self.kept(movies.subscription_revenue(self.fact_payments())))
@@ -114,7 +123,6 @@ class Warehouse:
         return self._once(
             "zone_flow",
             lambda: trips.zone_flow(self.fact_taxi_trip(), self.dim_location(), self.dim_holiday(), RUN_DATE),
-            share=True,
         )
 
     def holiday_daily(self) -> DataFrame:
@@ -158,10 +166,14 @@ def _query(function: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse],
     return function
 
 
-def _suite_query(function: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
-    """A query over many models."""
-    _QUERIES[function.__name__] = lambda spark, folder: function(Warehouse(spark, folder, shared=True))
-    return function
+def _suite_query(read: Mapping[str, Sequence[str]], shared: bool) -> Callable[[Query], Query]:
+    """A query over many models. They are shared only where the same rows would be made ready several times."""
+
+    def register(function: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
+        _QUERIES[function.__name__] = lambda spark, folder: function(Warehouse(spark, folder, shared, read))
+        return function
+
+    return register
 
 
 def queries() -> dict[str, Query]:
@@ -502,7 +514,7 @@ def mart_movie_popularity_states(w: Warehouse) -> DataFrame:
 @_query
 def mart_user_activity_deltas(w: Warehouse) -> DataFrame:
     """States of sessions of which some were still missing and some wrong, moved by the late and the corrected ones."""
-    activity = w.kept(w.fact_user_activity())
+    activity = w.kept(w.fact_user_activity().select(*movies.ACTIVITY_READ))
     late, wrong = F.col("session_id") % 10 == 0, F.col("session_id") % 7 == 1
     before = activity.where(~late).withColumn("watch_duration_minutes", F.when(wrong, F.col("watch_duration_minutes") + 5).otherwise(F.col("watch_duration_minutes")))
     states = movies.corrected_activity_states(movies.activity_states(before), before, activity.where(late | wrong))
@@ -566,19 +578,19 @@ def subscription_cohorts_incremental_fixed(w: Warehouse) -> DataFrame:
 # ---- quality ---------------------------------------------------------------------------------------
 
 
-@_suite_query
+@_suite_query(checks.READ_FOR_NOT_NULL, shared=False)
 def dq_not_null(w: Warehouse) -> DataFrame:
     return checks.not_null_report(w.model)
 
 
-@_suite_query
+@_suite_query(checks.READ_FOR_UNIQUE, shared=True)
 def dq_unique(w: Warehouse) -> DataFrame:
     return checks.unique_report(w.model)
 
 
-@_suite_query
+@_suite_query(checks.READ_FOR_RELATIONSHIPS, shared=False)
 def dq_relationships(w: Warehouse) -> DataFrame:
-    return checks.relationship_report(w.model)
+    return checks.relationship_report(w.model, key=w.key)
 
 
 @_query

@@ -261,3 +261,60 @@ def test_quality_suite_removes_duplicates_once_per_source(spark, name):
 def test_facts_of_unique_rows_have_no_window(spark):
     df = registry.queries()["mart_user_activity"](spark, "/root/testdata/sf0.001")
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Window [row_number") == 1
+
+
+def _dirty(spark, folder):
+    """Session rows that come again with other users and times, references without parents, nulls."""
+    n = F.col("id")
+    null = F.lit(None).cast("long")
+    customers = spark.range(20).select(
+        n.alias("c_custkey"), F.concat(F.lit("c#"), (n % 15).cast("string")).alias("c_name"), (n % 3).cast("int").alias("c_nationkey"),
+        (n - 5).cast("double").alias("c_acctbal"), F.lit("X").alias("c_mktsegment"),
+    )
+    day = F.timestamp_add("DAY", (n % 90).cast("int"), F.lit("1998-03-01").cast("timestamp_ntz"))
+    tables = {
+        "customer": customers.unionByName(customers.where("c_custkey = 3").withColumn("c_mktsegment", F.lit("Y"))),
+        "nation": spark.range(3).select(n.cast("int").alias("n_nationkey"), F.concat(F.lit("N"), n.cast("string")).alias("n_name"), F.lit(0).alias("n_regionkey")),
+        "region": spark.range(1).select(n.cast("int").alias("r_regionkey"), F.lit("R").alias("r_name")),
+        "supplier": spark.range(5).select(n.alias("s_suppkey"), F.lit("s").alias("s_name"), (n % 3).cast("int").alias("s_nationkey"), F.lit(0.0).alias("s_acctbal")),
+        "part": spark.range(12).select(n.alias("p_partkey"), F.when(n > 1, F.lit("p")).alias("p_name"), F.lit("B").alias("p_brand"), F.lit("T").alias("p_type"), n.cast("int").alias("p_size"), F.lit(1.0).alias("p_retailprice")),
+        "orders": spark.range(60).select(
+            (n % 50).alias("o_orderkey"), F.when(n % 7 == 0, null).otherwise(n % 24).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+            F.lit(5.0).alias("o_totalprice"), day.alias("o_orderdate"), F.lit("1").alias("o_orderpriority"),
+        ),
+        "lineitem": spark.range(400).select(
+            (n % 50).alias("l_orderkey"), F.when(n % 11 == 0, null).otherwise(n % 14).alias("l_partkey"), (n % 5).alias("l_suppkey"), (n % 6).cast("int").alias("l_linenumber"),
+            (n % 40 + 1).cast("double").alias("l_quantity"), F.lit(10.0).alias("l_extendedprice"), F.lit(0.05).alias("l_discount"), F.lit(0.0).alias("l_tax"),
+            F.lit("N").alias("l_returnflag"), F.when(n % 2 == 0, "O").otherwise("F").alias("l_linestatus"), F.when(n % 13 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(day).alias("l_shipdate"),
+        ),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_suites_report_of_narrow_models_as_of_whole_ones(spark, tmp_path):
+    folder = _dirty(spark, str(tmp_path))
+    whole = registry.Warehouse(spark, folder)
+    columns = ["table", "check", "column", "violations"]
+    old = checks.quality.report(*[checks.quality.relationships(whole.model(c), c, k, whole.model(p), x) for c, k, p, x in checks.RELATIONSHIPS])
+    for name, want in (("dq_not_null", checks.not_null_report(whole.model)), ("dq_unique", checks.unique_report(whole.model)), ("dq_relationships", old)):
+        found = values(registry.queries()[name](spark, folder), *columns)
+        assert found == values(want, *columns)
+        assert any(r[3] > 0 for r in found)
+    spark.catalog.clearCache()
+
+
+def test_relationships_read_each_child_once_and_keep_no_frame(spark):
+    plan = registry.queries()["dq_relationships"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" not in plan
+    assert plan.count("Window [row_number()") == 5
+
+
+@pytest.mark.parametrize("name", ["dq_not_null", "dq_unique"])
+def test_suites_leave_unread_columns_behind(spark, name):
+    plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [row_number()" in line and "session_id#" in line]
+    assert windows and not any("end_time" in w or "completion_rate" in w for w in windows)
+    assert name == "dq_unique" or "InMemoryRelation [session_id" not in plan
+    spark.catalog.clearCache()

@@ -292,3 +292,31 @@ def test_text_is_split_once_and_shuffled_once(spark, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Filter ((size(" not in plan
+
+
+def test_scores_need_no_groups_and_no_joins(spark, tmp_path):
+    """The words stay in their document's row; a row is summarised by itself, also where parts of a batch are small."""
+    path = str(tmp_path / "docs")
+    docs = spark.createDataFrame([*TEXTS.items(), (6, ""), (7, None), (None, "Satu. Dua.")], "doc_id long, text string")
+    docs.write.parquet(path)
+    top = summarise.top_sentences(spark.read.parquet(path), "doc_id", "text", 2, large=False)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan and plan.count("Exchange") == 1
+    assert {r["doc_id"] for r in top.collect()} == set(TEXTS)
+    terms = summarise.document_terms(docs, "text", ["doc_id"]).select("terms").toArrow()["terms"].combine_chunks()
+    whole, parts = (summarise.walk(1e-13, 0.85, size)(terms).to_pylist() for size in (10**6, 1))
+    assert [len(a) for a in whole] == [len(a) for a in parts]
+    assert all(np.allclose(a, b, atol=1e-12) for a, b in zip(whole, parts))
+
+
+def test_extracts_read_a_text_once(spark, tmp_path):
+    """Fields and summary come from one row, so no join by document follows; ids may be missing, texts empty."""
+    path = str(tmp_path / "documents")
+    text = "Nomor : 1/Pid\n1. Nama lengkap : budi;\n2. Tempat lahir : kota;\nMenimbang, bahwa pidana itu. Amar putusan."
+    spark.createDataFrame([(1, text), (1, text), (2, ""), (3, None), (None, text)], "doc_id long, text string").write.parquet(path)
+    out = decisions.document_extracts(spark.read.parquet(path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and plan.count("Exchange") == 1
+    rows = values(out, "doc_id", "no_putusan", "nama_terdakwa", "is_valid")
+    assert sorted(rows, key=repr) == sorted([(1, "1/Pid", "Budi", True)] * 2 + [(2, None, None, False), (3, None, None, False), (None, "1/Pid", "Budi", True)], key=repr)
+    assert {r["doc_id"]: bool(r["summary_extractive_short"]) for r in out.collect()} == {1: True, 2: False, 3: False, None: False}
